@@ -26,14 +26,20 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
 
 
 def split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, sized_by: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """Split ``df`` into (cold rows, rows of hot groups, the hot groups).
 
     On ordinary data no group is hot and ``df`` comes back as it is. There are
-    at most rows / hot_rows hot groups, which bounds the broadcast.
+    at most rows / hot_rows hot groups, which bounds the broadcast. ``sized_by``
+    is a written table with at least the rows of ``df`` in every group: its
+    groups are counted in place of a long plan, and a table of at most
+    ``hot_rows`` rows needs no look at the groups at all.
     """
-    groups = hot_groups(df, keys, hot_rows)
+    sizes = df if sized_by is None else sized_by
+    if sizes.count() <= hot_rows:
+        return df, None, None
+    groups = hot_groups(sizes, keys, hot_rows)
     if groups.isEmpty():
         return df, None, None
     groups = materialise(groups, "hot_groups")

@@ -32,10 +32,15 @@ def _percentile(df: DataFrame, value: str, how: str) -> Column:
 
 
 def with_group_median(
-    df: DataFrame, keys: Sequence[str], value: str, out: str, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    out: str,
+    hot_rows: int = HOT_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add the interpolated median of ``value`` over each group to every row."""
-    cold, hot, _ = split_hot(df, keys, hot_rows)
+    cold, hot, _ = split_hot(df, keys, hot_rows, sized_by)
     over_group = _percentile(df, value, INTERPOLATED).over(Window.partitionBy(*keys))
     result = cold.withColumn(out, over_group)
     if hot is None:
@@ -52,15 +57,16 @@ def group_medians(
     how: str = ELEMENT,
     count_as: str | None = None,
     hot_rows: int = HOT_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """One row per group with the medians given as output=input, and its row count."""
     count = [F.count(F.lit(1)).alias(count_as)] if count_as else []
     columns = [*keys, *([count_as] if count_as else []), *medians]
-    cold, hot, groups = split_hot(df, keys, hot_rows)
+    cold, hot, _ = split_hot(df, keys, hot_rows, sized_by)
     result = cold.groupBy(*keys).agg(*count, *[_percentile(df, v, how).alias(o) for o, v in medians.items()])
     if hot is None:
         return result
-    tall = groups.select(*[F.col("_hot_" + k).alias(k) for k in keys], F.col("_hot_rows").alias(count_as or "_rows"))
+    tall = hot.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_as or "_rows"))
     for out, value in medians.items():
         found = _narrow_down(hot, keys, value, how, out)
         tall = tall.join(F.broadcast(found), same_keys(tall, found, keys, "_m_"), "left")

@@ -27,8 +27,7 @@ def running_sum(
     if hot is None:
         return result
 
-    rows = groups.agg(F.sum("_hot_rows")).first()[0]
-    slices = rows // hot_rows + 1
+    slices = groups.agg(F.sum("_hot_rows")).first()[0] // hot_rows + 1
     ranged = hot.repartitionByRange(slices, *[F.col(c).asc_nulls_first() for c in partition], *sort)
     ranged = materialise(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
     # one row per group and slice

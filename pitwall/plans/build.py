@@ -85,8 +85,9 @@ class Build:
 def run(spark: SparkSession, warehouse: Warehouse, models: Sequence[Model] = MODELS) -> Build:
     """Build the models in order and test each one.
 
-    A failed test keeps the models that depend on it from being built; the
-    others go on, and the run fails at its end.
+    A failed test keeps the models that depend on it from being built, and
+    tests against a model that was not built are left out. The others go on,
+    and the run fails at its end.
     """
     result, blocked = Build(), set()
     skipped = []
@@ -101,7 +102,8 @@ def run(spark: SparkSession, warehouse: Warehouse, models: Sequence[Model] = MOD
             df = warehouse.replace(model.layer, model.name, df, model.cluster_by)
         df.createOrReplaceTempView(model.name)
         result.relations[model.name] = df
-        rows = run_checks(df, model.name, CHECKS[model.name], result.ref).collect()
+        checks = CHECKS[model.name].with_parents(result.relations)
+        rows = run_checks(df, model.name, checks, result.ref).collect()
         result.checks += rows
         if any(r.failures for r in rows):
             blocked.add(model.name)

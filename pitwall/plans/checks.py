@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Container, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -47,6 +47,10 @@ class Checks:
     # (column, parent model, parent column)
     relationships: tuple[tuple[str, str, str], ...] = ()
 
+    def with_parents(self, built: Container[str]) -> Checks:
+        """Without the relationships whose parent was not built."""
+        return replace(self, relationships=tuple(r for r in self.relationships if r[1] in built))
+
 
 # The declared data tests.
 CHECKS = {

@@ -61,8 +61,8 @@ def driver_pace(laps: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Median lap and pace ratio per (session, driver).
 
     The ratio compares each lap with the field's median for that lap number,
-    so 1.0 is the pace of the field. ``laps`` is read more than once: pass a
-    table, not a long plan.
+    so 1.0 is the pace of the field. ``laps`` is also counted: pass a table, not
+    a long plan.
     """
     timed = laps.select("session_key", "driver_number", "lap_number", "lap_time_ms")
     per_lap = with_group_median(timed, ["session_key", "lap_number"], "lap_time_ms", "field_median_ms", hot_rows)
@@ -75,6 +75,7 @@ def driver_pace(laps: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         {"median_lap_ms": "lap_time_ms", "pace_ratio": "ratio"},
         count_as="laps",
         hot_rows=hot_rows,
+        sized_by=timed,
     )
 
 

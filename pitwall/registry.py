@@ -97,9 +97,8 @@ def pace_by_compound(spark, sf):
 
 
 def overview(spark, sf):
-    raced = materialise(results(spark, sf), "results")
-    summary = materialise(marts.driver_race_summary(raced, qualifying(spark, sf)), "race_summary")
-    return dashboards.overview(summary, marts.dim_driver(drivers(spark, sf), raced), dim_race(spark, sf))
+    summary = materialise(race_summary(spark, sf), "race_summary")
+    return dashboards.overview(summary, dim_driver(spark, sf), dim_race(spark, sf))
 
 
 def championship(spark, sf):

@@ -7,11 +7,8 @@ has to number are therefore bounded by construction, at any scale.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pitwall.session import tune
 
@@ -137,21 +134,20 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lake_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Object keys as they appear in the lake, one per event."""
-    e = timed_events(spark, sf_dir)
-    stamp = F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'")
-    key, day = F.col("session_key").cast("string"), F.date_format("ts", "yyyy-MM-dd")
-    page = (F.col("event_id") % 5 * 100).cast("string")
-    season_page = F.concat(F.lit("season=2024-page"), page, F.lit("-"), stamp, F.lit(".ndjson"))
-    kind = F.col("event_id") % 6
-    path = (
-        F.when(kind == 0, F.concat(F.lit("raw/source=ergast/endpoint=driverStandings/dt="), day, F.lit("/"), season_page))
-        .when(kind == 1, F.concat(F.lit("raw/source=openf1/endpoint=laps/session="), key, F.lit("/"), stamp, F.lit(".ndjson")))
-        .when(kind == 2, F.concat(F.lit("raw/source=openf1/endpoint=stints/session="), key, F.lit("/"), stamp, F.lit(".ndjson")))
-        .when(kind == 3, F.concat(F.lit("raw_quarantine/raw/source=openf1/endpoint=laps/session="), key, F.lit("/x.ndjson")))
-        .when(kind == 4, F.concat(F.lit("raw/source=ergast/endpoint=results/dt="), day, F.lit("/"), season_page))
-        .otherwise(F.concat(F.lit("other/"), key))
+    stamped = timed_events(spark, sf_dir).selectExpr(
+        "*", """date_format(ts, "yyyyMMdd'T'HHmmss'Z'") as stamp""", "date_format(ts, 'yyyy-MM-dd') as day"
+    )
+    paged = stamped.selectExpr("*", "'season=2024-page' || event_id % 5 * 100 || '-' || stamp || '.ndjson' as page_file")
+    return paged.selectExpr(
+        "event_id",
+        """case event_id % 6
+             when 0 then 'raw/source=ergast/endpoint=driverStandings/dt=' || day || '/' || page_file
+             when 1 then 'raw/source=openf1/endpoint=laps/session=' || session_key || '/' || stamp || '.ndjson'
+             when 2 then 'raw/source=openf1/endpoint=stints/session=' || session_key || '/' || stamp || '.ndjson'
+             when 3 then 'raw_quarantine/raw/source=openf1/endpoint=laps/session=' || session_key || '/x.ndjson'
+             when 4 then 'raw/source=ergast/endpoint=results/dt=' || day || '/' || page_file
+             else 'other/' || session_key end as object_key""",
     )
-    return e.select("event_id", path.alias("object_key"))
 
 
 def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,190 +217,130 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("points", F.greatest(F.lit(0).cast("long"), F.lit(26) - F.col("position")))
 
 
-def _as(schema: T.StructType, **fields: Column) -> Column:
-    """A struct of ``schema`` with the given fields and NULL for the others."""
-    return F.struct(*[fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
-@cache
-def _contract(endpoint: str) -> T.StructType:
-    from pitwall.sources.schemas import schema_for
-
-    return schema_for("ergast", endpoint)
-
-
-def _race_struct(races_type: T.StructType, entries_field: str, entry_list: Column) -> Column:
-    round_ = F.col("round").cast("string")
-    circuit_type = races_type["Circuit"].dataType
-    location = _as(circuit_type["Location"].dataType, country=F.concat(F.lit("Country "), round_))
-    circuit = _as(
-        circuit_type,
-        circuitId=F.concat(F.lit("c"), round_),
-        circuitName=F.concat(F.lit("Circuit "), round_),
-        Location=location,
-    )
-    return _as(
-        races_type,
-        season=F.col("season"),
-        round=F.col("round"),
-        raceName=F.concat(F.lit("Race "), round_),
-        date=F.date_add(F.lit("2000-01-01").cast("date"), (F.col("round") * 14).cast("int")),
-        url=F.concat(F.lit("http://race/"), F.col("season").cast("string"), F.lit("/"), round_),
-        Circuit=circuit,
-        **{entries_field: entry_list},
-    )
-
-
-def _race_pages(rows: DataFrame, endpoint: str, entries_field: str) -> DataFrame:
+def _race_pages(rows: DataFrame, entries_field: str) -> DataFrame:
     """Pages of 100 entries per season, each landed twice.
 
     A race whose entries cross a page boundary appears on both pages, with a
-    part of them on each. The last race of a season has no entries.
+    part of them on each. A race without entries keeps an empty array.
     """
-    contract = _contract(endpoint)
-    races_type = contract["RaceTable"].dataType["Races"].dataType.elementType
-    in_season = Window.partitionBy("season")
-    paged = rows.withColumns(
-        {
-            "page": F.expr(f"(row_number() over (partition by season order by round, driver_no) - 1) div {PAGE_ROWS}"),
-            "total": F.count("entry").over(in_season),
-        }
+    paged = rows.select(
+        "season",
+        "round",
+        "entry",
+        F.expr(f"(row_number() over (partition by season order by round, driver_no) - 1) div {PAGE_ROWS}").alias("page"),
+        F.expr("count(entry) over (partition by season)").alias("total"),
     )
     races = paged.groupBy("season", "page", "total", "round").agg(F.collect_list("entry").alias("entries"))
-    pages = races.groupBy("season", "page", "total").agg(
-        F.collect_list(_race_struct(races_type, entries_field, F.col("entries"))).alias("races")
+    race = F.expr(
+        f"""named_struct(
+          'season', season,
+          'round', round,
+          'raceName', 'Race ' || round,
+          'date', date_add(date '2000-01-01', cast(round * 14 as int)),
+          'url', 'http://race/' || season || '/' || round,
+          'Circuit', named_struct(
+            'circuitId', 'c' || round,
+            'circuitName', 'Circuit ' || round,
+            'Location', named_struct('country', 'Country ' || round)),
+          '{entries_field}', entries)"""
     )
-    table_ = _as(contract["RaceTable"].dataType, season=F.col("season"), Races=F.col("races"))
+    pages = races.groupBy("season", "page", "total").agg(F.collect_list(race).alias("races"))
     return pages.select(
         "total",
         F.lit(PAGE_ROWS).cast("long").alias("limit"),
         (F.col("page") * PAGE_ROWS).alias("offset"),
-        table_.alias("RaceTable"),
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"),
+        F.expr("named_struct('season', season, 'Races', races)").alias("RaceTable"),
+        F.expr("explode(array(0, 1))").alias("copy"),
     ).drop("copy")
 
 
 def raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    races_type = _contract("results")["RaceTable"].dataType["Races"].dataType.elementType
-    result_type = races_type["Results"].dataType.elementType
-    result = _as(
-        result_type,
-        position=F.col("position"),
-        points=F.col("points"),
-        grid=F.col("grid"),
-        laps=F.col("laps"),
-        status=F.col("status"),
-        Driver=_as(result_type["Driver"].dataType, driverId=F.col("driver_id")),
-        Constructor=_as(result_type["Constructor"].dataType, constructorId=F.col("constructor_id")),
+    driven = entries(spark, sf_dir).selectExpr(
+        "season",
+        "round",
+        "driver_no",
+        """named_struct(
+          'position', position, 'points', points, 'grid', grid, 'laps', laps, 'status', status,
+          'Driver', named_struct('driverId', driver_id),
+          'Constructor', named_struct('constructorId', constructor_id)) as entry""",
+        "row_number() over (partition by season order by round, driver_no) as rank",
     )
-    driven = entries(spark, sf_dir).select("season", "round", "driver_no", result.alias("entry"))
     # the season's next race is announced, not driven yet
-    rank = F.row_number().over(Window.partitionBy("season").orderBy("round", "driver_no"))
-    announced = F.when(rank == 1, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    rows = driven.withColumn("announced", announced).withColumn("announced", F.explode("announced"))
-    rows = rows.select(
+    rows = driven.selectExpr("*", "explode(if(rank = 1, array(false, true), array(false))) as announced")
+    rows = rows.selectExpr(
         "season",
-        F.when(F.col("announced"), F.lit(RACES_PER_SEASON + 1).cast("long")).otherwise(F.col("round")).alias("round"),
+        f"if(announced, bigint({RACES_PER_SEASON + 1}), round) as round",
         "driver_no",
-        F.when(~F.col("announced"), F.col("entry")).alias("entry"),
+        "if(announced, null, entry) as entry",
     )
-    return _race_pages(rows, "results", "Results")
+    return _race_pages(rows, "Results")
 
 
 def raw_qualifying(spark: SparkSession, sf_dir: str) -> DataFrame:
-    races_type = _contract("qualifying")["RaceTable"].dataType["Races"].dataType.elementType
-    entry_type = races_type["QualifyingResults"].dataType.elementType
-    place = F.col("qualifying_position")
-    entry = _as(
-        entry_type,
-        position=place,
-        Driver=_as(entry_type["Driver"].dataType, driverId=F.col("driver_id")),
-        Constructor=_as(entry_type["Constructor"].dataType, constructorId=F.col("constructor_id")),
-        Q1=F.concat(F.lit("1:20."), place.cast("string")),
-        Q2=F.when(place <= 15, F.concat(F.lit("1:19."), place.cast("string"))),
-        Q3=F.when(place <= 10, F.concat(F.lit("1:18."), place.cast("string"))),
+    took_part = entries(spark, sf_dir).filter("(season + round + driver_no) % 10 <> 0")
+    rows = took_part.selectExpr(
+        "season",
+        "round",
+        "driver_no",
+        """named_struct(
+          'position', qualifying_position,
+          'Driver', named_struct('driverId', driver_id),
+          'Constructor', named_struct('constructorId', constructor_id),
+          'Q1', '1:20.' || qualifying_position,
+          'Q2', if(qualifying_position <= 15, '1:19.' || qualifying_position, null),
+          'Q3', if(qualifying_position <= 10, '1:18.' || qualifying_position, null)) as entry""",
     )
-    took_part = (F.col("season") + F.col("round") + F.col("driver_no")) % 10 != 0
-    rows = entries(spark, sf_dir).filter(took_part).select("season", "round", "driver_no", entry.alias("entry"))
-    return _race_pages(rows, "qualifying", "QualifyingResults")
+    return _race_pages(rows, "QualifyingResults")
 
 
 def raw_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    contract = _contract("drivers")
-    table_type = contract["DriverTable"].dataType
-    driver_type = table_type["Drivers"].dataType.elementType
-    key = F.col("c_custkey")
-    driver = _as(
-        driver_type,
-        driverId=F.concat(F.lit("d"), key.cast("string")),
-        code=F.substring("c_mktsegment", 1, 3),
-        permanentNumber=key % 99 + 1,
-        givenName=F.when(key % 17 != 0, F.substring("c_name", 1, 8)),
-        familyName=F.substring("c_name", 10, 9),
-        dateOfBirth=F.date_add(F.lit("1980-01-01").cast("date"), (key % 7000).cast("int")),
-        nationality=F.concat(F.lit("N"), F.col("c_nationkey").cast("string")),
-        url=F.concat(F.lit("http://driver/"), key.cast("string")),
+    drivers = table(spark, sf_dir, "customer").selectExpr(
+        f"c_custkey div {PAGE_ROWS} as page",
+        """named_struct(
+          'driverId', 'd' || c_custkey,
+          'code', substr(c_mktsegment, 1, 3),
+          'permanentNumber', c_custkey % 99 + 1,
+          'givenName', if(c_custkey % 17 <> 0, substr(c_name, 1, 8), null),
+          'familyName', substr(c_name, 10, 9),
+          'dateOfBirth', date_add(date '1980-01-01', cast(c_custkey % 7000 as int)),
+          'nationality', 'N' || c_nationkey,
+          'url', 'http://driver/' || c_custkey) as driver""",
     )
-    pages = (
-        table(spark, sf_dir, "customer")
-        .groupBy(F.expr(f"c_custkey div {PAGE_ROWS}").alias("page"))
-        .agg(F.collect_list(driver).alias("drivers"))
-    )
-    table_ = _as(table_type, season=F.lit(FIRST_SEASON), Drivers=F.col("drivers"))
-    return pages.select(
-        F.lit(PAGE_ROWS).cast("long").alias("limit"),
-        (F.col("page") * PAGE_ROWS).alias("offset"),
-        table_.alias("DriverTable"),
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"),
+    pages = drivers.groupBy("page").agg(F.collect_list("driver").alias("drivers"))
+    return pages.selectExpr(
+        f"bigint({PAGE_ROWS}) as limit",
+        f"page * {PAGE_ROWS} as offset",
+        f"named_struct('season', bigint({FIRST_SEASON}), 'Drivers', drivers) as DriverTable",
+        "explode(array(0, 1)) as copy",
     ).drop("copy")
 
 
 def raw_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Standings after every round; some drivers have no or two constructors."""
-    contract = _contract("driverstandings")
-    list_type = contract["StandingsTable"].dataType["StandingsLists"].dataType.elementType
-    standing_type = list_type["DriverStandings"].dataType.elementType
-    team_type = standing_type["Constructors"].dataType.elementType
-    so_far = (
-        Window.partitionBy("season", "driver_no").orderBy("round").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = "over (partition by season, driver_no order by round rows between unbounded preceding and current row)"
+    sums = entries(spark, sf_dir).selectExpr(
+        "*", f"sum(points) {so_far} as total_points", f"sum(bigint(position = 1)) {so_far} as wins"
     )
-    sums = entries(spark, sf_dir).withColumns(
-        {
-            "total_points": F.sum("points").over(so_far),
-            "wins": F.sum((F.col("position") == 1).cast("long")).over(so_far),
-        }
-    )
-    place = F.row_number().over(Window.partitionBy("season", "round").orderBy(F.desc("total_points"), "driver_no"))
-    number = F.col("driver_no")
-    team = _as(team_type, constructorId=F.col("constructor_id"))
-    other = _as(team_type, constructorId=F.lit("other"))
-    teams = (
-        F.when(number % 13 == 5, F.array().cast(T.ArrayType(team_type)))
-        .when(number % 7 == 2, F.array(team, other))
-        .otherwise(F.array(team))
-    )
-    standing = _as(
-        standing_type,
-        position=place,
-        points=F.col("total_points"),
-        wins=F.col("wins"),
-        Driver=_as(standing_type["Driver"].dataType, driverId=F.col("driver_id")),
-        Constructors=teams,
-    )
-    per_round = (
-        sums.select("season", "round", standing.alias("standing"))
-        .groupBy("season", "round")
-        .agg(F.collect_list("standing").alias("standings"))
-    )
-    lists = F.array(
-        _as(list_type, season=F.col("season"), round=F.col("round"), DriverStandings=F.col("standings"))
-    )
-    table_ = _as(
-        contract["StandingsTable"].dataType, season=F.col("season"), round=F.col("round"), StandingsLists=lists
-    )
-    return per_round.select(table_.alias("StandingsTable"), F.explode(F.array(F.lit(0), F.lit(1))).alias("copy")).drop(
-        "copy"
+    standings = sums.selectExpr(
+        "season",
+        "round",
+        """named_struct(
+          'position', bigint(row_number() over (partition by season, round order by total_points desc, driver_no)),
+          'points', total_points,
+          'wins', wins,
+          'Driver', named_struct('driverId', driver_id),
+          'Constructors', filter(
+            array(named_struct('constructorId', constructor_id), named_struct('constructorId', 'other')),
+            (team, i) -> driver_no % 13 <> 5 and (i = 0 or driver_no % 7 = 2))) as standing""",
     )
+    lists = standings.groupBy("season", "round").agg(F.collect_list("standing").alias("standings"))
+    return lists.selectExpr(
+        """named_struct(
+          'season', season, 'round', round,
+          'StandingsLists', array(
+            named_struct('season', season, 'round', round, 'DriverStandings', standings))) as StandingsTable""",
+        "explode(array(0, 1)) as copy",
+    ).drop("copy")
 
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
