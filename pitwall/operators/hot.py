@@ -10,8 +10,20 @@ from pyspark.sql import functions as F
 
 from pitwall.session import materialise
 
-# Rows of one group that a task may sort or hold.
-HOT_ROWS = 1_000_000
+# Rows of one group that a task may hold. Percentile aggregates keep up to 128
+# groups in memory before they fall back to sorting.
+HOT_ROWS = 100_000
+
+# Rows of key-sized relations that may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(table: DataFrame) -> DataFrame:
+    """Broadcast hint for a written table whose row count allows it.
+
+    Beyond that the join shuffles, and splits its skewed keys at run time.
+    """
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str = "_hot_") -> Column:
@@ -30,8 +42,7 @@ def split_hot(
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """Split ``df`` into (cold rows, rows of hot groups, the hot groups).
 
-    On ordinary data no group is hot and ``df`` comes back as it is. There are
-    at most rows / hot_rows hot groups, which bounds the broadcast. ``sized_by``
+    On ordinary data no group is hot and ``df`` comes back as it is. ``sized_by``
     is a written table with at least the rows of ``df`` in every group: its
     groups are counted in place of a long plan, and a table of at most
     ``hot_rows`` rows needs no look at the groups at all.
@@ -43,7 +54,7 @@ def split_hot(
     if groups.isEmpty():
         return df, None, None
     groups = materialise(groups, "hot_groups")
-    match = same_keys(df, groups, keys)
-    cold = df.join(F.broadcast(groups), match, "left_anti")
-    hot = df.join(F.broadcast(groups), match, "left_semi")
+    match, keyed = same_keys(df, groups, keys), broadcast_if_small(groups)
+    cold = df.join(keyed, match, "left_anti")
+    hot = df.join(keyed, match, "left_semi")
     return cold, hot, groups

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.functions.columns import OUTLIER_FACTOR, newest_first
 
-_LAP_BLOCK = 32
+# a block is 2 ** 5 = 32 laps
+_LAP_BLOCK_BITS = 5
 
 
 def enrich(fact: DataFrame, others: DataFrame | Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -33,9 +34,12 @@ def latest_session(laps: DataFrame) -> DataFrame:
 
 
 def keep_latest_session(df: DataFrame, latest: DataFrame) -> DataFrame:
-    """Rows of the single session in ``latest``; none if it is empty."""
-    # latest is a LIMIT 1, which bounds the broadcast
-    return df.join(F.broadcast(latest), "session_key", "left_semi")
+    """Rows of the single session in ``latest``; none if it is empty.
+
+    A scalar subquery, so the key reaches the scan and skips row groups of a
+    table that is clustered by session.
+    """
+    return df.filter(F.col("session_key") == latest.scalar())
 
 
 def session_max_lap(laps: DataFrame) -> DataFrame:
@@ -93,8 +97,8 @@ def laps_in_stint(
     return covered.drop("_block", "_first", "_last")
 
 
-def _block(lap: str):
-    return F.floor(F.col(lap) / F.lit(_LAP_BLOCK))
+def _block(lap: str) -> Column:
+    return F.shiftright(lap, _LAP_BLOCK_BITS)
 
 
 def drop_outliers(df: DataFrame, value: str, median: str, factor: float = OUTLIER_FACTOR) -> DataFrame:

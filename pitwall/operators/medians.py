@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwall.operators.hot import HOT_ROWS, same_keys, split_hot
+from pitwall.operators.hot import HOT_ROWS, broadcast_if_small, same_keys, split_hot
 from pitwall.session import materialise
 
 ELEMENT = "element"
@@ -46,7 +46,7 @@ def with_group_median(
     if hot is None:
         return result
     medians = _narrow_down(hot, keys, value, INTERPOLATED, out)
-    hot_result = hot.join(F.broadcast(medians), same_keys(hot, medians, keys, "_m_"), "left")
+    hot_result = hot.join(broadcast_if_small(medians), same_keys(hot, medians, keys, "_m_"), "left")
     return result.unionByName(hot_result.select(*df.columns, out))
 
 
@@ -69,7 +69,7 @@ def group_medians(
     tall = hot.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_as or "_rows"))
     for out, value in medians.items():
         found = _narrow_down(hot, keys, value, how, out)
-        tall = tall.join(F.broadcast(found), same_keys(tall, found, keys, "_m_"), "left")
+        tall = tall.join(found, same_keys(tall, found, keys, "_m_"), "left")
         tall = tall.drop(*["_m_" + k for k in keys])
     return result.select(*columns).unionByName(tall.select(*columns))
 
@@ -102,7 +102,7 @@ def _narrow_down(hot: DataFrame, keys: Sequence[str], value: str, how: str, out:
         # the largest value always gets the last part, so every round shrinks the range
         part = F.when(v >= hi, F.lit(_RANGES)).otherwise(F.least(cut, F.lit(_RANGES - 1)))
         counts = (
-            rows.join(F.broadcast(wide), inside)
+            rows.join(broadcast_if_small(wide), inside)
             .groupBy(*group, "_rank", part.alias("_part"))
             .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         )
@@ -114,5 +114,5 @@ def _narrow_down(hot: DataFrame, keys: Sequence[str], value: str, how: str, out:
         )
         state = state.filter(F.col("_lo") >= F.col("_hi")).unionByName(kept.select(*state.columns))
     median = F.avg("_lo") if how == INTERPOLATED else F.first("_lo")
-    return state.groupBy(*group[:-1]).agg(median.alias(out))
+    return materialise(state.groupBy(*group[:-1]).agg(median.alias(out)), "medians")
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitwall.plans import dashboards, marts, staging
 from pitwall.plans.checks import CHECKS, run_checks
+from pitwall.session import scratch_scope
 from pitwall.sources.warehouse import Warehouse
 
 VIEW, TABLE = "view", "table"
@@ -97,9 +98,11 @@ def run(spark: SparkSession, warehouse: Warehouse, models: Sequence[Model] = MOD
             skipped.append(model.name)
             continue
         inputs = [warehouse.source(*s) for s in model.sources] + [result.ref(n) for n in model.needs]
-        df = model.build(*inputs)
         if model.materialized == TABLE:
-            df = warehouse.replace(model.layer, model.name, df, model.cluster_by)
+            with scratch_scope(spark):
+                df = warehouse.replace(model.layer, model.name, model.build(*inputs), model.cluster_by)
+        else:
+            df = model.build(*inputs)
         df.createOrReplaceTempView(model.name)
         result.relations[model.name] = df
         checks = CHECKS[model.name].with_parents(result.relations)

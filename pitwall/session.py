@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,7 @@ _RUNTIME_CONF = {
 }
 
 _own_scratch: dict[str, str] = {}
+_written: list[str] = []
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -35,6 +38,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # small inputs: keep all cores busy instead of merging partitions up to 1 MB
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -67,4 +72,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/pitwall/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that were materialised inside the block."""
+    start = len(_written)
+    try:
+        yield
+    finally:
+        hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in _written[start:]:
+            target = hadoop_path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        del _written[start:]

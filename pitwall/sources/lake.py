@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from pitwall.functions.columns import ingest_ts, lake_path_parts
 from pitwall.functions.labels import QUARANTINE_PREFIX
-from pitwall.session import materialise
+from pitwall.session import materialise, scratch_scope
 from pitwall.sources.schemas import as_strings, has_bad_leaf, schema_for
 from pitwall.sources.selection import sanitize
 from pitwall.sources.warehouse import Warehouse
@@ -168,33 +168,33 @@ def load_target(
     schema_source = "file" if schema else "autodetect"
     if schema is None:
         schema = _inferred(spark, paths)
-    parsed = parse(lines, schema)
-    files = materialise(_file_summary(parsed), "lake_files")
-    rejected = not files.filter(F.col("reason").isNotNull()).isEmpty()
-    good, bad = split_quarantine(parsed, files) if rejected else (parsed, None)
-    warehouse.append("raw", target, _typed(good, schema), batch)
-
-    outcome = files.withColumn("found", F.lit(True))
-    if rejected:
-        quarantine(bad, warehouse, batch, now)
-        moved = quarantined_keys(warehouse, batch)
-        outcome = files.join(moved, "object_key", "left").withColumn("found", F.coalesce("moved", F.lit(False)))
-    good_file = F.col("reason").isNull()
-    event = F.when(good_file, "loaded").when(F.col("found"), "quarantined").otherwise("quarantine_miss")
-    audit = outcome.select(
-        event.alias("event"),
-        F.when(good_file, "INFO").otherwise("ERROR").alias("severity"),
-        F.lit(SERVICE).alias("service"),
-        "object_key",
-        F.lit(source).alias("source"),
-        F.lit(endpoint).alias("endpoint"),
-        F.lit(target).alias("target_table"),
-        F.when(good_file, F.col("lines")).otherwise(F.lit(0).cast("long")).alias("output_rows"),
-        F.lit(schema_source).alias("schema_source"),
-        "reason",
-        now.alias("logged_at"),
-    )
-    warehouse.append("raw", "load_audit", audit, f"{batch}-{target}")
+    with scratch_scope(spark):
+        parsed = parse(lines, schema)
+        files = materialise(_file_summary(parsed), "lake_files")
+        rejected = not files.filter(F.col("reason").isNotNull()).isEmpty()
+        good, bad = split_quarantine(parsed, files) if rejected else (parsed, None)
+        warehouse.append("raw", target, _typed(good, schema), batch)
+
+        outcome = files.withColumn("moved", F.lit(True))
+        if rejected:
+            quarantine(bad, warehouse, batch, now)
+            outcome = files.join(quarantined_keys(warehouse, batch), "object_key", "left")
+        good_file = F.col("reason").isNull()
+        event = F.when(good_file, "loaded").when(F.col("moved"), "quarantined").otherwise("quarantine_miss")
+        audit = outcome.select(
+            event.alias("event"),
+            F.when(good_file, "INFO").otherwise("ERROR").alias("severity"),
+            F.lit(SERVICE).alias("service"),
+            "object_key",
+            F.lit(source).alias("source"),
+            F.lit(endpoint).alias("endpoint"),
+            F.lit(target).alias("target_table"),
+            F.when(good_file, F.col("lines")).otherwise(F.lit(0).cast("long")).alias("output_rows"),
+            F.lit(schema_source).alias("schema_source"),
+            "reason",
+            now.alias("logged_at"),
+        )
+        warehouse.append("raw", "load_audit", audit, f"{batch}-{target}")
 
 
 def quarantine(bad: DataFrame, warehouse: Warehouse, batch: str, now: Column) -> None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +69,17 @@ class Warehouse:
             reader = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("load_batch", T.StringType())]))
         return reader.parquet(self.path(layer, name))
 
+    def fold(self, layer: str, name: str, merge: Callable[[DataFrame], DataFrame]) -> int:
+        """Replace the complete loads of an append-only table by one merged load."""
+        path = self.path(layer, name)
+        loads = [c for c in self._children(path) if self._exists(f"{path}/{c}/_SUCCESS")]
+        if len(loads) > 1:
+            rows = self.spark.read.parquet(*[f"{path}/{c}" for c in loads])
+            self.append(layer, name, merge(rows), f"fold-{uuid.uuid4().hex}")
+            for child in loads:
+                self._delete(f"{path}/{child}")
+        return len(loads)
+
     def source(self, source: str, table: str) -> DataFrame:
         """A raw table that the models read."""
         name = f"{source}_{table}"

@@ -78,6 +78,15 @@ def upsert_latest(
     warehouse.append("staging", table, latest_by(batch, keys, order), f"stream-{batch_id}")
 
 
+def compact_latest(warehouse: Warehouse, table: str, keys: Sequence[str], order: Sequence[str]) -> int:
+    """Fold the complete batches of upsert_latest into one; returns their number.
+
+    The folded rows are written before the batches go, so a crash in between
+    only leaves rows that read_latest settles anyway.
+    """
+    return warehouse.fold("staging", table, lambda rows: latest_by(rows, keys, order))
+
+
 def read_latest(warehouse: Warehouse, table: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest row per key over all batches of upsert_latest."""
     rows = warehouse.appended("staging", table).drop("load_batch")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pitwall.operators.joins import keep_latest_session, latest_session
 from pitwall.plans import dashboards, marts, staging
-from pitwall.session import materialise
+from pitwall.session import materialise, scratch_scope
 from pitwall.sources.warehouse import Warehouse
 
 LIVE_TABLE = "live_state"
@@ -31,8 +31,9 @@ def live_from_raw(raw_laps: DataFrame, raw_stints: DataFrame, as_of: Column | No
 
 def refresh_live(warehouse: Warehouse, as_of: Column | None = None) -> DataFrame:
     """Recompute the live page and publish it as a new snapshot."""
-    live = live_from_raw(warehouse.source("openf1", "laps"), warehouse.source("openf1", "stints"), as_of)
-    return warehouse.replace("marts", LIVE_TABLE, live)
+    with scratch_scope(warehouse.spark):
+        live = live_from_raw(warehouse.source("openf1", "laps"), warehouse.source("openf1", "stints"), as_of)
+        return warehouse.replace("marts", LIVE_TABLE, live)
 
 
 def live_refresher(warehouse: Warehouse, as_of: Column | None = None) -> Callable[[int], None]:

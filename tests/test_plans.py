@@ -1,5 +1,7 @@
 """Physical plans keep the shape that large inputs need."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from pitwall import testdata as td
 from pitwall.operators.latest import latest_by
 from pitwall.plans import dashboards, marts, staging
 from pitwall.registry import QUERIES, lap_table, stints
+from pitwall.session import materialise, scratch_scope
 
 
 def plan(df):
@@ -38,6 +41,21 @@ def test_pace_scans_only_its_columns(spark, sf):
     assert text.count("Exchange") == 2
 
 
+def test_live_scans_one_session(spark, sf):
+    laps = lap_table(spark, sf)
+    text = plan(dashboards.live_state(laps, stints(spark, sf), marts.driver_pace(laps)))
+    scans = [line for line in text.splitlines() if "FileScan" in line and "lap_number" in line]
+    assert scans and all("session_key" in line.split("DataFilters")[1].split("=")[0] for line in scans)
+
+
+def test_scratch_scope_deletes_its_tables(spark):
+    with scratch_scope(spark):
+        table = materialise(spark.range(3), "t")
+        path = table.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+
+
 def test_nested_scan_is_pruned(spark, sf, tmp_path):
     path = str(tmp_path / "pages")
     td.raw_results(spark, sf).write.parquet(path)

@@ -12,7 +12,7 @@ from pitwall.plans import staging
 from pitwall.sources import lake
 from pitwall.sources.warehouse import Warehouse
 from pitwall.streaming.alerts import PERIOD_SECONDS, alert_stream, alerts, fire_times
-from pitwall.streaming.ingest import dedupe_replays, read_latest, stream_lake, upsert_latest
+from pitwall.streaming.ingest import compact_latest, dedupe_replays, read_latest, stream_lake, upsert_latest
 from pitwall.streaming.live import LIVE_TABLE, live_from_raw, live_refresher
 
 AUDIT = "service string, severity string, logged_at timestamp"
@@ -128,7 +128,11 @@ def test_upsert_latest_equals_batch(spark, sf, warehouse, tmp_path, rows):
 
     query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / "c"))
     query.trigger(availableNow=True).start().awaitTermination(120)
-    assert rows(read_latest(warehouse, "laps", KEYS, ORDER)) == rows(latest_by(batch, KEYS, ORDER))
+    expected = rows(latest_by(batch, KEYS, ORDER))
+    assert rows(read_latest(warehouse, "laps", KEYS, ORDER)) == expected
+    assert compact_latest(warehouse, "laps", KEYS, ORDER) > 1
+    assert rows(read_latest(warehouse, "laps", KEYS, ORDER)) == expected
+    assert compact_latest(warehouse, "laps", KEYS, ORDER) == 1
 
 
 @pytest.mark.parametrize("watermark", [None, "40 days"])
