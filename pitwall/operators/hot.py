@@ -54,6 +54,8 @@ def split_hot(
     if groups.isEmpty():
         return df, None, None
     groups = materialise(groups, "hot_groups")
+    if sized_by is not None:
+        df = materialise(df, "skewed")  # a long plan that now gets several consumers
     match, keyed = same_keys(df, groups, keys), broadcast_if_small(groups)
     cold = df.join(keyed, match, "left_anti")
     hot = df.join(keyed, match, "left_semi")

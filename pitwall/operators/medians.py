@@ -4,9 +4,9 @@ Two kinds: ``element`` is the lower middle value and keeps the input type,
 ``interpolated`` is the mean of the two middle values as DOUBLE. NULLs are
 ignored by both.
 
-Groups that fit a task use Spark's own percentile aggregates. The rows of a
-larger group never meet in one task: its median is narrowed down by counting
-rows per value range, with partial sums on the map side.
+Groups that fit a task are sorted or counted there by built-in aggregates. The
+rows of a larger group never meet in one task: its median is narrowed down by
+counting rows per value range, with partial sums on the map side.
 """
 
 from __future__ import annotations
@@ -24,11 +24,12 @@ INTERPOLATED = "interpolated"
 _RANGES = 1024
 
 
-def _percentile(df: DataFrame, value: str, how: str) -> Column:
+def _median(value: str, how: str) -> Column:
     if how == INTERPOLATED:
         return F.percentile(F.col(value), F.lit(0.5))
-    median = F.expr(f"percentile_disc(0.5) within group (order by `{value}`)")
-    return median.cast(df.schema[value].dataType)
+    # only groups of at most hot_rows rows come here
+    values = F.collect_list(value)
+    return F.get(F.sort_array(values), F.shiftright(F.size(values) - 1, 1))
 
 
 def with_group_median(
@@ -41,11 +42,11 @@ def with_group_median(
 ) -> DataFrame:
     """Add the interpolated median of ``value`` over each group to every row."""
     cold, hot, _ = split_hot(df, keys, hot_rows, sized_by)
-    over_group = _percentile(df, value, INTERPOLATED).over(Window.partitionBy(*keys))
+    over_group = _median(value, INTERPOLATED).over(Window.partitionBy(*keys))
     result = cold.withColumn(out, over_group)
     if hot is None:
         return result
-    medians = _narrow_down(hot, keys, value, INTERPOLATED, out)
+    medians = _narrow_down(materialise(hot.select(*keys, value), "hot_rows"), keys, value, INTERPOLATED, out)
     hot_result = hot.join(broadcast_if_small(medians), same_keys(hot, medians, keys, "_m_"), "left")
     return result.unionByName(hot_result.select(*df.columns, out))
 
@@ -63,9 +64,10 @@ def group_medians(
     count = [F.count(F.lit(1)).alias(count_as)] if count_as else []
     columns = [*keys, *([count_as] if count_as else []), *medians]
     cold, hot, _ = split_hot(df, keys, hot_rows, sized_by)
-    result = cold.groupBy(*keys).agg(*count, *[_percentile(df, v, how).alias(o) for o, v in medians.items()])
+    result = cold.groupBy(*keys).agg(*count, *[_median(v, how).alias(o) for o, v in medians.items()])
     if hot is None:
         return result
+    hot = materialise(hot.select(*keys, *dict.fromkeys(medians.values())), "hot_rows")
     tall = hot.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_as or "_rows"))
     for out, value in medians.items():
         found = _narrow_down(hot, keys, value, how, out)

@@ -112,6 +112,17 @@ def test_pace_with_large_groups_is_the_same(spark, sf, rows):
     assert rows(marts.clean_air_pace(laps, tyres)) == rows(marts.clean_air_pace(laps, tyres, hot_rows=10))
 
 
+def test_clean_air_with_very_many_stints(spark, rows):
+    laps = fct(spark, [lap(n, 90.0 + d, driver=d) for n in range(1, 41) for d in (1, 2, 3)])
+    many = [(1, 7, d, s, 2 * s - 1, 2 * s, "SOFT", 0) for d in (1, 2, 3) for s in range(1, 21)]
+    one = [(1, 7, d, 1, 0, 40, "SOFT", 0) for d in (1, 2, 3)]
+    counts = [
+        rows(marts.clean_air_pace(laps, staging.stints(spark.createDataFrame(s, STINTS)), hot_rows=h), "clean_air_laps")
+        for s in (many, one) for h in (10, 1000)
+    ]
+    assert counts == [[(20,)] * 3, [(20,)] * 3, [(40,)] * 3, [(40,)] * 3]
+
+
 def results(spark, data):
     schema = "season long, round long, driver_id string, constructor_id string, position long, grid long, points long, laps long, status string"
     return spark.createDataFrame(data, schema)
