@@ -24,6 +24,11 @@ INTERPOLATED = "interpolated"
 _RANGES = 1024
 
 
+def median_interpolated(value: Column, partition: Sequence[str]) -> Column:
+    """Interpolated median over a window partition that fits a task."""
+    return F.percentile(value, F.lit(0.5)).over(Window.partitionBy(*partition))
+
+
 def _median(value: str, how: str) -> Column:
     if how == INTERPOLATED:
         return F.percentile(F.col(value), F.lit(0.5))
@@ -42,8 +47,7 @@ def with_group_median(
 ) -> DataFrame:
     """Add the interpolated median of ``value`` over each group to every row."""
     cold, hot, _ = split_hot(df, keys, hot_rows, sized_by)
-    over_group = _median(value, INTERPOLATED).over(Window.partitionBy(*keys))
-    result = cold.withColumn(out, over_group)
+    result = cold.withColumn(out, median_interpolated(F.col(value), keys))
     if hot is None:
         return result
     medians = _narrow_down(materialise(hot.select(*keys, value), "hot_rows"), keys, value, INTERPOLATED, out)

@@ -17,19 +17,23 @@ VIEW, TABLE = "view", "table"
 
 @dataclass(frozen=True)
 class Model:
-    """One relation: how it is built from its inputs and how it is kept."""
+    """One relation: how it is built from its inputs and how it is kept.
+
+    ``reads`` narrows the schema of its raw table to the leaves in use.
+    """
 
     name: str
     layer: str
     materialized: str
     build: Callable[..., DataFrame]
-    sources: tuple[tuple[str, str], ...] = ()
+    source: tuple[str, str] | None = None
+    reads: str | None = None
     needs: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
 
 
-def _stg(name: str, build: Callable[..., DataFrame], source: str, table: str) -> Model:
-    return Model(name, "staging", VIEW, build, sources=((source, table),))
+def _stg(name: str, build: Callable[..., DataFrame], source: str, table: str, reads: str | None = None) -> Model:
+    return Model(name, "staging", VIEW, build, source=(source, table), reads=reads)
 
 
 def _mart(name: str, build: Callable[..., DataFrame], *needs: str, cluster_by: tuple[str, ...] = ()) -> Model:
@@ -43,11 +47,13 @@ def _page(name: str, build: Callable[..., DataFrame], *needs: str) -> Model:
 _LAP_KEY = ("session_key", "driver_number", "lap_number")
 
 MODELS = (
-    _stg("stg_ergast__races", staging.races, "ergast", "results"),
-    _stg("stg_ergast__results", staging.results, "ergast", "results"),
-    _stg("stg_ergast__qualifying", staging.qualifying, "ergast", "qualifying"),
+    _stg("stg_ergast__races", staging.races, "ergast", "results", staging.RACES_READ),
+    _stg("stg_ergast__results", staging.results, "ergast", "results", staging.RESULTS_READ),
+    _stg("stg_ergast__qualifying", staging.qualifying, "ergast", "qualifying", staging.QUALIFYING_READ),
     _stg("stg_ergast__drivers", staging.drivers, "ergast", "drivers"),
-    _stg("stg_ergast__driver_standings", staging.driver_standings, "ergast", "driverstandings"),
+    _stg(
+        "stg_ergast__driver_standings", staging.driver_standings, "ergast", "driverstandings", staging.STANDINGS_READ
+    ),
     _stg("stg_openf1__laps", staging.laps, "openf1", "laps"),
     _stg("stg_openf1__stints", staging.stints, "openf1", "stints"),
     _mart("dim_driver", marts.dim_driver, "stg_ergast__drivers", "stg_ergast__results"),
@@ -97,7 +103,9 @@ def run(spark: SparkSession, warehouse: Warehouse, models: Sequence[Model] = MOD
             blocked.add(model.name)
             skipped.append(model.name)
             continue
-        inputs = [warehouse.source(*s) for s in model.sources] + [result.ref(n) for n in model.needs]
+        inputs = [result.ref(n) for n in model.needs]
+        if model.source:
+            inputs.insert(0, warehouse.source(*model.source, model.reads))
         if model.materialized == TABLE:
             with scratch_scope(spark):
                 df = warehouse.replace(model.layer, model.name, model.build(*inputs), model.cluster_by)

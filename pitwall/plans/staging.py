@@ -51,6 +51,27 @@ DRIVER = {
     "driver_url": "driver.url",
 }
 
+# The leaves of the raw pages that each relation needs. Spark does not prune an
+# exploded array by itself, so the raw tables are read under these schemas.
+_ID_FIELDS = "Driver: STRUCT<driverId STRING>, Constructor: STRUCT<constructorId STRING>"
+RACES_READ = (
+    "RaceTable STRUCT<Races: ARRAY<STRUCT<season BIGINT, round BIGINT, raceName STRING, date DATE, url STRING,"
+    " Circuit: STRUCT<circuitId STRING, circuitName STRING, Location: STRUCT<country STRING>>>>>"
+)
+RESULTS_READ = (
+    "RaceTable STRUCT<Races: ARRAY<STRUCT<season BIGINT, round BIGINT, Results: ARRAY<STRUCT<position BIGINT,"
+    f" points BIGINT, grid BIGINT, laps BIGINT, status STRING, {_ID_FIELDS}>>>>>"
+)
+QUALIFYING_READ = (
+    "RaceTable STRUCT<Races: ARRAY<STRUCT<season BIGINT, round BIGINT, QualifyingResults: ARRAY<STRUCT<"
+    f"position BIGINT, Q1 STRING, Q2 STRING, Q3 STRING, {_ID_FIELDS}>>>>>"
+)
+STANDINGS_READ = (
+    "StandingsTable STRUCT<StandingsLists: ARRAY<STRUCT<season BIGINT, round BIGINT, DriverStandings: ARRAY<STRUCT<"
+    "position BIGINT, points BIGINT, wins BIGINT, Driver: STRUCT<driverId STRING>,"
+    " Constructors: ARRAY<STRUCT<constructorId STRING>>>>>>>"
+)
+
 
 def _dedupe(flat: DataFrame, keys: list[str], latest_by_key: bool) -> DataFrame:
     """Whole-row distinct, or the copy from the newest load per key.

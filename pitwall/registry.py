@@ -16,7 +16,8 @@ from pitwall.operators.medians import group_medians, with_group_median
 from pitwall.plans import checks, dashboards, marts, staging
 from pitwall.session import materialise
 from pitwall.sources import selection
-from pitwall.sources.lake import route
+from pitwall.sources.lake import file_summary, parse, route, split_quarantine, typed
+from pitwall.sources.schemas import schema_for
 from pitwall.sources.warehouse import expire_quarantine
 from pitwall.streaming.alerts import alerts
 
@@ -155,6 +156,24 @@ def missing_pages(spark, sf):
     return selection.missing_pages(td.page_log(spark, sf))
 
 
+def accepted_lines(spark, sf):
+    """Rows of the files without a bad line, under the contract types."""
+    schema = schema_for("openf1", "laps")
+    good, _ = split_quarantine(parse(td.lake_lines(spark, sf), schema))
+    return typed(good, schema).drop("ingest_ts")
+
+
+def rejected_lines(spark, sf):
+    """All lines of the files with a bad one."""
+    _, bad = split_quarantine(parse(td.lake_lines(spark, sf), schema_for("openf1", "laps")))
+    return bad.select("object_key", "file_reason", F.col("reason").alias("line_reason"), "event_id")
+
+
+def lake_files(spark, sf):
+    files = file_summary(parse(td.lake_lines(spark, sf), schema_for("openf1", "laps")))
+    return files.select("object_key", "lines", "reason")
+
+
 def quarantine_retention(spark, sf):
     return expire_quarantine(td.quarantined(spark, sf), RETENTION_AS_OF, 30)
 
@@ -301,6 +320,9 @@ QUERIES: dict[str, Query] = {
     "route_paths": route_paths,
     "page_audit": page_audit,
     "missing_pages": missing_pages,
+    "accepted_lines": accepted_lines,
+    "rejected_lines": rejected_lines,
+    "lake_files": lake_files,
     "quarantine_retention": quarantine_retention,
     "alert_times": alert_times,
     "session_list": session_list,

@@ -38,8 +38,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        # small inputs: keep all cores busy instead of merging partitions up to 1 MB
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

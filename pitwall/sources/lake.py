@@ -26,17 +26,17 @@ _STAMP = "yyyyMMdd'T'HHmmss'Z'"
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
 
 AUDIT_COLUMNS = {
-    "event": T.StringType(),
-    "severity": T.StringType(),
-    "service": T.StringType(),
-    "object_key": T.StringType(),
-    "source": T.StringType(),
-    "endpoint": T.StringType(),
-    "target_table": T.StringType(),
-    "output_rows": T.LongType(),
-    "schema_source": T.StringType(),
-    "reason": T.StringType(),
-    "logged_at": T.TimestampType(),
+    "event": "string",
+    "severity": "string",
+    "service": "string",
+    "object_key": "string",
+    "source": "string",
+    "endpoint": "string",
+    "target_table": "string",
+    "output_rows": "bigint",
+    "schema_source": "string",
+    "reason": "string",
+    "logged_at": "timestamp",
 }
 
 
@@ -124,13 +124,15 @@ def parse(lines: DataFrame, schema: T.StructType) -> DataFrame:
     return parsed.withColumn("reason", reason)
 
 
-def _typed(parsed: DataFrame, schema: T.StructType) -> DataFrame:
+def typed(parsed: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records under the contract types, with their fetch time and file."""
     leaves = [F.col("record").getField(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
     fetched = F.coalesce(ingest_ts(F.col("object_key")), F.col("modified_at"))
     return parsed.select(*leaves, fetched.alias("ingest_ts"), "object_key")
 
 
-def _file_summary(parsed: DataFrame) -> DataFrame:
+def file_summary(parsed: DataFrame) -> DataFrame:
+    """Line count and, for a file with a bad line, the reason."""
     return parsed.groupBy("object_key").agg(
         F.count(F.lit(1)).alias("lines"), F.max("reason").alias("reason"), F.max("file_path").alias("file_path")
     )
@@ -138,7 +140,7 @@ def _file_summary(parsed: DataFrame) -> DataFrame:
 
 def split_quarantine(parsed: DataFrame, files: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Lines of wholly good files, and all lines of files with a bad one."""
-    files = _file_summary(parsed) if files is None else files
+    files = file_summary(parsed) if files is None else files
     bad = files.filter(F.col("reason").isNotNull()).select("object_key", F.col("reason").alias("file_reason"))
     good = parsed.join(bad, "object_key", "left_anti")
     return good, parsed.join(bad, "object_key")
@@ -170,10 +172,10 @@ def load_target(
         schema = _inferred(spark, paths)
     with scratch_scope(spark):
         parsed = parse(lines, schema)
-        files = materialise(_file_summary(parsed), "lake_files")
+        files = materialise(file_summary(parsed), "lake_files")
         rejected = not files.filter(F.col("reason").isNotNull()).isEmpty()
         good, bad = split_quarantine(parsed, files) if rejected else (parsed, None)
-        warehouse.append("raw", target, _typed(good, schema), batch)
+        warehouse.append("raw", target, typed(good, schema), batch)
 
         outcome = files.withColumn("moved", F.lit(True))
         if rejected:
@@ -278,8 +280,8 @@ def load_batch(spark: SparkSession, lake_root: str, warehouse: Warehouse, batch:
 
 
 def audit_log(warehouse: Warehouse) -> DataFrame:
-    schema = T.StructType([T.StructField(name, dtype) for name, dtype in AUDIT_COLUMNS.items()])
-    return warehouse.appended("raw", "load_audit", schema)
+    columns = ", ".join(f"{name} {dtype}" for name, dtype in AUDIT_COLUMNS.items())
+    return warehouse.appended("raw", "load_audit", columns)
 
 
 def run_summary(warehouse: Warehouse, batch: str) -> dict:

@@ -14,7 +14,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pitwall.functions.labels import SOURCE_TABLES
 
@@ -62,12 +61,11 @@ class Warehouse:
     def has(self, layer: str, name: str) -> bool:
         return bool(self._children(self.path(layer, name)))
 
-    def appended(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:
-        """All loads of an append-only table."""
-        reader = self.spark.read.option("mergeSchema", "true")
-        if schema is not None:
-            reader = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("load_batch", T.StringType())]))
-        return reader.parquet(self.path(layer, name))
+    def appended(self, layer: str, name: str, reads: str | None = None) -> DataFrame:
+        """All loads of an append-only table, or the columns and leaves in ``reads`` only."""
+        if reads is None:
+            return self.spark.read.option("mergeSchema", "true").parquet(self.path(layer, name))
+        return self.spark.read.schema(f"{reads}, load_batch STRING").parquet(self.path(layer, name))
 
     def fold(self, layer: str, name: str, merge: Callable[[DataFrame], DataFrame]) -> int:
         """Replace the complete loads of an append-only table by one merged load."""
@@ -80,12 +78,12 @@ class Warehouse:
                 self._delete(f"{path}/{child}")
         return len(loads)
 
-    def source(self, source: str, table: str) -> DataFrame:
+    def source(self, source: str, table: str, reads: str | None = None) -> DataFrame:
         """A raw table that the models read."""
         name = f"{source}_{table}"
         if name not in SOURCE_TABLES:
             raise KeyError(f"unknown source table {name}")
-        return self.appended("raw", name).drop("load_batch")
+        return self.appended("raw", name, reads).drop("load_batch")
 
     # --- snapshot tables ---
 
