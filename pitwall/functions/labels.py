@@ -11,17 +11,6 @@ from pyspark.sql import functions as F
 PATH_PATTERN = r"^raw/source=([^/]+)/endpoint=([^/]+)/"
 QUARANTINE_PREFIX = "raw_quarantine/"
 
-# The raw tables that the models may read.
-SOURCE_TABLES = (
-    "ergast_results",
-    "ergast_qualifying",
-    "ergast_drivers",
-    "ergast_seasons",
-    "ergast_driverstandings",
-    "openf1_laps",
-    "openf1_stints",
-)
-
 # Car number -> three-letter driver code.
 DRIVER_CODES = {
     1: "VER", 4: "NOR", 5: "BOR", 6: "HAD", 7: "DOO", 10: "GAS", 11: "PER", 12: "ANT", 14: "ALO",

@@ -6,10 +6,12 @@ lines then go to the ``raw_quarantine`` table with the reason.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,7 @@ from pitwall.functions.columns import ingest_ts, lake_path_parts
 from pitwall.functions.labels import QUARANTINE_PREFIX
 from pitwall.session import materialise, scratch_scope
 from pitwall.sources.schemas import as_strings, has_bad_leaf, schema_for
-from pitwall.sources.selection import sanitize
+from pitwall.sources.selection import gate, sanitize, select_sessions
 from pitwall.sources.warehouse import Warehouse
 
 SERVICE = "loader"
@@ -75,6 +77,51 @@ def land_rows(rows: DataFrame, root: str, source: str, endpoint: str, fetched_at
     balanced.write.mode("append").partitionBy("source", "endpoint", "session", "fetch").json(f"{root}/raw")
 
 
+def land_poll(
+    feeds: dict[str, DataFrame],
+    sessions: DataFrame,
+    root: str,
+    as_of: dt.datetime,
+    session_keys: Sequence[int] | None = None,
+) -> dict | None:
+    """One poll of the timing feed: land the rows of all active sessions.
+
+    ``feeds`` holds the rows per endpoint. Without an active session nothing is
+    done and None comes back. ``session_keys`` names the sessions of a backfill,
+    active or not.
+    """
+    now = F.lit(as_of).cast("timestamp")
+    if session_keys:
+        wanted = {name: select_sessions(rows, session_keys) for name, rows in feeds.items()}
+    else:
+        active = gate(sessions, now)
+        if active is None:
+            return None
+        keys = active.select("session_key").distinct()
+        wanted = {name: rows.join(keys, "session_key", "left_semi") for name, rows in feeds.items()}
+    for name, rows in wanted.items():
+        land_rows(rows, root, "openf1", name, now)
+    return landing_summary(sessions.sparkSession, root, as_of)
+
+
+def landing_summary(spark: SparkSession, root: str, fetched_at: dt.datetime) -> dict:
+    """Endpoints, sessions, files and rows that one fetch has landed."""
+    landed = f"{root}/raw/source=*/endpoint=*/*/fetch={fetched_at:%Y%m%dT%H%M%SZ}"
+    try:
+        lines = read_lines(spark, landed, root)
+    except AnalysisException:  # no such directory
+        return {"endpoints": [], "sessions": 0, "files_written": 0, "rows_written": 0}
+    files = route(lines).groupBy("endpoint", "object_key").agg(F.count(F.lit(1)).alias("rows"))
+    session = F.nullif(F.regexp_extract("object_key", "/session=([^/]+)/", 1), F.lit(""))
+    row = files.agg(
+        F.sort_array(F.collect_set("endpoint")).alias("endpoints"),
+        F.countDistinct(session).alias("sessions"),
+        F.count(F.lit(1)).alias("files_written"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_written"),
+    ).first()
+    return row.asDict()
+
+
 # --- routing --------------------------------------------------------------------------------
 
 

@@ -59,6 +59,9 @@ CONTRACTS = {
     ),
 }
 
+# Columns that the loader adds to every raw table.
+LINEAGE = "ingest_ts TIMESTAMP, object_key STRING"
+
 # Fields dropped before landing, per endpoint: their arrays hold NULL elements.
 DROP_FIELDS = {"laps": ("segments_sector_1", "segments_sector_2", "segments_sector_3")}
 

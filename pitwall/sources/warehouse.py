@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.functions.labels import SOURCE_TABLES
+from pitwall.sources.schemas import CONTRACTS, LINEAGE
 
 PREFIX = "f1"
 
@@ -62,7 +62,11 @@ class Warehouse:
         return bool(self._children(self.path(layer, name)))
 
     def appended(self, layer: str, name: str, reads: str | None = None) -> DataFrame:
-        """All loads of an append-only table, or the columns and leaves in ``reads`` only."""
+        """All loads of an append-only table.
+
+        ``reads`` names the columns and leaves to read. Without it the schemas
+        of all loads are merged, which opens every file.
+        """
         if reads is None:
             return self.spark.read.option("mergeSchema", "true").parquet(self.path(layer, name))
         return self.spark.read.schema(f"{reads}, load_batch STRING").parquet(self.path(layer, name))
@@ -79,11 +83,11 @@ class Warehouse:
         return len(loads)
 
     def source(self, source: str, table: str, reads: str | None = None) -> DataFrame:
-        """A raw table that the models read."""
-        name = f"{source}_{table}"
-        if name not in SOURCE_TABLES:
-            raise KeyError(f"unknown source table {name}")
-        return self.appended("raw", name, reads).drop("load_batch")
+        """A raw table that the models read, under its contract or the narrower ``reads``."""
+        if (source, table) not in CONTRACTS:
+            raise KeyError(f"unknown source table {source}_{table}")
+        reads = reads or f"{CONTRACTS[source, table]}, {LINEAGE}"
+        return self.appended("raw", f"{source}_{table}", reads).drop("load_batch")
 
     # --- snapshot tables ---
 

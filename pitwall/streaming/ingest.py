@@ -87,7 +87,9 @@ def compact_latest(warehouse: Warehouse, table: str, keys: Sequence[str], order:
     return warehouse.fold("staging", table, lambda rows: latest_by(rows, keys, order))
 
 
-def read_latest(warehouse: Warehouse, table: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def read_latest(
+    warehouse: Warehouse, table: str, keys: Sequence[str], order: Sequence[str], reads: str | None = None
+) -> DataFrame:
     """The newest row per key over all batches of upsert_latest."""
-    rows = warehouse.appended("staging", table).drop("load_batch")
+    rows = warehouse.appended("staging", table, reads).drop("load_batch")
     return latest_by(rows, keys, order)

@@ -160,6 +160,26 @@ def test_land_rows_and_load_back(spark, lake_root, warehouse, rows):
     assert loaded.count() == 6 and loaded.first().ingest_ts == dt.datetime(2026, 3, 8, 6, 0, 0)
 
 
+def test_poll_lands_active_sessions_only(spark, lake_root):
+    laps = spark.createDataFrame([lap(n, session_key=s) for s in (1, 2, 3) for n in (1, 2)])
+    stints = spark.createDataFrame([(1, 44, 1)], "session_key long, driver_number long, stint_number long")
+    sessions = spark.createDataFrame(
+        [(1, "2026-03-08 05:00:00", None), (2, "2026-03-08 05:00:00", "2026-03-08 05:30:00"), (3, "2026-03-08 05:30:00", None)],
+        "session_key long, s string, e string",
+    )
+    sessions = sessions.select(
+        "session_key", F.col("s").cast("timestamp").alias("date_start"), F.col("e").cast("timestamp").alias("date_end")
+    )
+    feeds, at = {"laps": laps, "stints": stints}, dt.datetime(2026, 3, 8, 6, 0, 0)
+    assert lake.land_poll(feeds, sessions, str(lake_root), at) == {
+        "endpoints": ["laps", "stints"], "sessions": 2, "files_written": 3, "rows_written": 5,
+    }
+    later = dt.datetime(2026, 3, 8, 12, 0, 0)
+    assert lake.land_poll(feeds, sessions, str(lake_root), later) is None
+    assert lake.land_poll(feeds, sessions, str(lake_root), later, session_keys=[2])["rows_written"] == 2
+    assert lake.landing_summary(spark, str(lake_root), dt.datetime(2020, 1, 1))["files_written"] == 0
+
+
 def test_land_no_rows_writes_no_file(spark, lake_root):
     fetched = F.lit("2026-03-08 06:00:00").cast("timestamp")
     lake.land_rows(spark.createDataFrame([lap(1)]).limit(0), str(lake_root), "openf1", "laps", fetched)
