@@ -37,23 +37,28 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
     return sizes.filter(F.col("_hot_rows") > hot_rows).withColumnsRenamed({k: "_hot_" + k for k in keys})
 
 
+def fits(table: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
+    """Whether every group of a written table has at most ``hot_rows`` rows.
+
+    A table of at most that many rows in total needs no look at its groups.
+    """
+    return table.count() <= hot_rows or hot_groups(table, keys, hot_rows).isEmpty()
+
+
 def split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, sized_by: DataFrame | None = None
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS, sized_by: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """Split ``df`` into (cold rows, rows of hot groups, the hot groups).
 
     On ordinary data no group is hot and ``df`` comes back as it is. ``sized_by``
-    is a written table with at least the rows of ``df`` in every group: its
-    groups are counted in place of a long plan, and a table of at most
-    ``hot_rows`` rows needs no look at the groups at all.
+    is a written table with at least the rows of ``df`` in every group, which is
+    counted in place of a long plan. ``hot_rows=None`` says that all groups are
+    known to fit.
     """
     sizes = df if sized_by is None else sized_by
-    if sizes.count() <= hot_rows:
-        return df, None, None
-    groups = hot_groups(sizes, keys, hot_rows)
-    if groups.isEmpty():
+    if hot_rows is None or fits(sizes, keys, hot_rows):
         return df, None, None
-    groups = materialise(groups, "hot_groups")
+    groups = materialise(hot_groups(sizes, keys, hot_rows), "hot_groups")
     if sized_by is not None:
         df = materialise(df, "skewed")  # a long plan that now gets several consumers
     match, keyed = same_keys(df, groups, keys), broadcast_if_small(groups)

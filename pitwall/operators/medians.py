@@ -29,10 +29,17 @@ def median_interpolated(value: Column, partition: Sequence[str]) -> Column:
     return F.percentile(value, F.lit(0.5)).over(Window.partitionBy(*partition))
 
 
-def _median(value: str, how: str) -> Column:
+def median_element_over(df: DataFrame, value: str, partition: Sequence[str]) -> Column:
+    """Lower middle value over a window partition that fits a task; whole numbers up to 2 ** 53."""
+    keys = ", ".join(f"`{k}`" for k in partition)
+    median = F.expr(f"percentile_disc(0.5) within group (order by `{value}`) over (partition by {keys})")
+    return median.cast(df.schema[value].dataType)
+
+
+def median_of_group(value: str, how: str = ELEMENT) -> Column:
+    """Median aggregate for groups that fit a task."""
     if how == INTERPOLATED:
         return F.percentile(F.col(value), F.lit(0.5))
-    # only groups of at most hot_rows rows come here
     values = F.collect_list(value)
     return F.get(F.sort_array(values), F.shiftright(F.size(values) - 1, 1))
 
@@ -42,7 +49,7 @@ def with_group_median(
     keys: Sequence[str],
     value: str,
     out: str,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add the interpolated median of ``value`` over each group to every row."""
@@ -61,14 +68,14 @@ def group_medians(
     medians: dict[str, str],
     how: str = ELEMENT,
     count_as: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """One row per group with the medians given as output=input, and its row count."""
     count = [F.count(F.lit(1)).alias(count_as)] if count_as else []
     columns = [*keys, *([count_as] if count_as else []), *medians]
     cold, hot, _ = split_hot(df, keys, hot_rows, sized_by)
-    result = cold.groupBy(*keys).agg(*count, *[_median(v, how).alias(o) for o, v in medians.items()])
+    result = cold.groupBy(*keys).agg(*count, *[median_of_group(v, how).alias(o) for o, v in medians.items()])
     if hot is None:
         return result
     hot = materialise(hot.select(*keys, *dict.fromkeys(medians.values())), "hot_rows")

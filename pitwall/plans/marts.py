@@ -6,15 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.functions.columns import FUEL_MS_PER_LAP, fuel_corrected, full_name, race_id, safe_divide, to_seconds
-from pitwall.operators.hot import HOT_ROWS
+from pitwall.operators.hot import HOT_ROWS, fits
 from pitwall.operators.joins import drop_outliers, enrich, laps_in_stint
 from pitwall.operators.latest import latest_by
-from pitwall.operators.medians import group_medians, with_group_median
+from pitwall.operators.medians import group_medians, median_element_over, median_of_group, with_group_median
 from pitwall.operators.nested import project
 from pitwall.session import materialise
 
-_USUAL_STINTS = 16
-
 LAP_COLUMNS = [
     "session_key", "driver_number", "lap_number", "lap_time_ms", "sector_1_ms", "sector_2_ms", "sector_3_ms",
     "i1_speed", "i2_speed", "st_speed", "lap_started_at", "meeting_key",
@@ -59,6 +57,9 @@ def fct_lap(staged_laps: DataFrame) -> DataFrame:
     return project(staged_laps, LAP_COLUMNS)
 
 
+_PACE_COLUMNS = ["session_key", "driver_number", "lap_number", "lap_time_ms"]
+
+
 def driver_pace(laps: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Median lap and pace ratio per (session, driver).
 
@@ -66,8 +67,11 @@ def driver_pace(laps: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     so 1.0 is the pace of the field. ``laps`` is also counted: pass a table, not
     a long plan.
     """
-    timed = laps.select("session_key", "driver_number", "lap_number", "lap_time_ms")
-    per_lap = with_group_median(timed, ["session_key", "lap_number"], "lap_time_ms", "field_median_ms", hot_rows)
+    timed, limit = laps.select(*_PACE_COLUMNS), hot_rows
+    if fits(timed, ["session_key"], hot_rows):
+        # every session fits a task: one shuffle serves the window and the aggregate
+        timed, limit = timed.repartition("session_key"), None
+    per_lap = with_group_median(timed, ["session_key", "lap_number"], "lap_time_ms", "field_median_ms", limit)
     per_lap = per_lap.filter(F.col("field_median_ms") > 0).select(
         "session_key", "driver_number", "lap_time_ms", (F.col("lap_time_ms") / F.col("field_median_ms")).alias("ratio")
     )
@@ -76,55 +80,62 @@ def driver_pace(laps: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         ["session_key", "driver_number"],
         {"median_lap_ms": "lap_time_ms", "pace_ratio": "ratio"},
         count_as="laps",
-        hot_rows=hot_rows,
+        hot_rows=limit,
         sized_by=timed,
     )
 
 
 def clean_air_laps(
-    laps: DataFrame, stints: DataFrame, fuel_ms_per_lap: int = FUEL_MS_PER_LAP, hot_rows: int = HOT_ROWS
+    on_tyres: DataFrame, fuel_ms_per_lap: int = FUEL_MS_PER_LAP, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Fuel-corrected laps on a known compound, without out-laps and outliers.
 
     The outlier bound uses the median of the laps that matched a stint.
     """
-    timed = laps.select("session_key", "driver_number", "lap_number", "lap_time_ms")
-    on_tyres, sized_by = laps_in_stint(timed, stints), timed
-    per_driver = stints.groupBy("session_key", "driver_number").agg(F.count(F.lit(1)).alias("stints"))
-    copies = per_driver.agg(F.max("stints")).first()[0] or 1
-    if copies <= _USUAL_STINTS:
-        # a lap matches at most that many stints, so the groups of laps bound those of the join
-        hot_rows //= copies
-    else:
-        on_tyres = sized_by = materialise(on_tyres, "laps_in_stint")
-    judged = with_group_median(
-        on_tyres, ["session_key", "lap_number"], "lap_time_ms", "session_median_ms", hot_rows, sized_by
-    )
+    judged = with_group_median(on_tyres, ["session_key", "lap_number"], "lap_time_ms", "session_median_ms", hot_rows)
     corrected = fuel_corrected(F.col("lap_time_ms"), F.col("session_max_lap"), F.col("lap_number"), fuel_ms_per_lap)
     return drop_outliers(judged, "lap_time_ms", "session_median_ms").select(
         "session_key", "driver_number", "compound", corrected.alias("corrected_ms")
     )
 
 
-def driver_and_field_median(clean: DataFrame, value: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Medians of one input at two grains, the field's joined onto the driver's."""
+def driver_and_field_median(clean: DataFrame, value: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Medians of one input at two grains, the field's next to the driver's.
+
+    With ``hot_rows=None`` the sessions are co-located and fit a task: the field
+    is a window over the same rows, and neither grain shuffles again.
+    """
+    driver, field = ["session_key", "driver_number", "compound"], ["session_key", "compound"]
+    if hot_rows is None:
+        both = clean.withColumn("_field", median_element_over(clean, value, field))
+        return both.groupBy(*driver).agg(
+            F.count(F.lit(1)).alias("clean_air_laps"),
+            median_of_group(value).alias("median_corrected_ms"),
+            F.min("_field").alias("field_median_ms"),
+        )
     per_driver = group_medians(
-        clean,
-        ["session_key", "driver_number", "compound"],
-        {"median_corrected_ms": value},
-        count_as="clean_air_laps",
-        hot_rows=hot_rows,
+        clean, driver, {"median_corrected_ms": value}, count_as="clean_air_laps", hot_rows=hot_rows
     )
-    field = group_medians(clean, ["session_key", "compound"], {"field_median_ms": value}, hot_rows=hot_rows)
-    return enrich(per_driver, field, ["session_key", "compound"])
+    per_field = group_medians(clean, field, {"field_median_ms": value}, hot_rows=hot_rows)
+    return enrich(per_driver, per_field, field)
 
 
 def clean_air_pace(
     laps: DataFrame, stints: DataFrame, fuel_ms_per_lap: int = FUEL_MS_PER_LAP, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Clean-air pace per (session, driver, compound)."""
-    clean = materialise(clean_air_laps(laps, stints, fuel_ms_per_lap, hot_rows), "clean_air")
-    both = driver_and_field_median(clean, "corrected_ms", hot_rows)
+    """Clean-air pace per (session, driver, compound). ``laps`` is a table, as in driver_pace."""
+    timed = laps.select(*_PACE_COLUMNS)
+    on_tyres = laps_in_stint(timed, stints)
+    # a lap matches at most as many stints as its driver has
+    per_driver = stints.groupBy("session_key", "driver_number").agg(F.count(F.lit(1)).alias("stints"))
+    copies = per_driver.agg(F.max("stints")).first()[0] or 1
+    if fits(timed, ["session_key"], hot_rows // copies):
+        clean = clean_air_laps(on_tyres.repartition("session_key"), fuel_ms_per_lap, None)
+        both = driver_and_field_median(clean, "corrected_ms", None)
+    else:
+        on_tyres = materialise(on_tyres, "laps_in_stint")
+        clean = materialise(clean_air_laps(on_tyres, fuel_ms_per_lap, hot_rows), "clean_air")
+        both = driver_and_field_median(clean, "corrected_ms", hot_rows)
     return both.select(
         "session_key",
         "driver_number",

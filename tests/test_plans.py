@@ -38,7 +38,18 @@ def test_session_filter_reaches_the_scan(spark, sf, tmp_path):
 def test_pace_scans_only_its_columns(spark, sf):
     text = plan(marts.driver_pace(lap_table(spark, sf)))
     assert "ReadSchema: struct<session_key:bigint,driver_number:bigint,lap_number:bigint,lap_time_ms:bigint>" in text
-    assert text.count("Exchange") == 2
+    assert text.count("Exchange") == 1
+
+
+def test_clean_air_shuffles_sessions_once_after_the_join(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(marts.clean_air_pace(lap_table(spark, sf), stints(spark, sf)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above_join = text.split("SortMergeJoin")[0]
+    assert above_join.count("Exchange") == 1 and "REPARTITION_BY_COL" in above_join
+    assert above_join.count("Window [") == 2
 
 
 def test_live_scans_one_session(spark, sf):
