@@ -11,7 +11,7 @@ from pitwall import testdata as td
 from pitwall.functions.columns import ingest_ts, median_element, minutes_since, to_seconds, trunc_second
 from pitwall.functions.labels import with_driver_label, with_session_label
 from pitwall.operators.joins import laps_in_stint, latest_session, orphans, with_session_max
-from pitwall.operators.latest import count_rows, last_n_avg, latest_by, max_by_group, top_n
+from pitwall.operators.latest import count_rows, last_n_avg, max_by_group, top_n
 from pitwall.operators.medians import group_medians, with_group_median
 from pitwall.plans import checks, dashboards, marts, staging
 from pitwall.session import materialise

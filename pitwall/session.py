@@ -47,13 +47,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Without that setting a temporary folder is made, in local mode only: on a
-    cluster a machine-local folder would be lost together with its executor.
+    Without one a temporary folder is made, in local mode only: on a cluster a
+    machine-local folder would be lost together with its executor.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.applicationId not in _own_scratch:

@@ -124,7 +124,10 @@ def test_clean_air_with_very_many_stints(spark, rows):
 
 
 def results(spark, data):
-    schema = "season long, round long, driver_id string, constructor_id string, position long, grid long, points long, laps long, status string"
+    schema = (
+        "season long, round long, driver_id string, constructor_id string, position long, grid long, points long,"
+        " laps long, status string"
+    )
     return spark.createDataFrame(data, schema)
 
 
@@ -162,8 +165,13 @@ def test_overview(spark, rows):
     quali = spark.createDataFrame([(2026, 1, "ver", 2)], "season long, round long, driver_id string, qualifying_position long")
     summary = marts.driver_race_summary(raced, quali)
     assert rows(summary, "race_id", "qualifying_position") == [("2026-1", 2), ("2026-2", None), ("2026-3", None)]
-    dim_driver = spark.createDataFrame([("ver", "VER", "Max V", "NL", "rb")], "driver_id string, code string, full_name string, nationality string, latest_constructor_id string")
-    dim_race = spark.createDataFrame([], "race_id string, race_name string, race_date date, country string, circuit_name string")
+    dim_driver = spark.createDataFrame(
+        [("ver", "VER", "Max V", "NL", "rb")],
+        "driver_id string, code string, full_name string, nationality string, latest_constructor_id string",
+    )
+    dim_race = spark.createDataFrame(
+        [], "race_id string, race_name string, race_date date, country string, circuit_name string"
+    )
     view = dashboards.overview(summary, dim_driver, dim_race)
     assert rows(view, "round", "is_win", "is_podium", "grid_to_finish", "cumulative_points", "race_name") == [
         (1, 1, 1, 2, 25, None),

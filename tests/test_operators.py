@@ -153,7 +153,8 @@ def test_running_sum_of_large_groups(spark, rows):
 
 def test_laps_in_stint_first_lap(spark, rows):
     laps = spark.createDataFrame([(1, 1, n, 90_000) for n in range(1, 21)], LAPS)
-    stints = spark.createDataFrame([(1, 1, 9, 14, "SOFT")], "session_key long, driver_number long, lap_start long, lap_end long, compound string")
+    schema = "session_key long, driver_number long, lap_start long, lap_end long, compound string"
+    stints = spark.createDataFrame([(1, 1, 9, 14, "SOFT")], schema)
     assert [r[0] for r in rows(joins.laps_in_stint(laps, stints), "lap_number")] == [10, 11, 12, 13, 14]
     kept = joins.laps_in_stint(laps, stints, skip_first=False)
     assert sorted(r.lap_number for r in kept.collect()) == [9, 10, 11, 12, 13, 14]

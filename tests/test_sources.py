@@ -230,7 +230,8 @@ def test_page_audit(spark, rows):
         ("a", "250", 0), ("a", "250", 100), ("b", "200", 0), ("b", "200", 100), ("c", None, 0), ("d", "n/a", 0),
         ("e", "0", 0), ("f", "101", 100),
     ]
-    pages = spark.createDataFrame(data, "season string, total string, offset long").selectExpr("'s' as source", "'e' as endpoint", "*")
+    pages = spark.createDataFrame(data, "season string, total string, offset long")
+    pages = pages.selectExpr("'s' as source", "'e' as endpoint", "*")
     assert rows(selection.missing_pages(pages), "season", "missing_offset") == [("a", 200), ("f", 0)]
     audit = selection.page_audit(pages)
     assert rows(audit, "season", "expected", "landed", "missing", "first_missing_offset") == [
@@ -240,7 +241,8 @@ def test_page_audit(spark, rows):
 
 
 def test_page_audit_of_a_very_long_walk(spark):
-    pages = spark.createDataFrame([("s", "e", 1, "5000000", 100)], "source string, endpoint string, season long, total string, offset long")
+    schema = "source string, endpoint string, season long, total string, offset long"
+    pages = spark.createDataFrame([("s", "e", 1, "5000000", 100)], schema)
     assert selection.missing_pages(pages).count() == 49_999
 
 
@@ -257,10 +259,7 @@ def test_quarantine_retention(spark, lake_root, warehouse, rows):
     assert rows(held, "quarantined_on") == [(dt.date(2026, 1, 30),)]
 
 
-def test_object_key():
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.active()
+def test_object_key(spark):
     for root, path in [
         ("/data/lake", "file:///data/lake/raw/x"), ("file:/data/lake/", "file:///data/lake/raw/x"),
         ("s3a://bucket/lake", "s3a://bucket/lake/raw/x"),
