@@ -8,7 +8,7 @@ the shuffle, and one policy holds at most one row per second of its log.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -27,23 +27,32 @@ def error_events(audit: DataFrame, services: Sequence[str] = SERVICES) -> DataFr
     return errors.select(F.lit(POLICY).alias("policy"), F.unix_timestamp("logged_at").alias("second"))
 
 
-def fire_times(seconds: Iterable[int], period: int, last: int | None = None) -> list[int]:
-    """Seconds that notify, for ascending error seconds."""
-    fired = []
-    for second in seconds:
-        if last is None or second >= last + period:
-            fired.append(second)
-            last = second
-    return fired
+def rate_limit(period: int) -> Callable[..., list[int]]:
+    """The rule that at most one notification is sent per ``period`` seconds.
+
+    A nested function: it travels to the tasks by value, so that the executors
+    need not have this package.
+    """
+
+    def fire_times(seconds: Iterable[int], last: int | None = None) -> list[int]:
+        fired = []
+        for second in seconds:
+            if last is None or second >= last + period:
+                fired.append(second)
+                last = second
+        return fired
+
+    return fire_times
 
 
 def alerts(audit: DataFrame, services: Sequence[str] = SERVICES, period_seconds: int = PERIOD_SECONDS) -> DataFrame:
     """Notifications that a finished log would have sent: policy, fired_at."""
     seconds = error_events(audit, services).distinct()
+    fire_times = rate_limit(period_seconds)
 
     def fire(rows: pd.DataFrame) -> pd.DataFrame:
         ordered = np.sort(rows["second"].to_numpy())
-        fired = fire_times(ordered.tolist(), period_seconds)
+        fired = fire_times(ordered.tolist())
         return pd.DataFrame({"policy": rows["policy"].iloc[0], "second": fired})
 
     fired = seconds.groupBy("policy").applyInPandas(fire, "policy string, second long")
@@ -57,6 +66,7 @@ def alert_stream(
 
     An error that arrives after a later one was notified does not notify.
     """
+    fire_times = rate_limit(period_seconds)
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -67,7 +77,7 @@ def alert_stream(
         for rows in batches:
             seen.update(rows["second"].tolist())
         last = state.get[0] if state.exists else None
-        fired = fire_times(sorted(seen), period_seconds, last)
+        fired = fire_times(sorted(seen), last)
         if fired:
             state.update((fired[-1],))
         yield pd.DataFrame({"policy": [key[0]] * len(fired), "second": fired}).astype({"second": "int64"})

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pitwall.plans import staging
 from pitwall.sources import lake
 from pitwall.sources.warehouse import Warehouse
-from pitwall.streaming.alerts import PERIOD_SECONDS, alert_stream, alerts, fire_times
+from pitwall.streaming.alerts import PERIOD_SECONDS, alert_stream, alerts, rate_limit
 from pitwall.streaming.ingest import compact_latest, dedupe_replays, read_latest, stream_lake, upsert_latest
 from pitwall.streaming.live import LIVE_TABLE, live_from_raw, live_refresher
 
@@ -149,13 +149,14 @@ def test_dedupe_replays(spark, sf, tmp_path, rows, watermark):
 
 
 def test_fire_times():
-    assert fire_times(range(0, 1000, 100), PERIOD_SECONDS) == [0, 300, 600, 900]
-    assert fire_times([100, 299, 300], PERIOD_SECONDS, last=0) == [300]
+    fire_times = rate_limit(PERIOD_SECONDS)
+    assert fire_times(range(0, 1000, 100)) == [0, 300, 600, 900]
+    assert fire_times([100, 299, 300], last=0) == [300]
 
 
 @given(st.lists(st.integers(0, 5000), unique=True).map(sorted), st.integers(1, 700))
 def test_fire_times_are_greedy(seconds, period):
-    fired = fire_times(seconds, period)
+    fired = rate_limit(period)(seconds)
     assert all(b - a >= period for a, b in zip(fired, fired[1:]))
     assert all(any(0 <= s - f < period for f in fired) for s in seconds)
 
