@@ -116,6 +116,8 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
 
 def _pack(bucket, done, row, h, g, ids, keys) -> Iterator[dict]:
     """One packed record per bucket; rows of a document stand together."""
+    if not len(bucket):
+        return
     order = np.lexsort((row, bucket))
     bucket, row, h, g = bucket[order], row[order], h[order], g[order]
     starts = np.flatnonzero(_runs(bucket))
