@@ -121,3 +121,27 @@ def lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = 5) -> list[np.ndarray]:
+    """Sorted distinct hashes of the ``size``-word shingles of each row; a shorter text counts as one shingle."""
+    h, first = word_hashes(data, offsets)
+    n = max(0, len(h) - size + 1)
+    grams = np.zeros(n, np.uint64)
+    for k in range(size):
+        grams *= _BASE
+        grams += h[k : k + n]
+    grams = mix(grams)
+    out = []
+    for a, b in zip(first[:-1], first[1:], strict=True):
+        if b - a >= size:
+            out.append(np.unique(grams[a : b - size + 1]))
+        elif b > a:
+            whole = U64(b - a)
+            with np.errstate(over="ignore"):
+                for x in h[a:b]:
+                    whole = whole * _INVERSE + x
+            out.append(mix(np.array([whole])))
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out

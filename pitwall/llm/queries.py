@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pitwall.llm import suffix
+from pitwall.llm import jaccard, suffix
 
 
 def _read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_ngram_jaccard(spark, sf_dir):
+    found = jaccard.near_duplicates(_read(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op10_suffix_dedup(spark, sf_dir):
     found = suffix.remove_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -18,6 +23,6 @@ def op10_suffix_dedup(spark, sf_dir):
     )
 
 
-QUERIES = {"op10_suffix_dedup": op10_suffix_dedup}
+QUERIES = {f.__name__: f for f in (op4_ngram_jaccard, op10_suffix_dedup)}
 
 ORACLE = {}

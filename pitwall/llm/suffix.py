@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.llm.arrays import _BASE, U64, Sums, byte_values, flat, lists, mix, slices
+from pitwall.llm.packs import arrow_schema, bytes_of, least, runs, values_of
 from pitwall.session import materialise
 
 MATCH = 50
@@ -77,20 +78,6 @@ def anchors(data, offsets, match=MATCH, gram=GRAM):
     return row[first], first, last, mix(h[at[first]]) & _LOW40, Sums(values).hashes(first, last + match) & _LOW48
 
 
-def _runs(*sorted_keys: np.ndarray) -> np.ndarray:
-    """Where a new combination of sorted keys begins."""
-    new = np.ones(len(sorted_keys[0]), bool)
-    new[1:] = False
-    for key in sorted_keys:
-        new[1:] |= key[1:] != key[:-1]
-    return new
-
-
-def _least(values: np.ndarray, new: np.ndarray) -> np.ndarray:
-    """The least value of each run, for every row."""
-    return np.minimum.reduceat(values, np.flatnonzero(new))[np.cumsum(new) - 1] if len(values) else values
-
-
 def _binary(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.BinaryArray:
     """Substrings of a byte array as a column."""
     sizes = stop - start
@@ -100,16 +87,6 @@ def _binary(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.BinaryA
     return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[at])])
 
 
-def _bytes_of(values: np.ndarray, width: int) -> bytes:
-    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
-
-
-def _values_of(raw: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(raw) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
-    return out.view(np.uint64).ravel()
-
-
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("_id").to_numpy(zero_copy_only=False)
 
@@ -120,11 +97,11 @@ def _pack(bucket, done, row, h, g, ids, keys) -> Iterator[dict]:
         return
     order = np.lexsort((row, bucket))
     bucket, row, h, g = bucket[order], row[order], h[order], g[order]
-    starts = np.flatnonzero(_runs(bucket))
+    starts = np.flatnonzero(runs(bucket))
     for a, b in zip(starts, [*starts[1:], len(bucket)], strict=True):
         docs, counts = np.unique(row[a:b], return_counts=True)
         yield {
-            "bucket": int(bucket[a]), "done": done, "h": _bytes_of(h[a:b], 5), "g": _bytes_of(g[a:b], 6),
+            "bucket": int(bucket[a]), "done": done, "h": bytes_of(h[a:b], 5), "g": bytes_of(g[a:b], 6),
             "ids": ids[docs].tobytes(), "keys": keys[docs].tobytes(), "counts": counts.astype(np.int64).tobytes(),
         }
 
@@ -133,10 +110,10 @@ def _deal_anchors(buckets: int, match: int, gram: int, schema: pa.Schema):
     def packed(row, h, g, ids, keys):
         order = np.lexsort((g, h))
         row, h, g = row[order], h[order], g[order]
-        new = _runs(h, g)
-        later = ids[row] > _least(ids[row], new)
+        new = runs(h, g)
+        later = ids[row] > least(ids[row], new)
         # different stretches of an anchor: beyond a limit they go to buckets by stretch, and the anchor is marked
-        new_h = _runs(h)
+        new_h = runs(h)
         begin = np.flatnonzero(new_h)
         many = (np.add.reduceat(new.astype(np.int64), begin) > SPREAD)[np.cumsum(new_h) - 1] if len(h) else new_h
         bucket = (h % U64(buckets)).astype(np.int64)
@@ -174,8 +151,8 @@ def _judge_anchors(buckets: int, hot: int, schema: pa.Schema):
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        h = np.concatenate([_values_of(r["h"], 5) for r in rows])
-        g = np.concatenate([_values_of(r["g"], 6) for r in rows])
+        h = np.concatenate([values_of(r["h"], 5) for r in rows])
+        g = np.concatenate([values_of(r["g"], 6) for r in rows])
         counts = [np.frombuffer(r["counts"], np.int64) for r in rows]
 
         def each(name):
@@ -187,19 +164,19 @@ def _judge_anchors(buckets: int, hot: int, schema: pa.Schema):
         spread = np.repeat([buckets <= r["bucket"] < 2 * buckets for r in rows], sizes)
         order = np.lexsort((g, h))
         h, g, ids, keys, done, mark, spread = (x[order] for x in (h, g, each("ids"), each("keys"), done, mark, spread))
-        new_h, new = _runs(h), _runs(h, g)
+        new_h, new = runs(h), runs(h, g)
         run_of, begin = np.cumsum(new_h) - 1, np.flatnonzero(new_h)
         shared = (np.minimum.reduceat(ids, begin) != np.maximum.reduceat(ids, begin))[run_of]
         different = np.add.reduceat(new.astype(np.int64), begin)[run_of]
         marked = np.logical_or.reduceat(mark | spread, begin)[run_of]
         # a mark stands for stretches elsewhere: it neither covers nor is covered
-        covered = done | ~mark & (ids > _least(np.where(mark, NO_ID, ids), new))
+        covered = done | ~mark & (ids > least(np.where(mark, NO_ID, ids), new))
         look = ~mark & ~covered & (shared & (different > 1) | marked)
         in_hot = look & (marked | (different > hot))
         out = np.flatnonzero(covered | look)
         out = out[np.argsort(keys[out], kind="stable")]
         keys, g = keys[out], g[out].astype(np.int64)
-        starts = np.flatnonzero(_runs(keys)) if len(keys) else np.zeros(0, np.int64)
+        starts = np.flatnonzero(runs(keys)) if len(keys) else np.zeros(0, np.int64)
         columns = [pa.array(keys[starts])]
         for mask in (covered[out], (look & ~in_hot)[out], in_hot[out]):
             counts = np.add.reduceat(mask.astype(np.int64), starts) if len(starts) else starts
@@ -225,9 +202,9 @@ def _deal_stretches(buckets: int, match: int, gram: int, schema: pa.Schema):
         """Equal strings of a task meet here: the first document's goes on, the others are covered."""
         hashes, key, ids, at, texts = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((ids, hashes))
-        new = _runs(hashes[order])
+        new = runs(hashes[order])
         later = np.zeros(len(order), bool)
-        later[order] = ids[order] > _least(ids[order], new)
+        later[order] = ids[order] > least(ids[order], new)
         yield spans(key[later], at[later], np.full(later.sum(), match))
         own = ~later
         data = np.ascontiguousarray(texts[own]).view(np.uint8)
@@ -286,7 +263,7 @@ def later_copies(data: np.ndarray, start: np.ndarray, ids: np.ndarray, match: in
     """
     hashes = Sums(byte_values(lower=False)[data]).hashes(start, start + match)
     order = np.argsort(hashes)
-    new = _runs(hashes[order])
+    new = runs(hashes[order])
     found = np.zeros(len(start), bool)
     begin = np.flatnonzero(new)
     least, most = (f.reduceat(ids[order], begin) for f in (np.minimum, np.maximum))
@@ -298,9 +275,9 @@ def later_copies(data: np.ndarray, start: np.ndarray, ids: np.ndarray, match: in
         big[: len(data) - k] |= data[k:].astype(np.uint64) << U64(56 - 8 * k)
     parts = [big[start[some] + k] for k in (*range(0, match - 8, 8), match - 8)]
     rank = np.lexsort((ids[some], *reversed(parts)))
-    same = ~_runs(*(p[rank] for p in parts))  # common prefix with the suffix before: whole
+    same = ~runs(*(p[rank] for p in parts))  # common prefix with the suffix before: whole
     ranked = ids[some][rank]
-    found[some[rank]] = same & (ranked > _least(ranked, ~same))
+    found[some[rank]] = same & (ranked > least(ranked, ~same))
     return found
 
 
@@ -352,13 +329,6 @@ def _cut(schema: pa.Schema):
     return run
 
 
-def _arrow(ddl_or_frame) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    return to_arrow_schema(_parse_datatype_string(ddl_or_frame) if isinstance(ddl_or_frame, str) else ddl_or_frame)
-
-
 def remove_repeats(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", match: int = MATCH, gram: int = GRAM
 ) -> DataFrame:
@@ -381,17 +351,17 @@ def remove_repeats(
     size = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
     packs, parts = size // ANCHOR_BUCKET + 4, size // TEXT_BUCKET + 8
 
-    packed = rows.select("_key", "_id", "_text").mapInArrow(_deal_anchors(packs, match, gram, _arrow(_PACKED)), _PACKED)
-    judged = packed.groupBy("bucket").applyInArrow(_judge_anchors(packs, HOT, _arrow(_ANSWERS)), _ANSWERS)
+    packed = rows.select("_key", "_id", "_text").mapInArrow(_deal_anchors(packs, match, gram, arrow_schema(_PACKED)), _PACKED)
+    judged = packed.groupBy("bucket").applyInArrow(_judge_anchors(packs, HOT, arrow_schema(_ANSWERS)), _ANSWERS)
     # the spans need the texts' shuffle again, so both joins stand in one query; the answers are written once
     answers = materialise(judged, "anchors")
     answers = answers.groupBy(F.col("key").alias("_key")).agg(
         *(F.flatten(F.collect_list(c)).alias(c) for c in ("covered", "look", "hot"))
     )
     stretches = rows.join(answers, "_key").mapInArrow(
-        _deal_stretches(parts, match, gram, _arrow(_STRETCHES)), _STRETCHES
+        _deal_stretches(parts, match, gram, arrow_schema(_STRETCHES)), _STRETCHES
     )
-    spans = stretches.groupBy("bucket").applyInArrow(_suffix_spans(match, _arrow(_SPANS)), _SPANS)
+    spans = stretches.groupBy("bucket").applyInArrow(_suffix_spans(match, arrow_schema(_SPANS)), _SPANS)
     spans = spans.groupBy(F.col("key").alias("_key")).agg(
         F.collect_list("start").alias("_start"), F.collect_list("stop").alias("_stop")
     )
@@ -401,4 +371,4 @@ def remove_repeats(
     )
     out = docs.select(rest.alias("row")).schema
     out = out.add("kept", "binary").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
-    return joined.mapInArrow(_cut(_arrow(out)), out)
+    return joined.mapInArrow(_cut(arrow_schema(out)), out)
