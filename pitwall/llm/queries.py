@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from pitwall.llm import jaccard, suffix
+from pitwall.llm import bpe, jaccard, suffix
 
 
 def _read(spark, sf_dir, name):
@@ -16,6 +17,13 @@ def op4_ngram_jaccard(spark, sf_dir):
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op7_byte_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = bpe.round_trip(docs, path, public_tokenizers.PATTERN)
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op10_suffix_dedup(spark, sf_dir):
     found = suffix.remove_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -23,6 +31,6 @@ def op10_suffix_dedup(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_jaccard, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op4_ngram_jaccard, op7_byte_bpe, op10_suffix_dedup)}
 
 ORACLE = {}
