@@ -8,7 +8,11 @@ Two documents link when the Jaccard similarity of their sets of 5-word shingles
 * Light sets, up to a boundary x: every subset of the size that a link of n and m shingles must share is a key. Sets
   that share a key link, no comparison needed, so each key gives a star.
 * Heavy sets: inverted lists of the first n - t + 1 shingles, those of the fewest sets first. In each list all are
-  compared with one leader; what that leaves in different components is compared in pairs.
+  compared with one leader. Members that this leaves in different components are joined on what sets them apart from
+  the leader: sets of n and m shingles link if and only if at most (n + m) / 9 shingles are in one of them only, and
+  a shingle is in one of A and B only if it is in one of A - L and B - L only, for any L. So for differences of a
+  and b shingles, ceil((a + b - (n + m) / 9) / 2) have to be common, and the first common one stands early in both.
+  Pairs with such a shingle are compared. A large family of copies that do not link makes few such pairs.
 * x is where the estimated number of subset keys plus list entries and comparisons is least.
 
 Equal shingles are equal 64-bit hashes.
@@ -43,7 +47,8 @@ OFTEN, OFTEN_ROWS = 16, 500_000
 _SETS = "id long, n long, low long, high long"
 _PACKED = "bucket long, h binary, keys binary, counts binary"
 _ANSWERS = "low long, shared long, h long, sets long"
-_KEYS = "key long, light boolean, id long, n long"
+_APART = "leader long, h long, id long, component long, n long, size long, at long"
+_KEYS = "key long, light boolean, id long, n long, rare long"
 
 
 def must_share(n: int) -> int:
@@ -144,6 +149,16 @@ def _judge_fronts(often: int, schema: pa.Schema):
     return run
 
 
+def _level(shingles: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """In how many sets shingles occur, by powers of two; 0 for all that are not in the table."""
+    common, level = often
+    if not len(common):
+        return np.zeros(len(shingles), np.int64)
+    low = shingles & U64((1 << 48) - 1)
+    at = np.minimum(np.searchsorted(common, low), len(common) - 1)
+    return np.where(common[at] == low, level[at], 0)
+
+
 def _subset_keys(shingles: np.ndarray, boundary: int) -> list[int]:
     """A key for every subset that a link to a set of up to ``boundary`` shingles needs."""
     n, keys = len(shingles), []
@@ -159,29 +174,26 @@ def _subset_keys(shingles: np.ndarray, boundary: int) -> list[int]:
 
 
 def _keys(often, boundary: int, size: int, schema: pa.Schema):
-    mask = U64((1 << 48) - 1)
-
     def run(batches):
-        common, level = often.value
         for batch in slices(batches, "_text"):
             ids = batch.column("_id").to_numpy()
-            keys, light, owner, sizes = [], [], [], []
+            keys, light, owner, sizes, rare = [], [], [], [], []
             for i, s in enumerate(_sets_of(batch, size)):
-                n, own = len(s), []
+                n, own, few = len(s), [], 0
                 if n <= boundary:
                     own.append(np.array(_subset_keys(s, boundary), np.uint64))
                 if n * 5 // 4 > boundary:
-                    at = np.searchsorted(common, s & mask)
-                    at[at == len(common)] = 0
-                    rank = np.where(common[at] == s & mask, level[at], 0) if len(common) else np.zeros(n)
+                    rank = _level(s, often.value)
                     own.append(s[np.lexsort((s, rank))][: n - must_share(n) + 1])
+                    few = int((rank == 0).sum())
                 for part in own:
                     keys.append(mix(part))
                     light += [part is own[0] and n <= boundary] * len(part)
                     owner += [ids[i]] * len(part)
                     sizes += [n] * len(part)
+                    rare += [few] * len(part)
             keys = np.concatenate(keys).astype(np.int64) if keys else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((keys, light, owner, sizes), schema.types, strict=True)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((keys, light, owner, sizes, rare), schema.types, strict=True)], schema=schema)
 
     return run
 
@@ -205,10 +217,35 @@ def _linked(size: int, schema: pa.Schema):
     return run
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+def _differences(often, size: int, schema: pa.Schema):
+    """The shingles that a leader and a member do not share: the member's own before the leader's, rare ones first."""
+
+    def run(batches):
+        for batch in slices(batches, "_b_text"):
+            sets = [
+                [shingle_sets(*flat(batch.column(side).slice(i, 1)), size)[0] for side in ("_a_text", "_b_text")]
+                for i in range(batch.num_rows)
+            ]
+            own = [np.concatenate([np.setdiff1d(b, a, True), np.setdiff1d(a, b, True)]) for a, b in sets]
+            own = [o[np.lexsort((o, _level(o, often.value), np.isin(o, a)))] for o, (a, _) in zip(own, sets, strict=True)]
+            many = np.array([len(o) for o in own], np.int64)
+            spread = {c: np.repeat(batch.column(c).to_numpy(), many) for c in ("a", "b", "component")}
+            at = np.concatenate([np.arange(1, k + 1) for k in many])
+            n = np.repeat([len(b) for _, b in sets], many)
+            columns = (spread["a"], np.concatenate(own).astype(np.int64), spread["b"], spread["component"], n, np.repeat(many, many), at)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+
+    return run
+
+
+def _pair_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("_id").alias("a"), F.col("_text").alias("_a_text"))
     right = texts.select(F.col("_id").alias("b"), F.col("_text").alias("_b_text"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "_a_text", "_b_text")
+    return pairs.join(left, "a").join(right, "b")
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    both = _pair_texts(pairs, texts).select("a", "b", "_a_text", "_b_text")
     return both.mapInArrow(_linked(size, arrow_schema("a long, b long")), "a long, b long")
 
 
@@ -265,27 +302,39 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     hubs = keys.filter("light").groupBy("key").agg(F.min("id").alias("hub"))
     links = keys.filter("light").join(hubs, "key").filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    lists = keys.filter("not light").select("key", "id", "n")
+    lists = keys.filter("not light").select("key", "id", "n", "rare")
     fits = F.least("n", "m") * 5 >= F.greatest("n", "m") * 4
 
-    # every list against its leader
-    leader = F.min_by(F.struct("id", "n"), F.xxhash64("id"))
-    led = lists.groupBy("key").agg(leader.alias("led"), F.count("id").alias("many")).filter("many > 1")
-    stars = lists.join(led.select("key", F.col("led.id").alias("b"), F.col("led.n").alias("m")), "key")
-    stars = stars.filter((F.col("id") != F.col("b")) & fits)
-    stars = materialise(stars.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct(), "stars")
+    # every list against its leader, the member with the fewest rare shingles: it stands nearest to the text that a
+    # family of copies comes from
+    first = F.min_by(F.struct("id", "n"), F.struct("rare", F.xxhash64("id")))
+    led = lists.groupBy("key").agg(first.alias("led"), F.count("id").alias("many")).filter("many > 1")
+    led = lists.join(led.select("key", F.col("led.id").alias("leader"), F.col("led.n").alias("m")), "key")
+    led = materialise(led.select("key", "id", "n", "leader", "m"), "led")
+    stars = led.filter((F.col("id") != F.col("leader")) & fits).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    stars = materialise(stars, "stars")
     links = materialise(links.union(_verify(stars, texts, size)), "star_links")
     labels = components(links)
 
-    # what is left: members of one list in different components
-    marked = lists.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    marked = materialise(marked, "marked")
-    open_keys = marked.groupBy("key").agg((F.min("component") != F.max("component")).alias("open")).filter("open").select("key")
-    members = marked.join(open_keys, "key")
-    other = members.select("key", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"))
-    rest = members.join(other, "key").filter((F.col("component") < F.col("other_component")) & fits)
-    rest = rest.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-    rest = materialise(rest.join(stars, ["a", "b"], "left_anti"), "rest")
+    # what is left: members of one list in different components. A leader's lists are joined again on what sets them
+    # apart from the leader, where members of a family have little in common
+    named = led.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    open_keys = named.groupBy("key").agg((F.min("component") != F.max("component")).alias("open")).filter("open")
+    groups = named.join(open_keys.select("key"), "key").select("leader", "id", "component").distinct()
+    groups = materialise(groups.filter("id <> leader"), "groups")
+    open_leaders = groups.groupBy("leader").agg((F.min("component") != F.max("component")).alias("open")).filter("open")
+    groups = groups.join(open_leaders.select("leader"), "leader")
+    apart = _pair_texts(groups.select(F.col("leader").alias("a"), F.col("id").alias("b"), "component"), texts)
+    apart = materialise(apart.mapInArrow(_differences(order, size, arrow_schema(_APART)), _APART), "apart")
+    other = apart.select("leader", "h", *(F.col(c).alias(f"o_{c}") for c in ("id", "component", "n", "size", "at")))
+    apart_most = F.floor((F.col("n") + F.col("o_n")) / 9)
+    common = F.ceil((F.col("size") + F.col("o_size") - apart_most) / 2)
+    rest = apart.join(other, ["leader", "h"]).filter(
+        (F.col("component") < F.col("o_component"))
+        & (F.col("at") <= F.col("size") - common + 1)
+        & (F.col("o_at") <= F.col("o_size") - common + 1)
+    )
+    rest = materialise(rest.select(F.col("id").alias("a"), F.col("o_id").alias("b")).distinct(), "rest")
     more = materialise(_verify(rest, texts, size), "more_links")
     if not more.isEmpty():
         labels = components(links.union(more))
