@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, jaccard, suffix
+from pitwall.llm import bpe, jaccard, ppm, suffix
 
 
 def _read(spark, sf_dir, name):
@@ -17,6 +17,21 @@ def op4_ngram_jaccard(spark, sf_dir):
     return found.withColumnRenamed("id", "doc_id")
 
 
+def held_out():
+    """Whether the CRC-32 of the id as text is divisible by five."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+
+
+def language_model(spark, sf_dir):
+    return ppm.fit(_read(spark, sf_dir, "documents").filter(~held_out()).select("doc_id", "text", "lang"))
+
+
+def op5_ppm_language(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = ppm.identify(docs, language_model(spark, sf_dir)).select("row.doc_id", "lang_pred", "score")
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -31,6 +46,6 @@ def op10_suffix_dedup(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_jaccard, op7_byte_bpe, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op4_ngram_jaccard, op5_ppm_language, op7_byte_bpe, op10_suffix_dedup)}
 
 ORACLE = {}
