@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, jaccard, ppm, suffix
+from pitwall.llm import bpe, jaccard, mixing, ppm, suffix
 
 
 def _read(spark, sf_dir, name):
@@ -39,6 +39,14 @@ def op7_byte_bpe(spark, sf_dir):
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op9_source_mix(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found, sources = mixing.mix(docs)
+    found = found.select("row.doc_id", "size", "taken", F.col("sources")[0].alias("_source"))
+    same = found["_source"].eqNullSafe(sources["source"])
+    return found.join(F.broadcast(sources), same).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_suffix_dedup(spark, sf_dir):
     found = suffix.remove_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -46,6 +54,6 @@ def op10_suffix_dedup(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_jaccard, op5_ppm_language, op7_byte_bpe, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op4_ngram_jaccard, op5_ppm_language, op7_byte_bpe, op9_source_mix, op10_suffix_dedup)}
 
 ORACLE = {}
