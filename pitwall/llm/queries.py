@@ -5,13 +5,27 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, jaccard, mixing, ppm, suffix
+from pitwall.llm import bpe, jaccard, mixing, ppm, suffix, syncmers
 
 
 def _read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_closed_syncmers(spark, sf_dir):
+    found = syncmers.edited(syncmers.fingerprints(_read(spark, sf_dir, "documents").select("doc_id", "text")))
+    found = syncmers.with_anchors(found, "edited", "edited_anchors")
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        syncmers.shown("anchors").alias("fingerprint"),
+        syncmers.shown("edited_anchors").alias("edited_fingerprint"),
+        syncmers.likeness("anchors", "edited_anchors").alias("near_edited"),
+        syncmers.likeness("anchors", "next_anchors").alias("near_next"),
+    )
+
+
 def op4_ngram_jaccard(spark, sf_dir):
     found = jaccard.near_duplicates(_read(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id")
@@ -54,6 +68,6 @@ def op10_suffix_dedup(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_jaccard, op5_ppm_language, op7_byte_bpe, op9_source_mix, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op3_closed_syncmers, op4_ngram_jaccard, op5_ppm_language, op7_byte_bpe, op9_source_mix, op10_suffix_dedup)}
 
 ORACLE = {}
