@@ -2,16 +2,57 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, jaccard, mixing, ppm, suffix, syncmers
+from pitwall.llm import bpe, hamming, jaccard, mixing, ppm, suffix, syncmers, warc
+from pitwall.operators.hot import broadcast_if_small
+from pitwall.session import materialise, scratch_dir
+
+
+# Payloads below this size are always stored.
+REVISIT_BYTES = 1000
+NEAREST = 10
 
 
 def _read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def page_records(pages):
+    """One archive record per page: the largest id of equal payloads is the response, the others revisit it."""
+    payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
+    rows = pages.select("page_id", "url", payload.alias("payload"))
+    rows = rows.withColumns({"payload_digest": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("long")})
+    groups = rows.filter(F.col("payload_bytes") >= REVISIT_BYTES).groupBy("payload_digest")
+    groups = groups.agg(F.max("page_id").alias("first"), F.count("*").alias("many")).filter("many > 1")
+    groups = materialise(groups.select("payload_digest", "first"), "payloads")
+    rows = rows.join(broadcast_if_small(groups), "payload_digest", "left")
+    again = F.coalesce(F.col("page_id") != F.col("first"), F.col("first").isNotNull())
+    named = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")))
+    return rows.select(
+        named("page_id").alias("record_id"),
+        F.when(again, "revisit").otherwise("response").alias("record_type"),
+        F.col("url").alias("target_uri"),
+        F.lit("2024-01-01T00:00:00Z").alias("date"),
+        F.when(again, named("first")).alias("refers_to"),
+        "payload_digest",
+        "payload_bytes",
+        F.when(~again, F.col("payload")).alias("payload"),
+    )
+
+
+def op2_warc_archive(spark, sf_dir):
+    path = f"{scratch_dir(spark)}/pitwall/warc-{uuid.uuid4().hex}"
+    warc.write_warc(page_records(_read(spark, sf_dir, "pages")), path)
+    number = lambda c: F.substring_index(c, ":", -1).try_cast("long").alias(c)
+    found = warc.read_warc(spark, path).withColumn("payload_sha1", F.sha1("payload"))
+    found = found.select(number("record_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to"), "payload_sha1")
+    return found.withColumnRenamed("record_id", "page_id").drop("payload_sha1")
+
+
 def op3_closed_syncmers(spark, sf_dir):
     found = syncmers.edited(syncmers.fingerprints(_read(spark, sf_dir, "documents").select("doc_id", "text")))
     found = syncmers.with_anchors(found, "edited", "edited_anchors")
@@ -53,6 +94,14 @@ def op7_byte_bpe(spark, sf_dir):
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op8_hamming_search(spark, sf_dir):
+    vectors = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    dims = vectors.agg(F.max(F.size("embedding"))).first()[0] or 1
+    codes = materialise(hamming.sign_codes(vectors, "vec_id", "embedding", dims), "sign_codes")
+    found = hamming.top_k(codes, codes.filter("id % 50 = 0"), NEAREST, dims)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op9_source_mix(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     found, sources = mixing.mix(docs)
@@ -68,6 +117,27 @@ def op10_suffix_dedup(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_closed_syncmers, op4_ngram_jaccard, op5_ppm_language, op7_byte_bpe, op9_source_mix, op10_suffix_dedup)}
-
-ORACLE = {}
+QUERIES = {f.__name__: f for f in (op2_warc_archive, op3_closed_syncmers, op4_ngram_jaccard, op5_ppm_language, op7_byte_bpe, op8_hamming_search, op9_source_mix, op10_suffix_dedup)}
+
+ORACLE = {
+    "op2_warc_archive": """
+        with p as (
+            select page_id, sha1(coalesce(html, '')) as payload_digest, strlen(coalesce(html, '')) as payload_bytes from pages
+        ), f as (
+            select payload_digest, max(page_id) as response from p where payload_bytes >= 1000 group by payload_digest
+        )
+        select page_id, payload_bytes, payload_digest,
+               case when response is not null and response <> page_id then 'revisit' else 'response' end as record_type,
+               case when response <> page_id then response end as refers_to
+        from p left join f using (payload_digest)""",
+    "op8_hamming_search": """
+        with c as (
+            select vec_id, list_transform(embedding, lambda x: if(x > 0, 1, 0)) as b from embeddings where embedding is not null
+        ), d as (
+            select q.vec_id as query_id, c.vec_id,
+                   list_sum(list_transform(list_zip(q.b, c.b), lambda p: abs(p[1] - p[2])))::int as distance
+            from c q, c where q.vec_id % 50 = 0
+        )
+        select query_id, row_number() over (partition by query_id order by distance, vec_id)::int as rank, vec_id, distance
+        from d qualify rank <= 10""",
+}
