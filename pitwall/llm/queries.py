@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, hamming, jaccard, mixing, ppm, suffix, syncmers, warc
+from pitwall.llm import bpe, hamming, jaccard, mixing, ppm, resampling, suffix, syncmers, url_lists, warc
 from pitwall.operators.hot import broadcast_if_small
 from pitwall.session import materialise, scratch_dir
 
@@ -15,12 +15,53 @@ from pitwall.session import materialise, scratch_dir
 # Payloads below this size are always stored.
 REVISIT_BYTES = 1000
 NEAREST = 10
+# One document in so many is sampled.
+SAMPLE_OF = 10
 
 
 def _read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _number(column, digits=4):
+    """A number from the start of a hash, the same in any engine."""
+    return F.conv(F.substring(F.md5(column), 1, digits), 16, 10).cast("int")
+
+
+def captures(spark, sf_dir):
+    """Pages with a fetch day in a year, derived from the URL."""
+    return _read(spark, sf_dir, "pages").select("page_id", "url", (_number(F.col("url")) % 365).alias("fetch_day"))
+
+
+def list_entries(spark, sf_dir):
+    """Dated entries of three lists, derived from the hosts, domains and first path steps of the pages."""
+    pages = _read(spark, sf_dir, "pages")
+    name, step = url_lists.host(F.col("url")), F.split_part(url_lists.path(F.col("url")), F.lit("/"), F.lit(2))
+    hosts = pages.select(name.alias("pattern")).dropna().distinct().withColumn("c", _number(F.col("pattern")))
+    prefixes = pages.select(F.concat(name, F.lit("/"), step, F.lit("/")).alias("pattern")).dropna().distinct()
+    prefixes = prefixes.withColumn("c", _number(F.col("pattern")))
+    domains = hosts.select(F.regexp_extract("pattern", r"([^.]+\.[^.]+)$", 1).alias("pattern")).filter("pattern <> ''").distinct()
+    domains = domains.withColumn("c", _number(F.col("pattern")))
+    parts = [
+        (hosts.filter("c % 4 = 0"), "spam", "host", "c % 200", "add"),
+        (hosts.filter("c % 4 = 0"), "spam", "host", "c % 200 + 20 + c % 90", "remove"),
+        (hosts.filter("c % 8 = 0"), "spam", "host", "300 + c % 30", "add"),
+        (prefixes.filter("c % 6 = 0"), "adult", "prefix", "c % 300", "add"),
+        (domains, "review", "domain", "c % 250", "add"),
+        (domains.filter("c % 2 = 0"), "review", "domain", "c % 250", "remove"),
+    ]
+    found = None
+    for rows, list_, kind, day, action in parts:
+        rows = rows.selectExpr(f"'{list_}' as list", f"'{kind}' as kind", "pattern", f"{day} as day", f"'{action}' as action")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def op1_temporal_url_lists(spark, sf_dir):
+    found = url_lists.active_lists(captures(spark, sf_dir), list_entries(spark, sf_dir))
+    return found.select("row.*", F.array_join("lists", ",").alias("lists"), (F.size("lists") > 0).alias("filtered"))
+
+
 def page_records(pages):
     """One archive record per page: the largest id of equal payloads is the response, the others revisit it."""
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
@@ -87,6 +128,13 @@ def op5_ppm_language(spark, sf_dir):
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op6_importance_resampling(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    target = _read(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    found = resampling.resample(docs, target, docs.count() // SAMPLE_OF)
+    return found.select("row.doc_id", "log_weight", F.col("key").alias("gumbel_key"), "selected")
+
+
 def op7_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -117,9 +165,41 @@ def op10_suffix_dedup(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_warc_archive, op3_closed_syncmers, op4_ngram_jaccard, op5_ppm_language, op7_byte_bpe, op8_hamming_search, op9_source_mix, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_temporal_url_lists, op2_warc_archive, op3_closed_syncmers, op4_ngram_jaccard, op5_ppm_language, op6_importance_resampling, op7_byte_bpe, op8_hamming_search, op9_source_mix, op10_suffix_dedup)}
 
 ORACLE = {
+    "op1_temporal_url_lists": r"""
+        with p as (
+            select page_id, url, ('0x' || md5(url)[1:4])::int % 365 as fetch_day,
+                   nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '') as host,
+                   '/' || regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1) as path
+            from pages
+        ), h as (select distinct host as pattern, ('0x' || md5(host)[1:4])::int as c from p where host is not null
+        ), x as (
+            select distinct pattern, ('0x' || md5(pattern)[1:4])::int as c
+            from (select host || '/' || split_part(path, '/', 2) || '/' as pattern from p) where pattern is not null
+        ), d as (
+            select distinct pattern, ('0x' || md5(pattern)[1:4])::int as c
+            from (select regexp_extract(pattern, '([^.]+[.][^.]+)$', 1) as pattern from h) where pattern <> ''
+        ), e as (
+            select 'spam' as list, 'host' as kind, pattern, c % 200 as day, 'add' as action from h where c % 4 = 0
+            union all select 'spam', 'host', pattern, c % 200 + 20 + c % 90, 'remove' from h where c % 4 = 0
+            union all select 'spam', 'host', pattern, 300 + c % 30, 'add' from h where c % 8 = 0
+            union all select 'adult', 'prefix', pattern, c % 300, 'add' from x where c % 6 = 0
+            union all select 'review', 'domain', pattern, c % 250, 'add' from d
+            union all select 'review', 'domain', pattern, c % 250, 'remove' from d where c % 2 = 0
+        ), v as (
+            select *, lead(day) over (partition by list, kind, pattern order by day) as until
+            from (select list, kind, pattern, day, max(action) as action from e group by all)
+        ), m as (
+            select distinct page_id, url, list from p, v
+            where action = 'add' and day <= fetch_day and (until is null or fetch_day < until) and (
+                kind = 'host' and host = pattern
+                or kind = 'domain' and (host = pattern or ends_with(host, '.' || pattern))
+                or kind = 'prefix' and starts_with(host || rtrim(path, '/') || '/', pattern))
+        )
+        select page_id, url, fetch_day, coalesce(string_agg(list, ',' order by list), '') as lists, count(list) > 0 as filtered
+        from p left join m using (page_id, url) group by page_id, url, fetch_day""",
     "op2_warc_archive": """
         with p as (
             select page_id, sha1(coalesce(html, '')) as payload_digest, strlen(coalesce(html, '')) as payload_bytes from pages
