@@ -335,6 +335,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         & (F.col("o_at") <= F.col("o_size") - common + 1)
     )
     rest = materialise(rest.select(F.col("id").alias("a"), F.col("o_id").alias("b")).distinct(), "rest")
+    # first one pair for each document; pairs that this connects need no look any more
+    links = materialise(links.union(_verify(rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), texts, size)), "links")
+    labels = components(links)
+    near, far = (labels.select(F.col("id").alias(c), F.col("component").alias(f"{c}_in")) for c in ("a", "b"))
+    rest = rest.join(near, "a", "left").join(far, "b", "left")
+    rest = materialise(rest.filter(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b"), "rest")
     more = materialise(_verify(rest, texts, size), "more_links")
     if not more.isEmpty():
         labels = components(links.union(more))
