@@ -266,8 +266,8 @@ def later_copies(data: np.ndarray, start: np.ndarray, ids: np.ndarray, match: in
     new = runs(hashes[order])
     found = np.zeros(len(start), bool)
     begin = np.flatnonzero(new)
-    least, most = (f.reduceat(ids[order], begin) for f in (np.minimum, np.maximum))
-    some = order[(least != most)[np.cumsum(new) - 1]]
+    low, high = (f.reduceat(ids[order], begin) for f in (np.minimum, np.maximum))
+    some = order[(low != high)[np.cumsum(new) - 1]]
     if not len(some):
         return found
     big = np.zeros(len(data), np.uint64)
