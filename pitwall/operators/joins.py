@@ -73,23 +73,23 @@ def laps_in_stint(
 
     The lap range is cut into blocks of laps and the block joins the equi-join
     keys. A lap is then compared only with stints of its own block, and a
-    driver with very many laps spreads over many tasks. Stints are clipped to
-    the laps their session has, so that wild bounds make no extra blocks.
+    driver with very many laps spreads over many tasks. Only blocks in which a
+    driver has laps are made, so a wild lap number costs one block.
     """
     extent = laps.groupBy("session_key").agg(
         F.min("lap_number").alias("_min_lap"), F.max("lap_number").alias("session_max_lap")
     )
     first = F.greatest(F.col("lap_start") + F.lit(1 if skip_first else 0), F.col("_min_lap"))
     last = F.least("lap_end", "session_max_lap")
+    blocks = laps.select("session_key", "driver_number", _block("lap_number").alias("_block")).distinct()
     spans = (
         stints.filter(F.col("lap_start").isNotNull() & F.col("lap_end").isNotNull())
         .join(extent, "session_key")
         .withColumns({"_first": first, "_last": last})
         .filter(F.col("_first") <= F.col("_last"))
-        .select(
-            "session_key", "driver_number", "session_max_lap", "_first", "_last", *columns,
-            F.explode(F.sequence(_block("_first"), _block("_last"))).alias("_block"),
-        )
+        .join(blocks, ["session_key", "driver_number"])
+        .filter(F.col("_block").between(_block("_first"), _block("_last")))
+        .select("session_key", "driver_number", "session_max_lap", "_first", "_last", *columns, "_block")
     )
     blocked = laps.withColumn("_block", _block("lap_number"))
     joined = blocked.join(spans, ["session_key", "driver_number", "_block"])

@@ -39,9 +39,11 @@ def overview(summary: DataFrame, dim_driver: DataFrame, dim_race: DataFrame, hot
     )
 
 
-def championship(overview_rows: DataFrame) -> DataFrame:
-    """Championship table: points per (season, driver)."""
-    return overview_rows.groupBy("season", "driver_id", "full_name").agg(F.sum("points").alias("points"))
+def championship(summary: DataFrame, dim_driver: DataFrame) -> DataFrame:
+    """Championship table: points per (season, driver), summed before the names are joined."""
+    points = summary.groupBy("season", "driver_id").agg(F.sum("points").alias("points"))
+    named = enrich(points, dim_driver.select("driver_id", "full_name"), ["driver_id"])
+    return named.select("season", "driver_id", "full_name", "points")
 
 
 def race_deep_dive(

@@ -103,7 +103,7 @@ def overview(spark, sf):
 
 
 def championship(spark, sf):
-    return dashboards.championship(overview(spark, sf))
+    return dashboards.championship(race_summary(spark, sf), dim_driver(spark, sf))
 
 
 def race_deep_dive(spark, sf):
@@ -179,7 +179,7 @@ def quarantine_retention(spark, sf):
 
 
 def alert_times(spark, sf):
-    return alerts(td.audit_log(spark, sf))
+    return alerts(td.audit_log(spark, sf), td.SERVICES)
 
 
 # --- operators on their own ---

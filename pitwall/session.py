@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,7 +21,8 @@ _RUNTIME_CONF = {
 }
 
 _own_scratch: dict[str, str] = {}
-_written: list[str] = []
+# The tables written in the innermost open scope of this thread or task.
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -70,19 +72,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/pitwall/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append(path)
+    written = _scope.get()
+    if written is not None:
+        written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete the tables that were materialised inside the block."""
-    start = len(_written)
+    """Delete the tables that this thread materialises inside the block."""
+    written: list[str] = []
+    token = _scope.set(written)
     try:
         yield
     finally:
+        _scope.reset(token)
         hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for path in _written[start:]:
+        for path in written:
             target = hadoop_path(path)
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        del _written[start:]

@@ -10,6 +10,7 @@ import datetime as dt
 import re
 import uuid
 from collections.abc import Sequence
+from itertools import islice
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,9 @@ from pitwall.sources.selection import gate, sanitize, select_sessions
 from pitwall.sources.warehouse import Warehouse
 
 SERVICE = "loader"
+# Events after which a file is not loaded again.
+FINISHED = ("loaded", "quarantined", "skipped")
+FILES_PER_LOAD = 10_000
 _STAMP = "yyyyMMdd'T'HHmmss'Z'"
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
 
@@ -224,12 +228,16 @@ def load_target(
         good, bad = split_quarantine(parsed, files) if rejected else (parsed, None)
         warehouse.append("raw", target, typed(good, schema), batch)
 
+        # a file may vanish between the two passes: only rows that were written count
+        rows = spark.read.schema("object_key string").parquet(f"{warehouse.path('raw', target)}/load_batch={batch}")
+        written = rows.groupBy("object_key").agg(F.count(F.lit(1)).alias("written"))
         outcome = files.withColumn("moved", F.lit(True))
         if rejected:
             quarantine(bad, warehouse, batch, now)
             outcome = files.join(quarantined_keys(warehouse, batch), "object_key", "left")
-        good_file = F.col("reason").isNull()
-        event = F.when(good_file, "loaded").when(F.col("moved"), "quarantined").otherwise("quarantine_miss")
+        outcome = outcome.join(written, "object_key", "left")
+        good_file = F.col("reason").isNull() & F.col("written").isNotNull()
+        event = F.when(good_file, "loaded").when(F.col("reason").isNull(), "load_miss").when(F.col("moved"), "quarantined").otherwise("quarantine_miss")
         audit = outcome.select(
             event.alias("event"),
             F.when(good_file, "INFO").otherwise("ERROR").alias("severity"),
@@ -238,7 +246,7 @@ def load_target(
             F.lit(source).alias("source"),
             F.lit(endpoint).alias("endpoint"),
             F.lit(target).alias("target_table"),
-            F.when(good_file, F.col("lines")).otherwise(F.lit(0).cast("long")).alias("output_rows"),
+            F.coalesce("written", F.lit(0).cast("long")).alias("output_rows"),
             F.lit(schema_source).alias("schema_source"),
             "reason",
             now.alias("logged_at"),
@@ -280,8 +288,12 @@ def _inferred(spark: SparkSession, paths: str | Sequence[str]) -> T.StructType:
 
 
 def load_lines(lines: DataFrame, warehouse: Warehouse, batch: str, now: Column | None = None) -> None:
-    """Load the lines of one micro-batch, which may belong to several targets."""
-    routed = route(lines)
+    """Load the lines of one micro-batch, which may belong to several targets.
+
+    Files that another load has finished are left out.
+    """
+    done = finished_files(warehouse).filter(~F.col("load_batch").startswith(f"{batch}-"))
+    routed = route(pending_files(lines, done))
     wanted = routed.filter(F.col("skip_reason").isNull()).select("source", "endpoint").distinct()
     # one row per endpoint
     for row in wanted.collect():
@@ -311,18 +323,41 @@ def _audit_skipped(objects: DataFrame, warehouse: Warehouse, batch: str, now: Co
     warehouse.append("raw", "load_audit", rows.select(*columns), f"{batch}-skipped")
 
 
+def finished_files(warehouse: Warehouse) -> DataFrame:
+    """The audit rows of files that need no other load."""
+    if not warehouse.has("raw", "load_audit"):
+        columns = ", ".join(f"{name} {dtype}" for name, dtype in AUDIT_COLUMNS.items())
+        return warehouse.spark.createDataFrame([], f"{columns}, load_batch string")
+    return audit_log(warehouse).filter(F.col("event").isin(*FINISHED))
+
+
+def pending_files(objects: DataFrame, audit: DataFrame) -> DataFrame:
+    """The objects of a lake that no audit row calls finished."""
+    done = audit.filter(F.col("event").isin(*FINISHED)).select("object_key").distinct()
+    return objects.join(done, "object_key", "left_anti")
+
+
 def load_batch(spark: SparkSession, lake_root: str, warehouse: Warehouse, batch: str | None = None) -> dict:
-    """Load every file of the lake, one endpoint directory after the other."""
+    """Load every file of the lake that no earlier load has finished, one endpoint after the other.
+
+    Files are read by name, a bounded number at a time.
+    """
     batch = batch or f"batch-{uuid.uuid4().hex}"
     # listing only: the content column is pruned
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(lake_root)
-    objects = route(listing.select(object_key(F.col("path"), lake_root).alias("object_key")))
-    for row in objects.filter(F.col("skip_reason").isNull()).select("source", "endpoint").distinct().collect():
-        directory = f"{lake_root}/raw/source={row.source}/endpoint={row.endpoint}"
-        lines = read_lines(spark, directory, lake_root)
-        name = f"{batch}-{row.source}-{row.endpoint}"
-        load_target(lines, row.source, row.endpoint, warehouse, name, paths=directory)
-    _audit_skipped(objects.filter(F.col("skip_reason").isNotNull()), warehouse, batch, None)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
+    objects = listing.load(lake_root).select(object_key(F.col("path"), lake_root).alias("object_key"), "path")
+    with scratch_scope(spark):
+        objects = materialise(route(pending_files(objects, finished_files(warehouse))), "lake_objects")
+        for row in objects.filter(F.col("skip_reason").isNull()).select("source", "endpoint").distinct().collect():
+            mine = objects.filter((F.col("source") == row.source) & (F.col("endpoint") == row.endpoint))
+            paths = (r.path for r in mine.select("path").toLocalIterator())
+            for part, chosen in enumerate(iter(lambda: list(islice(paths, FILES_PER_LOAD)), [])):
+                present = [p for p in chosen if warehouse.exists(p)]
+                if present:
+                    lines = read_lines(spark, present, lake_root)
+                    name = f"{batch}-{row.source}-{row.endpoint}-{part}"
+                    load_target(lines, row.source, row.endpoint, warehouse, name, paths=present)
+        _audit_skipped(objects.filter(F.col("skip_reason").isNotNull()), warehouse, batch, None)
     return run_summary(warehouse, batch)
 
 
@@ -338,7 +373,7 @@ def run_summary(warehouse: Warehouse, batch: str) -> dict:
     row = audit.agg(
         F.sort_array(F.collect_set(F.when(loaded, F.col("endpoint")))).alias("endpoints"),
         F.count_if(loaded).alias("files_loaded"),
-        F.count_if(F.col("event").isin("quarantined", "quarantine_miss")).alias("files_quarantined"),
+        F.count_if(F.col("event").isin("quarantined", "quarantine_miss", "load_miss")).alias("files_quarantined"),
         F.count_if(F.col("event") == "skipped").alias("files_skipped"),
         F.coalesce(F.sum("output_rows"), F.lit(0)).alias("rows_loaded"),
     ).first()

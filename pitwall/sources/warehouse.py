@@ -48,6 +48,8 @@ class Warehouse:
         fs, hadoop_path = self._fs(path)
         return fs.exists(hadoop_path)
 
+    exists = _exists
+
     def _delete(self, path: str) -> None:
         fs, hadoop_path = self._fs(path)
         fs.delete(hadoop_path, True)
@@ -113,9 +115,16 @@ class Warehouse:
         raise LookupError(f"no snapshot of {layer_name(layer)}.{name}")
 
     def drop_old_snapshots(self, layer: str, name: str, keep: int = 2) -> int:
-        """Delete all but the ``keep`` newest snapshots."""
+        """Delete what is older than the ``keep`` newest complete snapshots.
+
+        Unfinished ones do not count, so a failed build never displaces a good
+        snapshot; those newer than the oldest kept one may still be running.
+        """
         path = self.path(layer, name)
-        old = self._children(path)[:-keep]
+        children = self._children(path)
+        complete = [c for c in children if self._exists(f"{path}/{c}/_SUCCESS")]
+        oldest = complete[-keep:][:1]
+        old = [c for c in children if oldest and c < oldest[0]]
         for child in old:
             self._delete(f"{path}/{child}")
         return len(old)

@@ -3,7 +3,11 @@
 An alert policy watches the error events of some services and notifies at most
 once per period: an error notifies if the last notification is at least one
 period old. Times count in whole seconds, so equal seconds are merged before
-the shuffle, and one policy holds at most one row per second of its log.
+the shuffle.
+
+A finished log is judged by days at once: for every number of seconds that the
+day before may still block, a day tells how many it blocks of the next. One row
+per day is chained, and then each day marks its notifications.
 """
 
 from __future__ import annotations
@@ -15,15 +19,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitwall.session import materialise
+
 POLICY = "pipeline-errors"
-# The four services that the policy watches.
-SERVICES = ("loader", "results-extractor", "timing-poller", "transform")
 PERIOD_SECONDS = 300
+DAY_SECONDS = 86_400
+# Severities from ERROR up.
+SEVERE = ("ERROR", "CRITICAL", "ALERT", "EMERGENCY")
 
 
-def error_events(audit: DataFrame, services: Sequence[str] = SERVICES) -> DataFrame:
+def error_events(audit: DataFrame, services: Sequence[str]) -> DataFrame:
     """Error events of the watched services, at whole seconds."""
-    errors = audit.filter((F.col("severity") == "ERROR") & F.col("service").isin(list(services)))
+    errors = audit.filter(F.col("severity").isin(*SEVERE) & F.col("service").isin(list(services)))
     return errors.select(F.lit(POLICY).alias("policy"), F.unix_timestamp("logged_at").alias("second"))
 
 
@@ -45,22 +52,47 @@ def rate_limit(period: int) -> Callable[..., list[int]]:
     return fire_times
 
 
-def alerts(audit: DataFrame, services: Sequence[str] = SERVICES, period_seconds: int = PERIOD_SECONDS) -> DataFrame:
+def alerts(audit: DataFrame, services: Sequence[str], period_seconds: int = PERIOD_SECONDS) -> DataFrame:
     """Notifications that a finished log would have sent: policy, fired_at."""
-    seconds = error_events(audit, services).distinct()
-    fire_times = rate_limit(period_seconds)
+    if not 0 < period_seconds <= DAY_SECONDS:
+        raise ValueError("the period must be from one second to one day")
+    day = F.floor(F.col("second") / DAY_SECONDS).alias("day")
+    seconds = materialise(error_events(audit, services).distinct().select("policy", day, "second"), "errors")
+    period, length, fire_times = period_seconds, DAY_SECONDS, rate_limit(period_seconds)
+
+    def reach(rows: pd.DataFrame) -> pd.DataFrame:
+        start = int(rows["day"].iloc[0]) * length
+        ordered = np.sort(rows["second"].to_numpy()) - start
+        # from the last error backwards: what a notification at each error leaves to the next day
+        following, left = np.searchsorted(ordered, ordered + period), np.zeros(len(ordered) + 1, np.int64)
+        for i in range(len(ordered) - 1, -1, -1):
+            k = following[i]
+            left[i] = left[k] if k < len(ordered) else max(0, ordered[i] + period - length)
+        first = np.searchsorted(ordered, np.arange(period + 1))
+        return pd.DataFrame({"policy": [rows["policy"].iloc[0]], "day": [start // length], "blocks": [left[first].tolist()]})
+
+    def chain(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("day")
+        blocked, before, last = [], 0, None
+        for day, blocks in zip(rows["day"], rows["blocks"], strict=True):
+            blocked.append(before if last == day - 1 else 0)
+            before, last = int(blocks[blocked[-1]]), day
+        return pd.DataFrame({"policy": rows["policy"], "day": rows["day"], "blocked": blocked})
 
     def fire(rows: pd.DataFrame) -> pd.DataFrame:
+        start = int(rows["day"].iloc[0]) * length + int(rows["blocked"].iloc[0])
         ordered = np.sort(rows["second"].to_numpy())
-        fired = fire_times(ordered.tolist())
+        fired = fire_times(ordered[ordered >= start].tolist())
         return pd.DataFrame({"policy": rows["policy"].iloc[0], "second": fired})
 
-    fired = seconds.groupBy("policy").applyInPandas(fire, "policy string, second long")
+    days = seconds.groupBy("policy", "day").applyInPandas(reach, "policy string, day long, blocks array<long>")
+    days = days.groupBy("policy").applyInPandas(chain, "policy string, day long, blocked long")
+    fired = seconds.join(days, ["policy", "day"]).groupBy("policy", "day").applyInPandas(fire, "policy string, second long")
     return fired.select("policy", F.timestamp_seconds("second").alias("fired_at"))
 
 
 def alert_stream(
-    audit: DataFrame, services: Sequence[str] = SERVICES, period_seconds: int = PERIOD_SECONDS
+    audit: DataFrame, services: Sequence[str], period_seconds: int = PERIOD_SECONDS
 ) -> DataFrame:
     """The same on a stream of audit rows; the state is the last notification.
 

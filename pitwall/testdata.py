@@ -179,14 +179,18 @@ def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Services of the derived log that alerts watch.
+SERVICES = ("loader", "landing", "build")
+
+
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log events of the services; error events have severity ERROR."""
     e = timed_events(spark, sf_dir)
     car = F.col("driver_number")
     service = (
-        F.when(car % 4 == 0, F.lit("loader"))
-        .when(car % 4 == 1, F.lit("results-extractor"))
-        .when(car % 4 == 2, F.lit("timing-poller"))
+        F.when(car % 4 == 0, F.lit(SERVICES[0]))
+        .when(car % 4 == 1, F.lit(SERVICES[1]))
+        .when(car % 4 == 2, F.lit(SERVICES[2]))
         .otherwise(F.lit("somebody-else"))
     )
     severity = F.when(F.col("event_type") == "error", F.lit("ERROR")).otherwise(F.lit("INFO"))

@@ -178,7 +178,7 @@ def test_overview(spark, rows):
         (2, 0, 1, 1, 43, None),
         (3, 0, 0, None, 43, None),
     ]
-    assert rows(dashboards.championship(view)) == [(2026, "ver", "Max V", 43)]
+    assert rows(dashboards.championship(summary, dim_driver)) == [(2026, "ver", "Max V", 43)]
 
 
 def live(spark, as_of, stint_end=99):

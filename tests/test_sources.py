@@ -88,7 +88,29 @@ def test_repeating_a_batch_changes_nothing(spark, lake_root, warehouse, rows):
     assert spark.read.parquet(warehouse.path("raw", "raw_quarantine")).count() == 1
     assert lake.audit_log(warehouse).count() == 2
     lake.load_batch(spark, str(lake_root), warehouse, "b2")
+    put(lake_root, laps_key("c"), lap(2))
+    lake.load_batch(spark, str(lake_root), warehouse)
     assert warehouse.source("openf1", "laps").count() == 2
+    assert spark.read.parquet(warehouse.path("raw", "raw_quarantine")).count() == 1
+    assert lake.audit_log(warehouse).count() == 3
+
+
+def test_vanished_good_file_is_not_counted(spark, lake_root, warehouse, rows, monkeypatch):
+    put(lake_root, laps_key("a"), lap(1))
+    put(lake_root, laps_key("b"), lap(2))
+    real = lake.file_summary
+
+    def vanish(parsed):
+        files = lake.materialise(real(parsed), "judged")
+        (lake_root / laps_key("a")).unlink(missing_ok=True)
+        return files
+
+    monkeypatch.setattr(lake, "file_summary", vanish)
+    lake.load_batch(spark, str(lake_root), warehouse, "b1")
+    assert rows(lake.audit_log(warehouse), "event", "severity", "output_rows") == [
+        ("load_miss", "ERROR", 0), ("loaded", "INFO", 1),
+    ]
+    assert warehouse.source("openf1", "laps").count() == 1
 
 
 def test_pages_with_quoted_numbers(spark, lake_root, warehouse, rows):
@@ -250,9 +272,9 @@ def test_quarantine_retention(spark, lake_root, warehouse, rows):
     df = spark.createDataFrame([("2026-01-01 00:00:00",), ("2026-01-02 12:00:00",)], "t string")
     df = df.select(F.col("t").cast("timestamp").alias("quarantined_at"))
     assert expire_quarantine(df, "2026-02-01 00:00:00").count() == 1
-    put(lake_root, laps_key("a"), "oops")
-    lines = lake.read_lines(spark, str(lake_root), str(lake_root))
     for day in ("2026-01-01", "2026-01-30"):
+        put(lake_root, laps_key(day), "oops")
+        lines = lake.read_lines(spark, str(lake_root), str(lake_root))
         lake.load_lines(lines, warehouse, f"b-{day}", F.lit(day).cast("timestamp"))
     assert warehouse.purge_quarantine(dt.date(2026, 2, 5)) == 1
     held = spark.read.parquet(warehouse.path("raw", "raw_quarantine"))

@@ -168,16 +168,26 @@ def audit_rows(seconds, service="loader", severity="ERROR"):
 
 def test_alerts_batch(spark):
     data = audit_rows([0, 0.5, *range(100, 1000, 100)]) + audit_rows([50], "somebody-else") + audit_rows([60], severity="INFO")
-    fired = alerts(spark.createDataFrame(data, AUDIT))
+    data += audit_rows([1000], severity="CRITICAL")
+    fired = alerts(spark.createDataFrame(data, AUDIT), ["loader"])
     assert sorted(r.fired_at.minute for r in fired.collect()) == [0, 5, 10, 15]
 
 
+def test_alerts_carry_over_midnight(spark):
+    start = 17 * 3600 + 3600 - 20
+    seconds = [*range(start - 1000, start + 1500, 7), start + 86_400, start + 3 * 86_400]
+    fired = alerts(spark.createDataFrame(audit_rows(seconds), AUDIT), ["loader"])
+    base = dt.datetime(2026, 3, 8, 6)
+    got = sorted(int((r.fired_at - base).total_seconds()) for r in fired.collect())
+    assert got == rate_limit(PERIOD_SECONDS)(sorted(seconds))
+
+
 def test_alert_stream_keeps_the_last_notification(spark, tmp_path):
     path = str(tmp_path / "audit")
     for seconds in ([0, 100, 200], [250, 300, 400], [599], [600, 900]):
         spark.createDataFrame(audit_rows(seconds), AUDIT).coalesce(1).write.mode("append").parquet(path)
         stream = spark.readStream.schema(AUDIT).parquet(path)
-        query = alert_stream(stream).writeStream.format("parquet").option("path", str(tmp_path / "fired"))
+        query = alert_stream(stream, ["loader"]).writeStream.format("parquet").option("path", str(tmp_path / "fired"))
         query = query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
         query.awaitTermination(120)
         assert query.exception() is None
