@@ -19,6 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitwall.llm.arrays import slices
 from pitwall.llm.packs import arrow_schema
@@ -210,7 +211,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_column: str = "text")
     A null or empty text has no ids. Special tokens' strings are ordinary text. Repeated rows are encoded alike.
     """
     ranks, rows = _ranks(docs, path), _rows(docs, text_column)
-    out = rows.select("row").schema.add("ids", "array<int>")
+    out = rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType()))
     schema = arrow_schema(out)
 
     def run(batches):
