@@ -78,12 +78,13 @@ def anchor_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 def _followers(blocks: DataFrame) -> DataFrame:
     """(block, higher): the next higher block of each, null for the highest; no group has over 2^12 rows."""
+    few = Window.orderBy("block")
+    if blocks.count() <= 1 << _LEVEL_BITS:
+        return blocks.select("block", F.lead("block").over(few).alias("higher"))
     up = F.shiftright("block", _LEVEL_BITS).alias("parent")
     own = Window.partitionBy("parent").orderBy("block")
     inner = blocks.select("block", up).withColumn("higher", F.lead("block").over(own))
     parents = materialise(blocks.groupBy(up).agg(F.min("block").alias("least")), "parents")
-    if parents.count() == 1:
-        return inner.select("block", "higher")
     above = _followers(parents.select(F.col("parent").alias("block"))).withColumnRenamed("block", "parent")
     least = parents.select(F.col("parent").alias("higher"), "least")
     above = above.join(least, "higher").select("parent", "least")
