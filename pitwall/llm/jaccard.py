@@ -7,9 +7,9 @@ Two documents link when the Jaccard similarity of their sets of 5-word shingles
   any fixed order, stand among its first n - t + c. Sets of which too few of these occur in another set are alone.
 * Light sets, up to a boundary x: every subset of the size that a link of n and m shingles must share is a key. Sets
   that share a key link, no comparison needed, so each key gives a star.
-* Heavy sets: inverted lists of the first n - t + 1 shingles, those of the fewest sets first. In each list all are
-  compared with one leader. Members that this leaves in different components are joined on what sets them apart from
-  the leader: sets of n and m shingles link if and only if at most (n + m) / 9 shingles are in one of them only, and
+* Heavy sets: inverted lists of the first n - t + 1 shingles, those of the fewest sets first. All in a list are
+  compared with one leader, which may come from another list. Members that this leaves in different components are
+  joined on what sets them apart from the leader: sets of n and m shingles link if and only if at most (n + m) / 9 shingles are in one of them only, and
   a shingle is in one of A and B only if it is in one of A - L and B - L only, for any L. So for differences of a
   and b shingles, ceil((a + b - (n + m) / 9) / 2) have to be common, and the first common one stands early in both.
   Pairs with such a shingle are compared. A large family of copies that do not link makes few such pairs.
@@ -305,11 +305,22 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     lists = keys.filter("not light").select("key", "id", "n", "rare")
     fits = F.least("n", "m") * 5 >= F.greatest("n", "m") * 4
 
-    # every list against its leader, the member with the fewest rare shingles: it stands nearest to the text that a
-    # family of copies comes from
-    first = F.min_by(F.struct("id", "n"), F.struct("rare", F.xxhash64("id")))
-    led = lists.groupBy("key").agg(first.alias("led"), F.count("id").alias("many")).filter("many > 1")
-    led = lists.join(led.select("key", F.col("led.id").alias("leader"), F.col("led.n").alias("m")), "key")
+    # every list against its leader, the text that meets most others in its lists: it stands nearest to the text that a
+    # family of copies comes from. That is the first member, or the first of the leaders that this one meets elsewhere
+    many = lists.groupBy("key").agg(F.count("id").alias("many")).filter("many > 1")
+    lists = materialise(lists.join(many, "key"), "lists")
+    degree = lists.groupBy("id", "n").agg(F.struct(-F.sum("many"), F.min("rare"), F.xxhash64("id")).alias("rank"))
+    lists = materialise(lists.select("key", "id", "n").join(degree, ["id", "n"]), "lists")
+    leaders = lists.groupBy("key").agg(F.min_by(F.struct("id", "n", "rank"), "rank").alias("led"))
+    leaders = leaders.select("key", F.col("led.id").alias("leader"), F.col("led.n").alias("m"), F.col("led.rank").alias("above"))
+    leaders = materialise(leaders, "leaders")
+    chosen = leaders.select(F.col("leader").alias("id"), F.col("m").alias("n")).distinct()
+    met = lists.select("key", "id", "n").join(chosen, ["id", "n"]).join(leaders, "key").filter(fits)
+    better = F.min_by(F.struct("leader", "m"), "above")
+    better = materialise(met.groupBy("id", "n").agg(better.alias("to")).select("id", "n", "to.leader", "to.m"), "better")
+    second = better.select(F.col("id").alias("leader"), F.col("n").alias("m"), F.struct("leader", "m").alias("to"))
+    better = better.join(second, ["leader", "m"]).select(F.col("id").alias("leader"), F.col("n").alias("m"), "to")
+    led = lists.join(leaders.join(better, ["leader", "m"]).select("key", "to.leader", "to.m"), "key")
     led = materialise(led.select("key", "id", "n", "leader", "m"), "led")
     stars = led.filter((F.col("id") != F.col("leader")) & fits).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     stars = materialise(stars, "stars")
