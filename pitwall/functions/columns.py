@@ -75,10 +75,21 @@ def trunc_second(ts: Column) -> Column:
     return F.date_trunc("second", ts)
 
 
+def utc_text(ts: Column) -> Column:
+    """An instant as yyyy-MM-dd HH:mm:ss in UTC, whatever the session's time zone."""
+    since_epoch = F.make_dt_interval(secs=F.unix_seconds(ts).cast("decimal(18,6)"))
+    return F.substr((F.lit("1970-01-01").cast("timestamp_ntz") + since_epoch).cast("string"), F.lit(1), F.lit(19))
+
+
+def fetch_stamp(ts: Column) -> Column:
+    """The stamp of a fetch in the name of a lake object."""
+    return F.concat(F.translate(utc_text(ts), " -:", "T"), F.lit("Z"))
+
+
 def ingest_ts(path: Column) -> Column:
     """The fetch time stamped into a lake object's name; NULL if there is none."""
     stamp = F.regexp_extract(path, r"(\d{8}T\d{6}Z)", 1)
-    return F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd'T'HHmmss'Z'"))
+    return F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd'T'HHmmssX"))
 
 
 def lake_path_parts(key: Column) -> dict[str, Column]:

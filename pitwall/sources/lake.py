@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitwall.functions.columns import ingest_ts, lake_path_parts
+from pitwall.functions.columns import fetch_stamp, ingest_ts, lake_path_parts, utc_text
 from pitwall.functions.labels import QUARANTINE_PREFIX
 from pitwall.session import materialise, scratch_scope
 from pitwall.sources.schemas import as_strings, has_bad_leaf, schema_for
@@ -28,7 +28,6 @@ SERVICE = "loader"
 # Events after which a file is not loaded again.
 FINISHED = ("loaded", "quarantined", "skipped")
 FILES_PER_LOAD = 10_000
-_STAMP = "yyyyMMdd'T'HHmmss'Z'"
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
 
 AUDIT_COLUMNS = {
@@ -57,8 +56,8 @@ def land_pages(
         "*",
         F.lit(source).alias("source"),
         F.lit(endpoint).alias("endpoint"),
-        F.date_format(fetched_at, "yyyy-MM-dd").alias("dt"),
-        F.date_format(fetched_at, _STAMP).alias("fetch"),
+        F.substr(utc_text(fetched_at), F.lit(1), F.lit(10)).alias("dt"),
+        fetch_stamp(fetched_at).alias("fetch"),
     )
     writer = keyed.write.mode("append").partitionBy("source", "endpoint", "dt", "fetch")
     writer.option("maxRecordsPerFile", pages_per_file).json(f"{root}/raw")
@@ -75,7 +74,7 @@ def land_rows(rows: DataFrame, root: str, source: str, endpoint: str, fetched_at
         F.lit(source).alias("source"),
         F.lit(endpoint).alias("endpoint"),
         F.col("session_key").alias("session"),
-        F.date_format(fetched_at, _STAMP).alias("fetch"),
+        fetch_stamp(fetched_at).alias("fetch"),
     )
     balanced = keyed.hint("rebalance", "session", "fetch")
     balanced.write.mode("append").partitionBy("source", "endpoint", "session", "fetch").json(f"{root}/raw")
@@ -109,8 +108,9 @@ def land_poll(
 
 
 def landing_summary(spark: SparkSession, root: str, fetched_at: dt.datetime) -> dict:
-    """Endpoints, sessions, files and rows that one fetch has landed."""
-    landed = f"{root}/raw/source=*/endpoint=*/*/fetch={fetched_at:%Y%m%dT%H%M%SZ}"
+    """Endpoints, sessions, files and rows that one fetch has landed; a time without a zone is local, as in a literal."""
+    utc = fetched_at.astimezone(dt.timezone.utc)
+    landed = f"{root}/raw/source=*/endpoint=*/*/fetch={utc:%Y%m%dT%H%M%SZ}"
     try:
         lines = read_lines(spark, landed, root)
     except AnalysisException:  # no such directory
@@ -212,7 +212,7 @@ def load_target(
     """Append the good files to the raw table, quarantine the others, write the audit.
 
     The first pass parses and judges each file; the second writes the rows.
-    Without a contract the types come from the files at ``paths``.
+    Without a contract the first load takes the types from the files at ``paths``; later files have to fit them.
     """
     spark = lines.sparkSession
     now = F.current_timestamp() if now is None else now
@@ -220,7 +220,7 @@ def load_target(
     schema = schema_for(source, endpoint)
     schema_source = "file" if schema else "autodetect"
     if schema is None:
-        schema = _inferred(spark, paths)
+        schema = warehouse.types_of("raw", target) or _inferred(spark, paths)
     with scratch_scope(spark):
         parsed = parse(lines, schema)
         files = materialise(file_summary(parsed), "lake_files")

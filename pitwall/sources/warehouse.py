@@ -14,6 +14,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pitwall.sources.schemas import CONTRACTS, LINEAGE
 
@@ -73,6 +74,16 @@ class Warehouse:
             return self.spark.read.option("mergeSchema", "true").parquet(self.path(layer, name))
         return self.spark.read.schema(f"{reads}, load_batch STRING").parquet(self.path(layer, name))
 
+    def types_of(self, layer: str, name: str) -> StructType | None:
+        """The columns that an earlier load of an append-only table has fixed, without the loader's own."""
+        path, own = self.path(layer, name), StructType.fromDDL(LINEAGE).names
+        for child in self._children(path):
+            if self._exists(f"{path}/{child}/_SUCCESS"):
+                fields = [f for f in self.spark.read.parquet(f"{path}/{child}").schema if f.name not in own]
+                if fields:
+                    return StructType(fields)
+        return None
+
     def fold(self, layer: str, name: str, merge: Callable[[DataFrame], DataFrame]) -> int:
         """Replace the complete loads of an append-only table by one merged load."""
         path = self.path(layer, name)

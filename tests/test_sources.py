@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from pitwall.functions.columns import ingest_ts
 from pitwall.sources import lake, selection
 from pitwall.sources.schemas import CONTRACTS, as_strings, schema_for
 from pitwall.sources.warehouse import expire_quarantine, layer_name
@@ -287,3 +288,37 @@ def test_object_key(spark):
         ("s3a://bucket/lake", "s3a://bucket/lake/raw/x"),
     ]:
         assert spark.range(1).select(lake.object_key(F.lit(path), root)).first()[0] == "raw/x"
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Madrid", "America/New_York"])
+def test_stamps_are_utc_in_any_session(spark, lake_root, zone):
+    # the second instant is an hour that Madrid's clocks skip
+    instants = [dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone.utc), dt.datetime(2024, 3, 31, 2, 30, tzinfo=dt.timezone.utc)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for instant in instants:
+            fetched = F.timestamp_seconds(F.lit(int(instant.timestamp())))
+            lake.land_pages(spark.range(1), str(lake_root), "ergast", "results", fetched)
+            lake.land_rows(spark.range(1).selectExpr("id as session_key"), str(lake_root), "openf1", "weather", fetched)
+            summary = lake.landing_summary(spark, str(lake_root), instant)
+            assert (summary["files_written"], summary["rows_written"]) == (2, 2)
+            key = F.lit(f"raw/source=ergast/endpoint=results/x-{instant:%Y%m%dT%H%M%SZ}.ndjson")
+            assert spark.range(1).select(F.unix_seconds(ingest_ts(key))).first()[0] == int(instant.timestamp())
+        days = {p.name for p in (lake_root / "raw/source=ergast/endpoint=results").iterdir() if p.is_dir()}
+        assert days == {"dt=2024-01-01", "dt=2024-03-31"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_table_without_contract_keeps_its_first_types(spark, lake_root, warehouse, rows):
+    key = f"raw/source=openf1/endpoint=weather/session=1/{{}}-{STAMP}.ndjson"
+    put(lake_root, key.format("first"), {"a": 1, "b": {"c": [1.5]}})
+    lake.load_batch(spark, str(lake_root), warehouse, "b1")
+    put(lake_root, key.format("text"), {"a": "text"})
+    put(lake_root, key.format("more"), {"a": "2", "b": {"c": [2, 3]}, "new": True})
+    summary = lake.load_batch(spark, str(lake_root), warehouse, "b2")
+    assert (summary["files_loaded"], summary["files_quarantined"]) == (1, 1)
+    table = warehouse.appended("raw", "openf1_weather")
+    assert rows(table, "a", "b.c") == [(1, [1.5]), (2, [2.0, 3.0])]
+    assert "new" not in table.columns
