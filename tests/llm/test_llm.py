@@ -259,3 +259,28 @@ def test_shingles_ignore_white_space():
 
     sets = [arrays.shingle_sets(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0].tolist() for t in (b"A b c d e f", b" a  b\tc d\ne f ")]
     assert sets[0] == sets[1] and len(sets[0]) == 2
+
+
+def _mixed_words(docs, **share):
+    found, sources = mixing.mix(docs, **share)
+    return found.agg(F.sum("taken")).first()[0], sources.first().target
+
+
+def test_mix_reaches_the_target_beside_a_very_long_document(spark):
+    sizes = spark.range(2001).selectExpr("id as doc_id", "if(id = 0, 200000, 100) as n").repartition(3)
+    docs = sizes.selectExpr("doc_id", "repeat('w ', n) as text", "'a' as source")
+    assert _mixed_words(docs, share=mixing.Fraction(6, 10)) == (240_000, 240_000)
+    assert _mixed_words(docs.filter("doc_id < 11"), share=mixing.Fraction(1, 100)) == (1000, 2010)
+    short = docs.withColumn("text", F.expr("if(doc_id = 0, repeat('w ', 2000), text)")).filter("doc_id < 11")
+    words, target = _mixed_words(short, share=mixing.Fraction(3, 4))
+    assert target == 2250 and abs(words - target) == 50
+
+
+def test_mix_cuts_units_of_several_documents(spark, monkeypatch):
+    rows = [(i, "w " * (1 + i * 37 % 90), "ab"[i % 2]) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    monkeypatch.setattr(mixing, "_UNITS", 2)
+    monkeypatch.setattr(mixing, "_UNIT_BITS", 60)
+    found, sources = mixing.mix(docs, share=mixing.Fraction(2, 5))
+    taken = {r[0]: r[1] for r in found.groupBy("row.source").agg(F.sum("taken")).collect()}
+    assert all(abs(taken[s] - target) <= 1 for s, _, target in sources.collect())
