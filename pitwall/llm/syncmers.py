@@ -17,6 +17,8 @@ from pitwall.session import materialise
 K, S = 5, 2
 # White space parts words; scripts that are written without it are taken character by character.
 _PARTS = r"[\x09-\x0D\x20]+|(?=[฀-໿぀-ヿ㐀-鿿가-힯])"
+# A longer word, such as a text without white space, counts as the character sequences of _GRAM that begin in it.
+_LONG, _GRAM = 32, 12
 # Ids of one block share all bits but these, so a block has a bounded number of different ids.
 _BLOCK_BITS, _LEVEL_BITS = 10, 12
 _LOWEST = -(1 << 63)
@@ -25,14 +27,25 @@ _LOWEST = -(1 << 63)
 def with_anchors(df: DataFrame, text: str, name: str, k: int = K, s: int = S) -> DataFrame:
     """``df`` with the array ``name`` of the anchors of column ``text``, 32-bit numbers in text order.
 
-    A text of fewer than ``k`` words is one anchor; a text without words has none. Each step is a column of its own,
-    so that nothing is computed twice.
+    A text without a closed syncmer, as all of fewer than ``k`` words, is one anchor; a text without words has none.
+    Each step is a column of its own, so that nothing is computed twice.
     """
     if not 0 < s < k:
         raise ValueError("s must be from 1 to k - 1")
-    words, small, n = f"_{name}_words", f"_{name}_small", f"_{name}_n"
-    parts = F.filter(F.split(F.lower(text), _PARTS), lambda w: w != "")
-    df = df.withColumn(words, F.transform(parts, lambda w: F.xxhash64(w)))
+    parts, words, small, n = f"_{name}_parts", f"_{name}_words", f"_{name}_small", f"_{name}_n"
+
+    def grams(w: Column) -> Column:
+        # an array of one array, so that a word is split once and not for each of its sequences
+        found = F.transform(F.array(F.split(w, "")), lambda chars: F.transform(F.slice(chars, 1, F.size(chars) - _GRAM + 1), lambda c, i: F.xxhash64(c, *(F.get(chars, i + j) for j in range(1, _GRAM)))))
+        return F.get(found, F.lit(0))
+
+    def pieces(w: Column) -> Column:
+        return F.when(F.char_length(w) <= _LONG, F.array(F.xxhash64(w))).otherwise(grams(w))
+
+    df = df.withColumn(parts, F.filter(F.split(F.lower(text), _PARTS), lambda w: w != ""))
+    long = F.exists(parts, lambda w: F.char_length(w) > _LONG)
+    plain = F.transform(parts, lambda w: F.xxhash64(w))
+    df = df.withColumn(words, F.when(long, F.flatten(F.transform(parts, pieces))).otherwise(plain))
     df = df.withColumn(n, F.size(words))
     if s == 1:
         df = df.withColumn(small, F.col(words))
@@ -53,9 +66,9 @@ def with_anchors(df: DataFrame, text: str, name: str, k: int = K, s: int = S) ->
         return F.when((i + k <= F.col(n)) & closed, F.xxhash64(*covering).bitwiseAND(F.lit(0xFFFFFFFF)))
 
     whole = F.array(F.xxhash64(words).bitwiseAND(F.lit(0xFFFFFFFF)))
-    found = F.filter(F.transform(small, chosen), lambda a: a.isNotNull())
-    found = F.when(F.col(n) >= k, found).when(F.col(n) > 0, whole).otherwise(F.array().cast("array<bigint>"))
-    return df.withColumn(name, found).drop(words, small, n)
+    df = df.withColumn(name, F.filter(F.transform(small, chosen), lambda a: a.isNotNull()))
+    found = F.when((F.size(name) == 0) & (F.col(n) > 0), whole).otherwise(F.coalesce(name, F.array().cast("array<bigint>")))
+    return df.withColumn(name, found).drop(parts, words, small, n)
 
 
 def shown(anchors: str) -> Column:

@@ -284,3 +284,22 @@ def test_mix_cuts_units_of_several_documents(spark, monkeypatch):
     found, sources = mixing.mix(docs, share=mixing.Fraction(2, 5))
     taken = {r[0]: r[1] for r in found.groupBy("row.source").agg(F.sum("taken")).collect()}
     assert all(abs(taken[s] - target) <= 1 for s, _, target in sources.collect())
+
+
+def test_short_texts_have_different_fingerprints(spark):
+    rng = random.Random(6)
+    texts = [" ".join(str(rng.randrange(10**9)) for _ in range(n)) for n in (1, 2, 4, 5, 6, 7) for _ in range(40)]
+    rows = spark.createDataFrame([(t,) for t in [*texts, "", " \t", None]], "text string")
+    found = syncmers.with_anchors(rows, "text", "anchors").select("text", "anchors").collect()
+    assert all(r.anchors for r in found if r.text and r.text.strip()) and len({tuple(r.anchors) for r in found}) == len(texts) + 1
+    assert [r.anchors for r in found[-3:]] == [[], [], []]
+
+
+def test_an_edit_of_a_text_without_white_space_is_local(spark):
+    rng = random.Random(7)
+    a, b = ("".join(rng.choice("acgtéß") for _ in range(3000)) for _ in range(2))
+    rows = spark.createDataFrame([(a, a[:1000] + "x" + a[1001:], b)], "a string, near string, b string")
+    for c in rows.columns:
+        rows = syncmers.with_anchors(rows, c, f"{c}_anchors")
+    near, far = rows.select(syncmers.likeness("a_anchors", "near_anchors"), syncmers.likeness("a_anchors", "b_anchors")).first()
+    assert 0.98 < near < 1 and far < 0.01
