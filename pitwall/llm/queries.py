@@ -1,4 +1,4 @@
-"""The operators over whole tables, as the queries op1 to op10, and their SQL."""
+"""The operators over whole tables, as the queries op1 to op13, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, hamming, jaccard, mixing, ppm, resampling, suffix, syncmers, url_lists, warc
+from pitwall.llm import bpe, hamming, jaccard, mixing, negatives, pii, ppm, resampling, suffix, syncmers, turns, url_lists, warc
 from pitwall.operators.hot import broadcast_if_small
 from pitwall.session import materialise, scratch_dir
 
@@ -165,7 +165,49 @@ def op10_suffix_dedup(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_temporal_url_lists, op2_warc_archive, op3_closed_syncmers, op4_ngram_jaccard, op5_ppm_language, op6_importance_resampling, op7_byte_bpe, op8_hamming_search, op9_source_mix, op10_suffix_dedup)}
+def damaged(spark, sf_dir):
+    """Conversations of which some rows are dropped, emptied, cut, repeated or given another role."""
+    rows = _read(spark, sf_dir, "conversations")
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = rows.select("conv_id", "turn", known("role").alias("role"), known("text").alias("text"))
+    rows = rows.withColumn("code", F.crc32(F.concat_ws(":", known("conv_id"), known("turn"))) % 20).filter("code <> 0")
+    text = F.when(F.col("code") == 1, "").when(F.col("code") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("code") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.when(F.col("code") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark, sf_dir):
+    totals = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = turns.repair(damaged(spark, sf_dir)).filter("last").select(F.col("conv_id").alias("_conv"), *totals, "audit", "digest")
+    every = _read(spark, sf_dir, "conversations").select("conv_id").distinct()
+    found = every.join(found, every.conv_id.eqNullSafe(found["_conv"]), "left")
+    return found.select(
+        "conv_id",
+        *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in totals),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_personal_data(spark, sf_dir):
+    found = pii.find(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "row.doc_id",
+        *(pii.of_kind(kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")),
+        F.sha2(pii.shown(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
+        pii.shown(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"),
+    )
+
+
+def op13_hard_negatives(spark, sf_dir):
+    rows = negatives.integer_vectors(_read(spark, sf_dir, "embeddings"), "vec_id", "label", "embedding")
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved))
+
+
+QUERIES = {f.__name__: f for f in (op1_temporal_url_lists, op2_warc_archive, op3_closed_syncmers, op4_ngram_jaccard, op5_ppm_language, op6_importance_resampling, op7_byte_bpe, op8_hamming_search, op9_source_mix, op10_suffix_dedup, op11_conversation_repair, op12_personal_data, op13_hard_negatives)}
 
 ORACLE = {
     "op1_temporal_url_lists": r"""
