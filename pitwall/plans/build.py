@@ -8,8 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from pitwall.plans import dashboards, marts, staging
-from pitwall.plans.checks import CHECKS, run_checks
-from pitwall.session import scratch_scope
+from pitwall.plans.checks import CHECKS, null_counts, run_checks
+from pitwall.plans.views import text_of
+from pitwall.session import materialise_observed, scratch_scope
+from pitwall.sources.audit import write_events
 from pitwall.sources.warehouse import Warehouse
 
 VIEW, TABLE = "view", "table"
@@ -80,44 +82,60 @@ class CheckFailure(Exception):
 
 @dataclass
 class Build:
-    """Relations of one run by name, with their test results."""
+    """Relations of one run by name, as the catalog serves them, with their test results."""
 
     relations: dict[str, DataFrame] = field(default_factory=dict)
     checks: list = field(default_factory=list)
 
-    def ref(self, name: str) -> DataFrame:
-        return self.relations[name]
+
+SERVICE = "build"
 
 
 def run(spark: SparkSession, warehouse: Warehouse, models: Sequence[Model] = MODELS) -> Build:
     """Build the models in order and test each one.
 
-    A failed test keeps the models that depend on it from being built, and
-    tests against a model that was not built are left out. The others go on,
-    and the run fails at its end.
+    A table and a staging relation are written once; the write counts their
+    NULLs, and what is written is tested and read by the next models. A staging
+    relation is served as a view over the raw tables, a page as a view over the
+    marts. A failed test keeps the models that depend on it from being built,
+    and tests against a model that was not built are left out. The others go
+    on, and the run fails at its end. Each model leaves an audit row.
     """
-    result, blocked = Build(), set()
-    skipped = []
-    for model in models:
-        if blocked.intersection(model.needs):
-            blocked.add(model.name)
-            skipped.append(model.name)
-            continue
-        inputs = [result.ref(n) for n in model.needs]
-        if model.source:
-            inputs.insert(0, warehouse.source(*model.source, model.reads))
-        if model.materialized == TABLE:
-            with scratch_scope(spark):
-                df = warehouse.replace(model.layer, model.name, model.build(*inputs), model.cluster_by)
-        else:
-            df = model.build(*inputs)
-        df.createOrReplaceTempView(model.name)
-        result.relations[model.name] = df
-        checks = CHECKS[model.name].with_parents(result.relations)
-        rows = run_checks(df, model.name, checks, result.ref).collect()
-        result.checks += rows
-        if any(r.failures for r in rows):
-            blocked.add(model.name)
+    result, blocked, events = Build(), set(), []
+    skipped, staged = [], {}
+    databases = {layer: warehouse.database(layer) for layer in ("raw", "staging", "marts")}
+    with scratch_scope(spark):
+        for model in models:
+            if blocked.intersection(model.needs):
+                blocked.add(model.name)
+                skipped.append(model.name)
+                events.append({"event": "model_skipped", "severity": "ERROR", "target_table": model.name})
+                continue
+            inputs = [staged[n] for n in model.needs]
+            if model.source:
+                inputs.insert(0, warehouse.source(*model.source, model.reads))
+            nulls, seen = null_counts(CHECKS[model.name].not_null), None
+            if model.materialized == TABLE:
+                df = model.build(*inputs)
+                df, seen = warehouse.replace(model.layer, model.name, df, model.cluster_by, nulls)
+                staged[model.name] = result.relations[model.name] = df
+                warehouse.drop_old_versions(model.layer, model.name)
+            else:
+                served = warehouse.view(model.layer, model.name, text_of(model.name, databases))
+                result.relations[model.name] = staged[model.name] = served
+                if model.source:
+                    staged[model.name], seen = materialise_observed(model.build(*inputs), model.name, nulls)
+            checks = CHECKS[model.name].with_parents(result.relations)
+            rows = run_checks(staged[model.name], model.name, checks, staged.__getitem__, seen).collect()
+            result.checks += rows
+            failed = [f"{r.column} {r.check}" for r in rows if r.failures]
+            if failed:
+                blocked.add(model.name)
+            events.append({
+                "event": "model_failed" if failed else "model_built", "severity": "ERROR" if failed else "INFO",
+                "target_table": model.name, "output_rows": seen and seen["rows"], "reason": ", ".join(failed) or None,
+            })
+    write_events(warehouse, SERVICE, events)
     if blocked:
         raise CheckFailure(result.checks, skipped)
     return result

@@ -6,7 +6,7 @@ from collections.abc import Callable, Container, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.operators.joins import orphans
@@ -19,6 +19,11 @@ def not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return nulls.select(F.inline(rows))
 
 
+def null_counts(cols: Sequence[str]) -> dict[str, Column]:
+    """The same counts as metrics that a write observes on its way."""
+    return {f"null_{c}": F.count_if(F.col(c).isNull()) for c in cols}
+
+
 def duplicates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Non-null keys that occur more than once, with their row count."""
     present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
@@ -77,10 +82,22 @@ CHECKS = {
 }
 
 
-def run_checks(df: DataFrame, model: str, checks: Checks, ref: Callable[[str], DataFrame]) -> DataFrame:
-    """One row per declared test: model, check, column, failures."""
+RESULT = "model string, check string, column string, failures bigint"
+
+
+def run_checks(
+    df: DataFrame, model: str, checks: Checks, ref: Callable[[str], DataFrame], observed: dict[str, int] | None = None
+) -> DataFrame:
+    """One row per declared test: model, check, column, failures.
+
+    ``observed`` holds the null_counts of the write of ``df``; with them only
+    the keys of ``df`` are read again.
+    """
     parts = []
-    if checks.not_null:
+    if checks.not_null and observed is not None:
+        rows = [(model, "not_null", c, observed[f"null_{c}"]) for c in checks.not_null]
+        parts.append(df.sparkSession.createDataFrame(rows, RESULT).drop("model"))
+    elif checks.not_null:
         parts.append(not_null(df, checks.not_null).withColumn("check", F.lit("not_null")))
     for col in checks.unique:
         parts.append(unique(df, [col]).withColumn("check", F.lit("unique")))

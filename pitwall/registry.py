@@ -159,13 +159,18 @@ def missing_pages(spark, sf):
 def accepted_lines(spark, sf):
     """Rows of the files without a bad line, under the contract types."""
     schema = schema_for("openf1", "laps")
-    good, _ = split_quarantine(parse(td.lake_lines(spark, sf), schema))
+    good, _ = split_quarantine(_parsed(spark, sf))
     return typed(good, schema).drop("ingest_ts")
 
 
+def _parsed(spark, sf):
+    """The lines, parsed once; several consumers read what they need of them."""
+    return materialise(parse(td.lake_lines(spark, sf), schema_for("openf1", "laps")).drop("value"), "parsed")
+
+
 def rejected_lines(spark, sf):
     """All lines of the files with a bad one."""
-    _, bad = split_quarantine(parse(td.lake_lines(spark, sf), schema_for("openf1", "laps")))
+    _, bad = split_quarantine(_parsed(spark, sf))
     return bad.select("object_key", "file_reason", F.col("reason").alias("line_reason"), "event_id")
 
 

@@ -8,7 +8,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _RUNTIME_CONF = {
     # every timestamp in the lake is UTC
@@ -18,6 +19,10 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even when the parent then needs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # streams with state and timers need it; state beyond the heap stays on disk
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 _own_scratch: dict[str, str] = {}
@@ -78,6 +83,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise_observed(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """The same, with aggregates that the write observes on its way."""
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
+    return materialise(observed, name), seen.get
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Delete the tables that this thread materialises inside the block."""

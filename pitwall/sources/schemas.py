@@ -6,6 +6,7 @@ types. The field lists are fixed values.
 
 from __future__ import annotations
 
+import re
 from functools import cache
 
 from pyspark.sql import Column
@@ -62,6 +63,9 @@ CONTRACTS = {
 # Columns that the loader adds to every raw table.
 LINEAGE = "ingest_ts TIMESTAMP, object_key STRING"
 
+# Further partition columns of raw tables, after the load.
+PARTITIONS = {("openf1", "laps"): ("session_key",), ("openf1", "stints"): ("session_key",)}
+
 # Fields dropped before landing, per endpoint: their arrays hold NULL elements.
 DROP_FIELDS = {"laps": ("segments_sector_1", "segments_sector_2", "segments_sector_3")}
 
@@ -73,32 +77,75 @@ def schema_for(source: str, endpoint: str) -> T.StructType | None:
     return T.StructType.fromDDL(ddl) if ddl else None
 
 
-def as_strings(dtype: T.DataType) -> T.DataType:
-    """The same tree with every leaf a string: numbers come as text on the wire."""
-    if isinstance(dtype, T.StructType):
-        return T.StructType([T.StructField(f.name, as_strings(f.dataType)) for f in dtype.fields])
-    if isinstance(dtype, T.ArrayType):
-        return T.ArrayType(as_strings(dtype.elementType))
-    return T.StringType()
+def _child(node: Column, name: str) -> Column:
+    return F.try_variant_get(node, '$["' + name + '"]', "variant")
+
+
+def _is_object(node: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(node).startswith("OBJECT"), F.lit(False))
+
+
+def _is_list(node: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(node).startswith("ARRAY"), F.lit(False))
 
 
-def has_bad_leaf(raw: Column, dtype: T.DataType) -> Column:
-    """True where some leaf is present but does not fit its contract type."""
+def _present(node: Column) -> Column:
+    """Neither missing nor a JSON null."""
+    return node.isNotNull() & ~F.is_variant_null(node)
+
+
+def typed_node(node: Column, dtype: T.DataType) -> Column:
+    """A VARIANT as ``dtype``: leaves go by their text, so numbers may be quoted; what does not fit is NULL."""
     if isinstance(dtype, T.StructType):
-        result = F.lit(False)
-        for f in dtype.fields:
-            if _has_typed_leaf(f.dataType):
-                result = result | has_bad_leaf(raw.getField(f.name), f.dataType)
-        return result
+        leaves = [typed_node(_child(node, f.name), f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(_is_object(node), F.struct(*leaves))
     if isinstance(dtype, T.ArrayType):
-        found = F.exists(raw, lambda element: has_bad_leaf(element, dtype.elementType))
-        return F.coalesce(found, F.lit(False))
-    return raw.isNotNull() & raw.try_cast(dtype).isNull()
+        elements = F.try_variant_get(node, "$", "array<variant>")
+        return F.transform(elements, lambda element: typed_node(element, dtype.elementType))
+    return F.try_variant_get(node, "$", "string").try_cast(dtype)
 
 
-def _has_typed_leaf(dtype: T.DataType) -> bool:
+def has_bad_node(node: Column, dtype: T.DataType, strict: bool = False) -> Column:
+    """True where some node is present but not of its type's kind: a value that does not fit, or an object in a text.
+
+    ``strict`` also rejects nested fields that the type does not have.
+    """
     if isinstance(dtype, T.StructType):
-        return any(_has_typed_leaf(f.dataType) for f in dtype.fields)
-    if isinstance(dtype, T.ArrayType):
-        return _has_typed_leaf(dtype.elementType)
-    return not isinstance(dtype, T.StringType)
+        bad = ~_is_object(node)
+        for f in dtype.fields:
+            bad = bad | has_bad_node(_child(node, f.name), f.dataType, strict)
+        if strict:
+            names = F.map_keys(F.try_variant_get(node, "$", "map<string,variant>"))
+            known = F.array(*[F.lit(name) for name in dtype.names])
+            bad = bad | F.coalesce(F.size(F.array_except(names, known)) > 0, F.lit(False))
+    elif isinstance(dtype, T.ArrayType):
+        elements = F.try_variant_get(node, "$", "array<variant>")
+        inside = F.exists(elements, lambda element: has_bad_node(element, dtype.elementType, strict))
+        bad = ~_is_list(node) | F.coalesce(inside, F.lit(False))
+    else:
+        text, kind = F.try_variant_get(node, "$", "string"), F.schema_of_variant(node)
+        bad = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+        if not isinstance(dtype, T.StringType):
+            bad = bad | text.try_cast(dtype).isNull()
+    return _present(node) & bad
+
+
+def sql_type(variant_schema: str) -> T.DataType | None:
+    """The column type for what schema_of_variant tells; None where only nulls were seen.
+
+    Numbers with a fraction are DOUBLE, very long ones DECIMAL, and fields of several kinds are text.
+    """
+    if variant_schema == "VOID":
+        return None
+    parts = re.split(r"(`(?:[^`]|``)*`)", variant_schema)
+    # names in backticks are left alone, and so are those before a colon
+    for i in range(0, len(parts), 2):
+        parts[i] = re.sub(r"DECIMAL\((\d+),(\d+)\)", _number_type, parts[i])
+        parts[i] = re.sub(r"\b(OBJECT|VARIANT|VOID)\b(?!:)", lambda m: "STRUCT" if m[1] == "OBJECT" else "STRING", parts[i])
+    return T.StructType.fromDDL(f"c {''.join(parts)}")[0].dataType
+
+
+def _number_type(found: re.Match) -> str:
+    if int(found[2]):
+        return "DOUBLE"
+    return "BIGINT" if int(found[1]) <= 18 else "DECIMAL(38,0)"

@@ -18,12 +18,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pitwall.session import materialise
 
 POLICY = "pipeline-errors"
 PERIOD_SECONDS = 300
 DAY_SECONDS = 86_400
+# How late an error may be on a stream.
+WATERMARK = "1 minute"
 # Severities from ERROR up.
 SEVERE = ("ERROR", "CRITICAL", "ALERT", "EMERGENCY")
 
@@ -91,31 +94,58 @@ def alerts(audit: DataFrame, services: Sequence[str], period_seconds: int = PERI
     return fired.select("policy", F.timestamp_seconds("second").alias("fired_at"))
 
 
+def _notifier(period: int) -> StatefulProcessor:
+    """The rate limit along event time. A nested class travels to the tasks by value."""
+    fire_times = rate_limit(period)
+
+    class Notifier(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.last = handle.getValueState("last", "second long")
+            self.pending = handle.getMapState("pending", "second long", "seen boolean")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            for part in rows:
+                for second in part["second"].unique().tolist():
+                    self.pending.updateValue((second,), (True,))
+                    self.handle.registerTimer(second * 1000)
+            return iter(())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            # no row of a second up to the watermark can arrive any more
+            passed = timerValues.getCurrentWatermarkInMs() // 1000
+            ready = sorted(k[0] for k in self.pending.keys() if k[0] <= passed)
+            for second in ready:
+                self.pending.removeKey((second,))
+            last = self.last.get()[0] if self.last.exists() else None
+            fired = fire_times(ready, last)
+            if fired:
+                self.last.update((fired[-1],))
+                yield pd.DataFrame({"policy": [key[0]] * len(fired), "second": fired})
+
+        def close(self) -> None:
+            pass
+
+    return Notifier()
+
+
 def alert_stream(
-    audit: DataFrame, services: Sequence[str], period_seconds: int = PERIOD_SECONDS
+    audit: DataFrame, services: Sequence[str], period_seconds: int = PERIOD_SECONDS, watermark: str = WATERMARK
 ) -> DataFrame:
-    """The same on a stream of audit rows; the state is the last notification.
+    """The same on a stream of audit rows, whatever way it is cut into batches.
 
-    An error that arrives after a later one was notified does not notify.
+    An error is judged when the watermark has passed it, so rows that are late
+    by less than ``watermark`` count in their place, and the notifications are
+    those of ``alerts``. Errors later than that are dropped. Each second with
+    an error passes the shuffle once for each policy; the state are the seconds
+    that the watermark has not passed, and the last notification.
     """
-    fire_times = rate_limit(period_seconds)
-
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield rows.drop_duplicates()
-
-    def fire(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
-        for rows in batches:
-            seen.update(rows["second"].tolist())
-        last = state.get[0] if state.exists else None
-        fired = fire_times(sorted(seen), last)
-        if fired:
-            state.update((fired[-1],))
-        yield pd.DataFrame({"policy": [key[0]] * len(fired), "second": fired}).astype({"second": "int64"})
-
-    seconds = error_events(audit, services).mapInPandas(merge, "policy string, second long")
-    fired = seconds.groupBy("policy").applyInPandasWithState(
-        fire, "policy string, second long", "last long", "append", "NoTimeout"
+    errors = error_events(audit, services).withColumn("at", F.timestamp_seconds("second"))
+    seconds = errors.withWatermark("at", watermark).dropDuplicatesWithinWatermark(["policy", "second"])
+    fired = seconds.groupBy("policy").transformWithStateInPandas(
+        _notifier(period_seconds),
+        outputStructType="policy string, second long",
+        outputMode="Append",
+        timeMode="EventTime",
     )
     return fired.select("policy", F.timestamp_seconds("second").alias("fired_at"))

@@ -1,5 +1,6 @@
 import os
 import sys
+import uuid
 
 import pytest
 
@@ -34,7 +35,22 @@ def rows():
 
 
 @pytest.fixture
-def warehouse(spark, tmp_path):
+def new_warehouse(spark, tmp_path):
+    """Warehouses with databases of their own, which go at the end."""
     from pitwall.sources.warehouse import Warehouse
 
-    return Warehouse(spark, str(tmp_path / "warehouse"))
+    made = []
+
+    def make(name="warehouse"):
+        made.append(Warehouse(spark, str(tmp_path / name), f"t{uuid.uuid4().hex[:12]}"))
+        return made[-1]
+
+    yield make
+    for one in made:
+        for layer in ("raw", "staging", "marts"):
+            spark.sql(f"DROP DATABASE IF EXISTS `{one.database(layer)}` CASCADE")
+
+
+@pytest.fixture
+def warehouse(new_warehouse):
+    return new_warehouse()

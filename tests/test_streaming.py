@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import random
+import time
 
 import pytest
 from hypothesis import given
@@ -10,10 +12,10 @@ from pyspark.sql import functions as F
 
 from pitwall.plans import staging
 from pitwall.sources import lake
-from pitwall.sources.warehouse import Warehouse
+from pitwall.sources.audit import audit_log
 from pitwall.streaming.alerts import PERIOD_SECONDS, alert_stream, alerts, rate_limit
-from pitwall.streaming.ingest import compact_latest, dedupe_replays, read_latest, stream_lake, upsert_latest
-from pitwall.streaming.live import LIVE_TABLE, live_from_raw, live_refresher
+from pitwall.streaming.ingest import compact_latest, dedupe_replays, newest_copies, read_latest, stream_lake, upsert_latest
+from pitwall.streaming.live import LIVE_TABLE, STARTS, live_from_raw, live_refresher, refresh_live
 
 AUDIT = "service string, severity string, logged_at timestamp"
 
@@ -49,8 +51,8 @@ def run_stream(spark, root, warehouse, tmp_path, **options):
     assert query.exception() is None
 
 
-def test_stream_equals_batch_and_loads_each_file_once(spark, lake_root, tmp_path, rows):
-    streamed = Warehouse(spark, str(tmp_path / "streamed"))
+def test_stream_equals_batch_and_loads_each_file_once(spark, lake_root, new_warehouse, tmp_path, rows):
+    streamed = new_warehouse("streamed")
     put_laps(lake_root, "20260308T040100Z", [(44, 1, 90.0)])
     (lake_root / "other.txt").write_text("x\n")
     run_stream(spark, lake_root, streamed, tmp_path)
@@ -60,13 +62,13 @@ def test_stream_equals_batch_and_loads_each_file_once(spark, lake_root, tmp_path
     run_stream(spark, lake_root, streamed, tmp_path, max_files=1)
     run_stream(spark, lake_root, streamed, tmp_path)
 
-    batched = Warehouse(spark, str(tmp_path / "batched"))
+    batched = new_warehouse("batched")
     lake.load_batch(spark, str(lake_root), batched, "b")
     s, b = (w.source("openf1", "laps").drop("object_key") for w in (streamed, batched))
     assert rows(s) == rows(b) and s.count() == 3
     assert rows(staging.laps(s), "lap_number", "lap_time_ms") == [(1, 90_000), (2, 91_000)]
     event = ["event", "reason", "output_rows"]
-    assert rows(lake.audit_log(streamed), *event) == rows(lake.audit_log(batched), *event)
+    assert rows(audit_log(streamed), *event) == rows(audit_log(batched), *event)
 
 
 def test_late_file_counts_at_the_next_build(spark, lake_root, warehouse, tmp_path, rows):
@@ -182,14 +184,125 @@ def test_alerts_carry_over_midnight(spark):
     assert got == rate_limit(PERIOD_SECONDS)(sorted(seconds))
 
 
-def test_alert_stream_keeps_the_last_notification(spark, tmp_path):
+def run_alerts(spark, path, out, checkpoint, **options):
+    stream = spark.readStream.schema(AUDIT).option("maxFilesPerTrigger", 1).parquet(path)
+    query = alert_stream(stream, ["loader"], **options).writeStream.format("parquet").option("path", out)
+    query = query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination(240)
+    assert query.exception() is None
+
+
+END = 40 * 86_400
+
+
+@pytest.mark.parametrize("parts", [1, 4, 9])
+def test_alert_stream_equals_batch_for_any_split(spark, tmp_path, rows, parts):
+    """Rows come late by up to the watermark; the last row moves the watermark over all others."""
+    rng = random.Random(parts)
+    seconds = [*range(0, 1500, 7), 70_000, *range(86_000, 88_000, 13), 3 * 86_400, 3 * 86_400 + 299, 3 * 86_400 + 300]
+    arrival = sorted(seconds * 2, key=lambda s: s + rng.random() * 600)
     path = str(tmp_path / "audit")
-    for seconds in ([0, 100, 200], [250, 300, 400], [599], [600, 900]):
+    size = -(-len(arrival) // parts)
+    for part in [*(arrival[i : i + size] for i in range(0, len(arrival), size)), [END], [END]]:
+        spark.createDataFrame(audit_rows(part), AUDIT).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.01)
+    run_alerts(spark, path, str(tmp_path / "fired"), str(tmp_path / "c"), watermark="10 minutes")
+    batch = alerts(spark.createDataFrame(audit_rows(seconds), AUDIT), ["loader"])
+    fired = spark.read.parquet(str(tmp_path / "fired"))
+    assert fired.count() > 10
+    assert rows(fired) == rows(batch)
+
+
+def test_alert_stream_keeps_its_state_between_runs(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    for seconds in ([0, 100, 200], [250, 300, 400], [599], [600, 900], [END], [END]):
         spark.createDataFrame(audit_rows(seconds), AUDIT).coalesce(1).write.mode("append").parquet(path)
-        stream = spark.readStream.schema(AUDIT).parquet(path)
-        query = alert_stream(stream, ["loader"]).writeStream.format("parquet").option("path", str(tmp_path / "fired"))
-        query = query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-        query.awaitTermination(120)
-        assert query.exception() is None
+        run_alerts(spark, path, str(tmp_path / "fired"), str(tmp_path / "c"))
     fired = spark.read.parquet(str(tmp_path / "fired"))
     assert sorted(r.fired_at.minute for r in fired.collect()) == [0, 5, 10, 15]
+
+
+# --- newest copy ---
+
+
+def run_newest(spark, stream, tmp_path, warehouse, keys, order, **options):
+    def sink(df, batch_id):
+        upsert_latest(df, batch_id, warehouse, "laps", keys, order)
+
+    query = newest_copies(stream, keys, order, **options).writeStream.foreachBatch(sink).outputMode("update")
+    query = query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination(400)
+    assert query.exception() is None
+    return query
+
+
+def test_newest_copies_equal_the_batch(spark, sf, warehouse, tmp_path, rows):
+    from pitwall.operators.latest import latest_by
+
+    batch, stream = raw_parts(spark, sf, tmp_path)
+    run_newest(spark, stream, tmp_path, warehouse, KEYS, ORDER)
+    expected = latest_by(batch, KEYS, ORDER)
+    found = read_latest(warehouse, "laps", KEYS, ORDER)
+    assert rows(found.select(*expected.columns)) == rows(expected)
+    assert rows(staging.laps(found)) == rows(staging.laps(expected))
+
+
+def test_newest_copies_keep_one_row_per_key(spark, warehouse, tmp_path):
+    """A million replays of 50 keys in three batches."""
+    path = str(tmp_path / "raw")
+    for part in range(3):
+        frame = spark.range(333_334).selectExpr("id % 50 as k", f"timestamp_seconds((id * 7919 + {part}) % 100003) as ts", "id % 11 as v")
+        frame.coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema("k long, ts timestamp, v long").option("maxFilesPerTrigger", 1).parquet(path)
+    query = run_newest(spark, stream, tmp_path, warehouse, ["k"], ["ts"], ttl_ms=3_600_000)
+    kept = [o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]]
+    assert max(kept) == 50
+    from pitwall.operators.latest import latest_by
+
+    found = read_latest(warehouse, "laps", ["k"], ["ts"]).select("k", "ts", "v")
+    assert sorted(found.collect()) == sorted(latest_by(spark.read.parquet(path), ["k"], ["ts"]).select("k", "ts", "v").collect())
+
+
+# --- layout and live state ---
+
+
+def test_loads_of_a_stream_stay_bounded(spark, lake_root, warehouse, tmp_path):
+    for n in range(12):
+        put_laps(lake_root, f"20260308T04{n:02d}00Z", [(44, n, 90.0)])
+    archive = tmp_path / "archive"
+    run_stream(spark, lake_root, warehouse, tmp_path, max_files=1, fold_every=4, archive=str(archive))
+    assert warehouse.source("openf1", "laps").count() == 12
+    for name in ("openf1_laps", "load_audit"):
+        warehouse.fold("raw", name, least=2)
+        assert len(warehouse.loads("raw", name)) == 1
+    assert len(list(warehouse_files(warehouse, "openf1_laps"))) == 1
+    # finished files have left the lake, the last batch is still there
+    assert len(list(archive.rglob("*.ndjson"))) >= 10
+
+
+def warehouse_files(warehouse, name):
+    from pathlib import Path
+
+    return Path(warehouse.path("raw", name)).rglob("*.parquet")
+
+
+def test_live_reads_one_session(spark, sf, warehouse, rows):
+    from pitwall import testdata as td
+    from pitwall.registry import LIVE_AS_OF, live_state
+
+    laps, as_of = td.raw_laps(spark, sf), F.lit(LIVE_AS_OF).cast("timestamp")
+    warehouse.append("raw", "openf1_stints", td.raw_stints(spark, sf), "stream-0-openf1-stints", ("session_key",))
+    for n in range(2):
+        part = laps.filter(F.col("lap_number") % 2 == n)
+        warehouse.append("raw", "openf1_laps", part, f"stream-{n}-openf1-laps", ("session_key",))
+        live = refresh_live(warehouse, as_of, f"stream-{n}")
+    assert rows(live) == rows(live_state(spark, sf))
+    starts = warehouse.table("staging", STARTS)
+    assert starts.count() == 2 * laps.select("session_key").distinct().count()
+    raw_laps, raw_stints = (warehouse.source("openf1", name) for name in ("laps", "stints"))
+    from pitwall.operators.joins import keep_latest_session, latest_session
+
+    for table in (raw_laps, raw_stints):
+        plan = keep_latest_session(table, latest_session(starts))._jdf.queryExecution().executedPlan().toString()
+        scan = next(line for line in plan.splitlines() if "FileScan" in line and "date_start" in line or "FileScan" in line and "lap_end" in line)
+        assert "session_key" in scan.split("PartitionFilters: [")[1].split("]")[0] and "ubquery" in scan.split("PartitionFilters: [")[1]
