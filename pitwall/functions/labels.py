@@ -47,6 +47,15 @@ def session_label(session_key: Column, names: dict[int, str] = SESSION_NAMES) ->
     return _lookup(session_key, names, "Session #")
 
 
+def session_keys(label: str, names: dict[int, str] = SESSION_NAMES) -> list[int]:
+    """The sessions that show a label."""
+    found = [key for key, name in names.items() if name == label]
+    number = label.removeprefix("Session #")
+    if number != label and number.lstrip("-").isdigit() and str(int(number)) == number and int(number) not in names:
+        found.append(int(number))
+    return found
+
+
 def _with_label(df: DataFrame, key: str, out: str, prefix: str, lookup: DataFrame) -> DataFrame:
     # a caller's lookup has no known size, so the join strategy is left to the optimizer
     names = lookup.select(F.col(lookup.columns[0]).alias(key), F.col(lookup.columns[1]).alias("_label"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.functions.columns import flag, grid_delta, inclusive_span, is_outlier, minutes_since, to_seconds
-from pitwall.functions.labels import with_driver_label, with_session_label
+from pitwall.functions.labels import session_keys, with_driver_label, with_session_label
 from pitwall.operators.hot import HOT_ROWS
 from pitwall.operators.joins import current_stints, enrich, keep_latest_session, latest_session
 from pitwall.operators.latest import last_n_avg, latest_by, max_by_group
@@ -80,8 +80,14 @@ def race_deep_dive(
     return labelled.select(*columns, "driver_label", "session_label")
 
 
-def select_race(view: DataFrame, session_label: str) -> DataFrame:
-    """The race selector of the race page."""
+def select_race(view: DataFrame, session_label: str, session_names: DataFrame | None = None) -> DataFrame:
+    """The race selector of the race page.
+
+    The label is turned into session keys, which reach the scans. Pass the
+    ``session_names`` that the view was made with, if it was.
+    """
+    if session_names is None:
+        return view.filter(F.col("session_key").isin(session_keys(session_label)))
     return view.filter(F.col("session_label") == session_label)
 
 

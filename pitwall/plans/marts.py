@@ -11,6 +11,7 @@ from pitwall.operators.joins import drop_outliers, enrich, laps_in_stint
 from pitwall.operators.latest import latest_by
 from pitwall.operators.medians import group_medians, median_element_over, median_of_group, with_group_median
 from pitwall.operators.nested import project
+from pitwall.operators.sketches import ACCURACY, merge_sketches, sketch_groups, sketch_median, sketch_rows
 from pitwall.session import materialise
 
 LAP_COLUMNS = [
@@ -145,3 +146,33 @@ def clean_air_pace(
         to_seconds(F.col("median_corrected_ms")).alias("median_corrected_s"),
         safe_divide(F.col("median_corrected_ms"), F.col("field_median_ms")).alias("pace_ratio"),
     )
+
+
+PACE_GRAIN = ["session_key", "driver_number", "compound"]
+
+
+def pace_sketches(
+    laps: DataFrame, stints: DataFrame, fuel_ms_per_lap: int = FUEL_MS_PER_LAP, accuracy: int = ACCURACY
+) -> DataFrame:
+    """Sketches of fuel-corrected laps per (session, driver, compound), to be stored per load."""
+    on_tyres = laps_in_stint(laps.select(*_PACE_COLUMNS), stints)
+    clean = clean_air_laps(on_tyres, fuel_ms_per_lap)
+    return sketch_groups(clean, PACE_GRAIN, "corrected_ms", accuracy=accuracy)
+
+
+def sketch_pace(sketches: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+    """Clean-air pace from stored sketches: those of a driver, and of the field by merging its drivers'.
+
+    ``sketches`` may hold several rows per driver, one for each load.
+    """
+    driver = merge_sketches(sketches, PACE_GRAIN, accuracy=accuracy)
+    field = merge_sketches(driver, ["session_key", "compound"], "_field", accuracy)
+    both = enrich(driver, field, ["session_key", "compound"])
+    median = sketch_median("sketch")
+    return both.select(
+        *PACE_GRAIN,
+        sketch_rows("sketch").alias("clean_air_laps"),
+        median.alias("median_corrected_ms"),
+        to_seconds(median).alias("median_corrected_s"),
+        safe_divide(median, sketch_median("_field")).alias("pace_ratio"),
+    )

@@ -170,6 +170,42 @@ def lake_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stint_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NDJSON lines of stint files, ten to a file; some hold an object or a list in place of a text."""
+    record = """to_json(named_struct(
+      'session_key', session_key, 'driver_number', driver_number, 'stint_number', event_id % 10 + 1,
+      'lap_start', string(event_id % 50), 'lap_end', event_id % 50 + 10, 'tyre_age_at_start', 0))"""
+    compound = """case when event_id % 53 = 0 then '{"x":1}' when event_id % 59 = 0 then '["SOFT"]'
+      when event_id % 61 = 0 then '5' when event_id % 67 = 0 then 'null' else '"SOFT"' end"""
+    return timed_events(spark, sf_dir).selectExpr(
+        f"rtrim('}}', {record}) || ',\"compound\":' || {compound} || '}}' as value",
+        "'raw/source=openf1/endpoint=stints/session=' || session_key || '/' || event_id div 10 || '.ndjson' as object_key",
+        "'' as file_path",
+        "ts as modified_at",
+        "event_id",
+    )
+
+
+def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NDJSON lines of an endpoint without a contract, ten to a file.
+
+    A third of the files has one more field; some lines are broken, have a text
+    in place of a number, or a nested field that others lack.
+    """
+    wind = "if(event_id % 71 = 0, named_struct('speed', event_id % 9, 'gust', 1L), named_struct('speed', event_id % 9, 'gust', bigint(null)))"
+    record = f"""to_json(named_struct(
+      'session_key', session_key, 'temp', event_id % 40, 'wind', {wind},
+      'rain', if(event_id div 10 % 3 = 0, event_id % 2 = 0, null)))"""
+    hot = f"if(event_id % 89 = 0, replace({record}, '\"temp\":' || event_id % 40, '\"temp\":\"hot\"'), {record})"
+    return timed_events(spark, sf_dir).selectExpr(
+        f"if(event_id % 97 = 0, '[1, ', {hot}) as value",
+        "'raw/source=openf1/endpoint=weather/session=' || session_key || '/' || event_id div 10 || '.ndjson' as object_key",
+        "'' as file_path",
+        "ts as modified_at",
+        "event_id",
+    )
+
+
 def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = timed_events(spark, sf_dir)
     return e.select(

@@ -205,3 +205,25 @@ def test_session_max(spark, rows):
 def test_drop_outliers(spark, rows):
     df = spark.createDataFrame([(125, 100.0), (126, 100.0), (1, 0.0), (1, None)], "v long, m double")
     assert rows(joins.drop_outliers(df, "v", "m")) == [(125, 100.0)]
+
+
+def test_sketch_medians_merge_within_their_rank_error(spark):
+    from pitwall.operators.sketches import merge_sketches, sketch_groups, sketch_median, sketch_rows
+
+    rows = spark.range(1_000_000).selectExpr("id % 7 as part", "(id * 7919) % 1000003 as v")
+    whole = merge_sketches(sketch_groups(rows, ["part"], "v"), [])
+    median, n = whole.select(sketch_median("sketch"), sketch_rows("sketch")).first()
+    rank = rows.filter(F.col("v") <= median).count() / n
+    assert n == 1_000_000 and abs(rank - 0.5) < 0.002
+    small = rows.limit(1000).groupBy("part").agg(F.sort_array(F.collect_list("v")).alias("vs"))
+    exact = {r.part: r.vs[(len(r.vs) - 1) // 2] for r in small.collect()}
+    found = sketch_groups(rows.limit(1000), ["part"], "v").select("part", sketch_median("sketch").alias("m")).collect()
+    assert {r.part: r.m for r in found} == exact
+
+
+def test_labels_name_their_sessions():
+    from pitwall.functions.labels import session_keys
+
+    assert session_keys("2026 Australian GP") == [11234]
+    assert session_keys("Session #5") == [5]
+    assert session_keys("Session #11234") == [] == session_keys("Session #05") == session_keys("unknown")

@@ -110,3 +110,23 @@ def test_running_over_one_key_with_many_copies(spark):
     latest = latest_by(df, ["k"], ["o"])
     assert latest.count() == 20_001
     assert latest.filter("k = 0").first().o == 6
+
+
+def test_race_selector_reaches_every_scan(spark, sf, tmp_path):
+    from pitwall.registry import fct_lap
+
+    fct_lap(spark, sf).write.parquet(str(tmp_path / "laps"))
+    laps = spark.read.parquet(str(tmp_path / "laps"))
+    marts.driver_pace(laps).write.parquet(str(tmp_path / "pace"))
+    view = dashboards.race_deep_dive(laps, spark.read.parquet(str(tmp_path / "pace")))
+    text = plan(dashboards.select_race(view, "2026 Australian GP"))
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    assert len(scans) == 3 and all("EqualTo(session_key,11234)" in line for line in scans)
+
+
+def test_lines_are_parsed_once(spark, sf):
+    from pitwall.registry import _parsed
+    from pitwall.sources.lake import split_quarantine
+
+    good, _ = split_quarantine(_parsed(spark, sf))
+    assert "parse_json" not in plan(good).lower() and "parsejson" not in plan(good).lower()
