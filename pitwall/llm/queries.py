@@ -262,4 +262,80 @@ ORACLE = {
         )
         select query_id, row_number() over (partition by query_id order by distance, vec_id)::int as rank, vec_id, distance
         from d qualify rank <= 10""",
+    "op13_hard_negatives": """
+        with t as (
+            select vec_id, if(vec_id % 7 = 0, (label + 1) % 10, label) as label,
+                   list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+            from embeddings
+            where label is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), s as (
+            select a.vec_id as anchor_id, a.label = c.label as same, c.vec_id as id,
+                   list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+            from t a, t c where a.vec_id % 50 = 0 and a.vec_id <> c.vec_id
+        ), p as (
+            select anchor_id, id as positive_id, score as positive_score from s where same
+            qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+        )
+        select anchor_id, positive_id,
+               row_number() over (partition by anchor_id, positive_id order by score desc, id)::int as rank,
+               id as negative_id, positive_score, score as negative_score
+        from p join s using (anchor_id)
+        where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+        qualify rank <= 3""",
 }
+
+
+def _personal_data_sql() -> str:
+    """The spans by splitting at matches, as in the operator, with list functions and running sums by slices."""
+    digits, code = "regexp_replace(m, '[^0-9]', '', 'g')", "replace(m, ' ', '')"
+    luhn = f"""list_sum(list_transform(range(1, length({digits}) + 1), lambda j:
+        if((length({digits}) - j) % 2 = 1, [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][{digits}[j]::int + 1], {digits}[j]::int))) % 10 = 0"""
+    mod_97 = f"""list_reduce(list_prepend(0, list_transform(string_split(concat({code}[5:], {code}[1:4]), ''), lambda c:
+        if(c <= '9', ascii(c) - 48, ascii(c) - 55))), lambda a, x: (a * if(x > 9, 100, 10) + x) % 97) = 1"""
+    # pattern and rule of each kind; the kinds stand in the order of the operator
+    kinds = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+        "ip": (r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "len(list_filter(string_split(m, '.'), lambda x: x::hugeint > 255)) = 0"),
+        "card": ("[0-9](?:[ -]?[0-9])+", f"length({digits}) between 14 and 19 and {luhn}"),
+        "phone": (r"\+[0-9][ ().0-9-]+[0-9]", f"length({digits}) between 10 and 15"),
+        "iban": (
+            r"\b[A-Z]{2}[0-9]{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})\b",
+            f"length({code}) between 15 and 34 and {mod_97}",
+        ),
+        "ssn": (
+            r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+            "m[1:3] not in ('000', '666') and m < '9' and m[5:6] <> '00' and m[8:] <> '0000'",
+        ),
+    }
+    parts = []
+    for no, kind in enumerate(pii.KINDS):
+        pattern, rule = kinds[kind.name]
+        near = "right(b[i], 40) || ' ' || left(b[i + 1], 40)"
+        score = (
+            f"{kind.points} + if(regexp_matches({near}, '{pii.any_word(kind.words)}'), 20, 0)"
+            f" - if(regexp_matches({near}, '{pii.any_word(pii.AGAINST)}'), 20, 0)"
+        )
+        parts.append(f"""
+            select doc_id, '{kind.name}' as kind, {no} as no, length(m) as size, {score} as score, {str(kind.base).lower()} as base,
+                   list_sum(list_transform(b[1:i], lambda x: length(x))) + list_sum(list_transform(f[1:i], lambda x: length(x))) as stop
+            from (
+                select doc_id, b, f, i, f[i] as m from (
+                    select doc_id, b, f, unnest(range(1, len(f) + 1)) as i from (
+                        select doc_id, regexp_split_to_array(t, '{pattern}') as b, regexp_extract_all(t, '{pattern}') as f from d)))
+            where {rule}{"" if kind.base else f" and {score} >= 60"}""")
+    return f"""
+        with d as (select doc_id, coalesce(text, '') as t from documents),
+        s as ({" union all ".join(parts)}),
+        g as (
+            select doc_id, kind, no, score, base, concat(kind, ':', stop - size, ':', stop) as shown, stop - size as start from s
+        )
+        select doc_id,
+               {", ".join(f"count(*) filter (kind = '{k}') as n_{k}" for k in ("email", "ip", "card", "phone"))},
+               sha256(coalesce(string_agg(shown, ',' order by start, no) filter (base), '')) as base_sha256,
+               coalesce(string_agg(shown, ',' order by start, no), '') as spans,
+               coalesce(string_agg(score::varchar, ',' order by start, no), '') as scores
+        from d left join g using (doc_id) group by doc_id"""
+
+
+ORACLE["op12_personal_data"] = _personal_data_sql()
