@@ -9,10 +9,11 @@ Two documents link when the Jaccard similarity of their sets of 5-word shingles
   that share a key link, no comparison needed, so each key gives a star.
 * Heavy sets: inverted lists of the first n - t + 1 shingles, those of the fewest sets first. All in a list are
   compared with one leader, which may come from another list. Members that this leaves in different components are
-  joined on what sets them apart from the leader: sets of n and m shingles link if and only if at most (n + m) / 9 shingles are in one of them only, and
-  a shingle is in one of A and B only if it is in one of A - L and B - L only, for any L. So for differences of a
-  and b shingles, ceil((a + b - (n + m) / 9) / 2) have to be common, and the first common one stands early in both.
-  Pairs with such a shingle are compared. A large family of copies that do not link makes few such pairs.
+  joined on what sets them apart from the leader: sets of n and m shingles link if and only if at most (n + m) / 9
+  shingles are in one of them only, and a shingle is in one of A and B only if it is in one of A - L and B - L only,
+  for any L. So for differences of a and b shingles, ceil((a + b - (n + m) / 9) / 2) have to be common, and the first
+  common one stands among the first n / 4 + 1 of both. Large lists of such differences get stars of their own first;
+  then pairs that share one are compared. A large family of copies that do not link makes few such pairs.
 * x is where the estimated number of subset keys plus list entries and comparisons is least.
 
 Equal shingles are equal 64-bit hashes.
@@ -37,17 +38,20 @@ from pitwall.session import materialise
 SHINGLE = 5
 PACK = 1 << 20
 # Bytes of input for each bucket of packed shingles.
-BUCKET = 64 << 20
+BUCKET = 16 << 20
 # Largest size for which subsets are considered at all, and list entries that one comparison of two texts is worth.
 LIGHT_MOST = 24
 COMPARE_COST = 50
+# Members of a list that are compared in pairs without another star.
+PAIRS_MOST = 256
 # Shingles of so many sets or more are ordered by their number of sets; the table of them has a bounded size.
 OFTEN, OFTEN_ROWS = 16, 500_000
 
 _SETS = "id long, n long, low long, high long"
 _PACKED = "bucket long, h binary, keys binary, counts binary"
 _ANSWERS = "low long, shared long, h long, sets long"
-_APART = "leader long, h long, id long, component long, n long, size long, at long"
+_APART_COLUMNS = ("leader", "h", "id", "component", "n", "size", "at")
+_APART = ", ".join(f"{c} long" for c in _APART_COLUMNS)
 _KEYS = "key long, light boolean, id long, n long, rare long"
 
 
@@ -121,7 +125,7 @@ def _deal_fronts(buckets: int, size: int, schema: pa.Schema):
 
 
 def _judge_fronts(often: int, schema: pa.Schema):
-    """How many first shingles of a set other sets have among theirs, and the shingles of many sets."""
+    """How many first shingles of a set other sets have among theirs, the shingles of many sets, and sums of lists."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -136,13 +140,14 @@ def _judge_fronts(often: int, schema: pa.Schema):
         begin = np.flatnonzero(new)
         sets = np.diff(np.append(begin, len(h)))
         shared, n = np.unique(key[sets[np.cumsum(new) - 1] > 1], return_counts=True)
-        many = sets >= often
+        many, lists = sets >= often, sets > 1
         none = lambda k: pa.nulls(k, pa.int64())
+        # the last row counts the entries and the lists of two sets or more
         columns = [
-            pa.concat_arrays([pa.array(shared), none(many.sum())]),
-            pa.concat_arrays([pa.array(n.astype(np.int64)), none(many.sum())]),
-            pa.concat_arrays([none(len(shared)), pa.array(h[begin][many].astype(np.int64))]),
-            pa.concat_arrays([none(len(shared)), pa.array(sets[many].astype(np.int64))]),
+            pa.concat_arrays([pa.array(shared), none(many.sum() + 1)]),
+            pa.concat_arrays([pa.array(n.astype(np.int64)), none(many.sum()), pa.array([int(sets[lists].sum())])]),
+            pa.concat_arrays([none(len(shared)), pa.array(h[begin][many].astype(np.int64)), none(1)]),
+            pa.concat_arrays([none(len(shared)), pa.array(sets[many].astype(np.int64)), pa.array([int(lists.sum())])]),
         ]
         return pa.Table.from_arrays(columns, schema=schema)
 
@@ -218,7 +223,11 @@ def _linked(size: int, schema: pa.Schema):
 
 
 def _differences(often, size: int, schema: pa.Schema):
-    """The shingles that a leader and a member do not share: the member's own before the leader's, rare ones first."""
+    """The first shingles that a leader and a member do not share: the member's own before the leader's, rare ones first.
+
+    Sets of n and m shingles that link differ in at most (n + m) / 9 of them, which is at most n / 4, and the first one
+    that both have apart from the leader stands at most one later.
+    """
 
     def run(batches):
         for batch in slices(batches, "_b_text"):
@@ -228,11 +237,13 @@ def _differences(often, size: int, schema: pa.Schema):
             ]
             own = [np.concatenate([np.setdiff1d(b, a, True), np.setdiff1d(a, b, True)]) for a, b in sets]
             own = [o[np.lexsort((o, _level(o, often.value), np.isin(o, a)))] for o, (a, _) in zip(own, sets, strict=True)]
+            size_of = np.array([len(o) for o in own], np.int64)
+            own = [o[: len(b) // 4 + 1] for o, (_, b) in zip(own, sets, strict=True)]
             many = np.array([len(o) for o in own], np.int64)
             spread = {c: np.repeat(batch.column(c).to_numpy(), many) for c in ("a", "b", "component")}
             at = np.concatenate([np.arange(1, k + 1) for k in many])
             n = np.repeat([len(b) for _, b in sets], many)
-            columns = (spread["a"], np.concatenate(own).astype(np.int64), spread["b"], spread["component"], n, np.repeat(many, many), at)
+            columns = (spread["a"], np.concatenate(own).astype(np.int64), spread["b"], spread["component"], n, np.repeat(size_of, many), at)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
     return run
@@ -249,6 +260,46 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return both.mapInArrow(_linked(size, arrow_schema("a long, b long")), "a long, b long")
 
 
+def _thin(links: DataFrame, apart: DataFrame, texts: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Links found by stars inside large lists of differences, and the differences with the components that result.
+
+    A family whose members all differ from their leader in the same way meets in one list. There all are compared with
+    one of them, until no list with more than ``PAIRS_MOST`` members of other components finds a link this way. The
+    lists stay whole: what the stars leave apart is still joined.
+    """
+    members = apart.filter("at = 1").groupBy("leader").agg(F.count("id").alias("many")).filter(F.col("many") > PAIRS_MOST)
+    members = materialise(members.select("leader"), "wide_leaders")
+    if members.isEmpty():
+        return links, apart
+    large, found, turn = materialise(apart.join(broadcast_if_small(members), "leader"), "wide_lists"), None, 0
+    while True:
+        lists = large.groupBy("leader", "h").agg(
+            F.count("id").alias("many"),
+            (F.min("component") != F.max("component")).alias("open"),
+            F.min_by(F.struct("id", "component", "n", "size"), F.xxhash64("id", F.lit(turn))).alias("hub"),
+        )
+        hubs = lists.filter(F.col("open") & (F.col("many") > PAIRS_MOST)).select("leader", "h", "hub")
+        met = large.join(hubs, ["leader", "h"]).filter(
+            (F.col("component") != F.col("hub.component"))
+            & (F.least("n", "hub.n") * 5 >= F.greatest("n", "hub.n") * 4)
+            & (F.abs(F.col("size") - F.col("hub.size")) <= F.floor((F.col("n") + F.col("hub.n")) / 9))
+        )
+        stars = materialise(met.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct(), "inner_stars")
+        more = materialise(_verify(stars, texts, size), "inner_links")
+        if more.isEmpty():
+            break
+        links, turn = materialise(links.union(more), "links"), turn + 1
+        found = components(links)
+        large = materialise(_renamed(large, found), "wide_lists")
+    return links, apart if found is None else materialise(_renamed(apart, found), "apart")
+
+
+def _renamed(apart: DataFrame, labels: DataFrame) -> DataFrame:
+    """The differences with the components of ``labels``."""
+    named = labels.select("id", F.col("component").alias("_now"))
+    return apart.join(named, "id", "left").withColumn("component", F.coalesce("_now", "component")).select(*_APART_COLUMNS)
+
+
 def light_boundary(sizes: dict[int, int], list_length: float) -> int:
     """The size up to which subset keys cost less than list entries and comparisons."""
 
@@ -270,7 +321,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     Words are longest runs of other bytes than the space and 0x09-0x0D, A-Z lower-cased. A text of fewer than
     ``size`` words is one shingle; null and blank texts have none and are their own component. Rows that repeat an id
-    are one document with several texts. A row without an id has no component and links nothing.
+    are one document with several texts, which links whatever any of them links; its rows without words show the id. A
+    row without an id has no component and links nothing. Empty tables give no rows.
     """
     text = F.coalesce(F.col(text_column).cast("binary"), F.lit("").cast("binary")).alias("_text")
     rows = docs.select(F.col(id_column).cast("long").alias("_id"), text)
@@ -290,7 +342,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = materialise(texts.dropDuplicates(["_id", "_text"]), "texts")
 
     sizes = {r.n: r["count"] for r in alive.filter(f"n <= {2 * LIGHT_MOST}").groupBy("n").count().collect()}
-    boundary = light_boundary(sizes, 4.0)
+    entries, shared_lists = answers.filter("low is null and h is null").agg(F.sum("shared"), F.sum("sets")).first()
+    boundary = light_boundary(sizes, entries / shared_lists if shared_lists else 0.0)
     often, limit = answers.filter("h is not null"), OFTEN
     while often.filter(F.col("sets") >= limit).count() > OFTEN_ROWS:
         limit *= 2
@@ -325,6 +378,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     stars = led.filter((F.col("id") != F.col("leader")) & fits).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     stars = materialise(stars, "stars")
     links = materialise(links.union(_verify(stars, texts, size)), "star_links")
+    # rows of one id with different texts are one document
+    several = sets.filter("n > 0 and id is not null").select("id", "low", "high", "n")
+    ids = several.groupBy("id").agg(F.min("low").alias("a"), F.max("low").alias("b")).filter("a <> b").select("id")
+    of_id = several.join(materialise(ids, "repeated_ids"), "id").join(classes, ["low", "high", "n"])
+    links = materialise(links.union(of_id.select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()), "links")
     labels = components(links)
 
     # what is left: members of one list in different components. A leader's lists are joined again on what sets them
@@ -337,11 +395,17 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     groups = groups.join(open_leaders.select("leader"), "leader")
     apart = _pair_texts(groups.select(F.col("leader").alias("a"), F.col("id").alias("b"), "component"), texts)
     apart = materialise(apart.mapInArrow(_differences(order, size, arrow_schema(_APART)), _APART), "apart")
-    other = apart.select("leader", "h", *(F.col(c).alias(f"o_{c}") for c in ("id", "component", "n", "size", "at")))
+    links, apart = _thin(links, apart, texts, size)
+    # of two members the one with fewer differences shows the first common one among its first n / 8 + 1
+    other = apart.filter("at <= n div 8 + 1")
+    other = other.select("leader", "h", *(F.col(c).alias(f"o_{c}") for c in ("id", "component", "n", "size", "at")))
     apart_most = F.floor((F.col("n") + F.col("o_n")) / 9)
     common = F.ceil((F.col("size") + F.col("o_size") - apart_most) / 2)
     rest = apart.join(other, ["leader", "h"]).filter(
-        (F.col("component") < F.col("o_component"))
+        (F.col("component") != F.col("o_component"))
+        & (F.struct("size", "id") > F.struct("o_size", "o_id"))
+        & (F.least("n", "o_n") * 5 >= F.greatest("n", "o_n") * 4)
+        & (F.col("size") - F.col("o_size") <= apart_most)
         & (F.col("at") <= F.col("size") - common + 1)
         & (F.col("o_at") <= F.col("o_size") - common + 1)
     )
