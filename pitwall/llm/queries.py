@@ -86,12 +86,22 @@ def page_records(pages):
 
 
 def op2_warc_archive(spark, sf_dir):
+    """Digest and length come from the payloads that the archive gives back; a revisit has those of its response."""
     path = f"{scratch_dir(spark)}/pitwall/warc-{uuid.uuid4().hex}"
     warc.write_warc(page_records(_read(spark, sf_dir, "pages")), path)
-    number = lambda c: F.substring_index(c, ":", -1).try_cast("long").alias(c)
-    found = warc.read_warc(spark, path).withColumn("payload_sha1", F.sha1("payload"))
-    found = found.select(number("record_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to"), "payload_sha1")
-    return found.withColumnRenamed("record_id", "page_id").drop("payload_sha1")
+    number = lambda c: F.substring_index(c, ":", -1).try_cast("long")
+    read = warc.read_warc(spark, path).filter("record_type = 'response'")
+    stored = read.select(
+        "record_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest")
+    )
+    stored = materialise(stored, "responses")
+    again = warc.read_warc(spark, path, payload=False).filter("record_type = 'revisit'").select("record_id", "refers_to")
+    first = stored.select(F.col("record_id").alias("refers_to"), "payload_bytes", "payload_digest")
+    again = again.join(first, "refers_to", "left").withColumn("record_type", F.lit("revisit"))
+    found = stored.withColumns({"record_type": F.lit("response"), "refers_to": F.lit(None).cast("string")}).unionByName(again)
+    return found.select(
+        number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to")
+    )
 
 
 def op3_closed_syncmers(spark, sf_dir):

@@ -4,7 +4,8 @@ An entry says that from a day on a pattern is on a list, or no longer on it. The
 intervals, cut at blocks of days. A capture has a few keys (its URL, its host and the domains above it, its path
 prefixes), and one equi-join on key and block with the interval as residual finds what was active. A pattern with a
 long history meets a capture only in the block of the fetch day, and a host with very many captures is split by the
-skew handling of the join.
+skew handling of the join. Blocks are made only where captures lie, and wider ones if these days are scattered, so any
+integer may be a day. A URL gives no more prefixes and domains than the longest listed ones have steps and labels.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pitwall.operators.hot import broadcast_if_small
 from pitwall.session import materialise
 
 BLOCK_DAYS = 32
+# Blocks with captures; beyond, blocks get wider.
+BLOCKS_MOST = 4096
 
 
 def host(url):
@@ -45,13 +48,15 @@ def intervals(entries: DataFrame) -> DataFrame:
     return held.select("list", "kind", "pattern", F.col("day").alias("valid_from"), "valid_to")
 
 
-def keys(url):
-    """All (kind, pattern) under which lists may name a URL, as an array."""
-    name, parts = host(url), F.split(host(url), r"\.")
+def keys(url, steps: int, labels: int):
+    """All (kind, pattern) under which lists may name a URL, with prefixes of up to ``steps`` steps and domains of up
+    to ``labels`` labels, as an array."""
+    # whatever the lists name, the parts of a URL are looked at once
+    name, parts = host(url), F.reverse(F.slice(F.reverse(F.split(host(url), r"\.")), 1, max(labels, 1)))
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    steps = F.split(F.rtrim(path(url), F.lit("/")), "/")
+    front = F.slice(F.split(F.rtrim(path(url), F.lit("/")), "/", steps + 2), 1, steps + 1)
     prefixes = F.transform(
-        F.sequence(F.lit(1), F.size(steps)), lambda i: F.concat(name, F.array_join(F.slice(steps, 1, i), "/"), F.lit("/"))
+        F.sequence(F.lit(1), F.size(front)), lambda i: F.concat(name, F.array_join(F.slice(front, 1, i), "/"), F.lit("/"))
     )
     named = lambda kind, values: F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("pattern")))
     found = F.concat(
@@ -60,27 +65,41 @@ def keys(url):
     return F.when(name.isNotNull(), found).otherwise(named("url", F.array(url)))
 
 
+def _blocks(days: DataFrame) -> tuple[int, list[int]]:
+    """The width of a block and all blocks with a day, a bounded number."""
+    width = BLOCK_DAYS
+    while True:
+        # at most one more than the bound comes to the driver
+        found = days.select(F.floor(F.col("_day") / width).alias("b")).distinct().limit(BLOCKS_MOST + 1).collect()
+        if len(found) <= BLOCKS_MOST:
+            return width, sorted(r.b for r in found)
+        width *= 16
+
+
 def active_lists(captures: DataFrame, entries: DataFrame, url_column: str = "url", day_column: str = "fetch_day") -> DataFrame:
     """Struct ``row`` with all columns of ``captures``, and ``lists``, the sorted names of the lists that name the URL
     on the fetch day.
 
-    ``day`` and the fetch day are integers. A null URL or day is on no list. Repeated captures are judged alike.
+    ``day`` and the fetch day are integers of up to 52 bits. A null URL or day is on no list. Repeated captures are
+    judged alike. Empty tables give no rows or no lists.
     """
-    held = materialise(intervals(entries), "intervals")
-    last = captures.agg(F.max(day_column)).first()[0]
-    end = F.least(F.coalesce(F.col("valid_to") - 1, F.lit(last)), F.lit(last))
-    held = held.withColumn("_end", end.cast("long")).filter("_end >= valid_from")
-    blocks = F.sequence(F.floor(F.col("valid_from") / BLOCK_DAYS), F.floor(F.col("_end") / BLOCK_DAYS))
-    held = materialise(held.withColumn("_block", F.explode(blocks)), "interval_blocks")
-
     rows = captures.select(
         F.struct(*captures.columns).alias("row"), F.col(url_column).cast("string").alias("_url"), F.col(day_column).cast("long").alias("_day")
     )
     asked = rows.select("_url", "_day").dropna().distinct()
-    probes = asked.select("_url", "_day", F.explode(keys(F.col("_url"))).alias("_k"))
-    probes = probes.select("_url", "_day", "_k.kind", "_k.pattern", F.floor(F.col("_day") / BLOCK_DAYS).alias("_block"))
+    width, used = _blocks(rows.select("_day").dropna())
+
+    held = materialise(intervals(entries), "intervals")
+    of_kind = lambda kind, parts: F.max(F.when(F.col("kind") == kind, F.size(F.split("pattern", parts))))
+    steps, labels = held.agg(of_kind("prefix", "/"), of_kind("domain", r"\.")).first()
+    begin, end = F.floor(F.col("valid_from") / width), F.floor((F.col("valid_to") - 1) / width)
+    inside = F.filter(F.lit(used).cast("array<long>"), lambda b: (b >= begin) & (b <= F.coalesce(end, b)))
+    held = materialise(held.withColumn("_block", F.explode(inside)), "interval_blocks")
+
+    probes = asked.select("_url", "_day", F.explode(keys(F.col("_url"), steps or 0, labels or 0)).alias("_k"))
+    probes = probes.select("_url", "_day", "_k.kind", "_k.pattern", F.floor(F.col("_day") / width).alias("_block"))
     met = probes.join(broadcast_if_small(held), ["kind", "pattern", "_block"])
-    met = met.filter((F.col("valid_from") <= F.col("_day")) & (F.col("_day") <= F.col("_end")))
+    met = met.filter((F.col("valid_from") <= F.col("_day")) & (F.coalesce(F.col("valid_to"), F.col("_day") + 1) > F.col("_day")))
     found = met.groupBy("_url", "_day").agg(F.array_sort(F.collect_set("list")).alias("lists"))
     none = F.array().cast("array<string>")
     return rows.join(found, ["_url", "_day"], "left").select("row", F.coalesce("lists", none).alias("lists"))

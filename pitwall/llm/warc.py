@@ -158,7 +158,7 @@ def records(file, size: int, wanted, payloads: bool) -> Iterator[tuple]:
             row[field] = row[field] and row[field].strip("<>")
         kind, _, digest = (row["payload_digest"] or "").partition(":")
         if kind.lower() == "sha1":
-            row["payload_digest"] = base64.b32decode(digest.upper()).hex()
+            row["payload_digest"] = digest.lower() if len(digest) == 40 else base64.b32decode(digest.upper()).hex()
         if wanted(row):
             length = int(named.get("content-length", 0))
             http = named.get("content-type", "").startswith("application/http")
@@ -304,7 +304,7 @@ class WarcSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Make the format known to a session and let it push filters into Python sources."""
+    """Make the format known to a session and let it push filters into Python sources from now on."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
 

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pitwall.llm import negatives, pii, queries, turns
+from pitwall.llm import negatives, pii, queries, suffix, turns
 
 # --- personal data --------------------------------------------------------------------------
 
@@ -98,6 +98,45 @@ def test_personal_data_query_and_plan(spark, sf):
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(b[3] == k for b in base) for k in BASE)
 
 
+# --- longest previous factors ---------------------------------------------------------------
+
+
+@pytest.mark.parametrize("depth", [8, 11, 16, 50])
+def test_suffix_arrays_against_brute_force(depth):
+    rng = random.Random(depth)
+    for _ in range(60):
+        texts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(depth, 3 * depth))) for _ in range(rng.randint(1, 6))]
+        texts += [texts[0][: rng.randint(depth, len(texts[0]))], texts[-1]]
+        ids = [rng.randint(0, 5) for _ in texts]
+        data, start, owner = b"".join(texts), [], []
+        for k, text in enumerate(texts):
+            base = sum(map(len, texts[:k]))
+            start += [base + i for i in range(len(text) - depth + 1)]
+            owner += [ids[k]] * (len(text) - depth + 1)
+        strings = [data[i : i + depth] for i in start]
+        raw, at, by = np.frombuffer(data, np.uint8), np.array(start), np.array(owner)
+        words = suffix._words(raw, at, depth)
+        order = suffix.suffix_array(words)
+        assert [strings[i] for i in order] == sorted(strings)
+        lcp = suffix.common_prefixes(words, order, depth)
+
+        def shared(a, b):
+            return next((k for k in range(depth) if a[k] != b[k]), depth)
+
+        ranked, named = [strings[i] for i in order], by[order]
+        assert lcp.tolist() == [0, *(shared(a, b) for a, b in zip(ranked, ranked[1:], strict=False))]
+        before, prefix = suffix.nearest_smaller(named, lcp)
+        for i in range(len(ranked)):
+            want = max((j for j in range(i) if named[j] < named[i]), default=-1)
+            assert before[i] == want and prefix[i] == (shared(ranked[want], ranked[i]) if want >= 0 else 0)
+        factors = suffix.longest_previous_factors(named, lcp)
+        assert factors.tolist() == [
+            max((shared(b, a) for b, d in zip(ranked, named, strict=True) if d < c), default=0) for a, c in zip(ranked, named, strict=True)
+        ]
+        hit = suffix.later_copies(raw, at, by, depth)
+        assert hit.tolist() == [any(s == t and j < i for t, j in zip(strings, owner, strict=True)) for s, i in zip(strings, owner, strict=True)]
+
+
 # --- conversation repair --------------------------------------------------------------------
 
 GAP = "\x20\t\n\x0b\x0c\r"
