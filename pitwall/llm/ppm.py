@@ -2,12 +2,12 @@
 
 Each language has a context tree of the last 0 to 3 bytes with the counts of the byte that follows. A byte seen n of
 N times in the longest context costs -log2(n / (N + d)) bits, with d different bytes seen there; an unseen one pays
-the escape -log2(d / (N + d)) and goes on in the next shorter context, down to all byte classes alike. The statistics
-are frozen after fitting, so the code length of a text is a sum over its positions, exact and the same wherever it is
-computed. The language with the shortest code wins.
+the escape -log2(d / (N + d)) and goes on in the next shorter context, down to all 256 bytes alike. A context that
+never occurred costs nothing to leave. The statistics are frozen after fitting, so the code length of a text is a sum
+over its positions, exact and the same wherever it is computed. The language with the shortest code wins.
 
-Fitting takes up to ``per_language`` texts of each language, those of the least hashed ids. The tables are bounded by
-that sample and by 63 byte classes (the most frequent bytes after A-Z became a-z) plus one for all other bytes.
+Fitting takes up to ``per_language`` texts of each language, those of the least hashed ids, so the tables are bounded
+by that sample. Long texts are coded in pieces that see the three bytes before them.
 """
 
 from __future__ import annotations
@@ -23,76 +23,112 @@ from pyspark.sql.window import Window
 
 from pitwall.llm.arrays import flat, slices
 from pitwall.llm.packs import arrow_schema
+from pitwall.operators.hot import broadcast_if_small
+from pitwall.session import materialise
 
 PER_LANGUAGE = 400
-CLASSES, ORDER = 64, 3
+ORDER = 3
+# Positions that are coded at once.
+PIECE = 1 << 18
+# How many times as many rows as a sample needs pass the bound on hashed ids.
+SPARE = 4
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
 
 
+def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where keys stand among sorted ones, and whether they do."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return at, sorted_keys[at] == keys
+
+
 @dataclass
 class Model:
-    """Bits of every (context, byte) and language. ``deep`` has rows for the seen strings of four classes, found
-    through ``place``; for others, ``escape`` of the context and ``shallow`` of the last three classes add up."""
+    """Bits by language. ``grams[i]`` are the sorted seen strings of i + 1 bytes as numbers and ``bits[i]`` what their
+    last byte costs after the others, a row per string; all bytes and pairs of bytes have rows. ``contexts[i]`` and
+    ``escapes[i]`` are the seen contexts of i bytes and what leaving them costs."""
 
     languages: list[str]
-    classes: np.ndarray
-    place: np.ndarray
-    deep: np.ndarray
-    escape: np.ndarray
-    shallow: np.ndarray
-
-    def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    grams: list[np.ndarray]
+    bits: list[np.ndarray]
+    contexts: list[np.ndarray]
+    escapes: list[np.ndarray]
+
+    def costs(self, keys: np.ndarray, order: int = ORDER) -> np.ndarray:
+        """Bits of the last byte of each string of ``order`` + 1 bytes."""
+        if order <= 1:
+            return self.bits[order][keys]
+        at, seen = _find(self.grams[order], keys)
+        cost = self.bits[order][at]
+        rest = np.flatnonzero(~seen)
+        if len(rest):
+            width = 8 * order
+            cost[rest] = self.costs(keys[rest] & np.uint32((1 << width) - 1), order - 1)
+            left, known = _find(self.contexts[order], keys[rest] >> np.uint32(8))
+            cost[rest] += np.where(known[:, None], self.escapes[order][left], 0)
+        return cost
+
+    def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code length of each row in each language; a text starts as after three spaces."""
-        rows = len(offsets) - 1
-        space = self.classes[32]
-        lengths = np.diff(offsets)
-        # three spaces before each text, so that no context reaches into another one
-        out = np.full(len(data) + 3 * rows, space, np.int64)
-        begin = offsets[:-1] + 3 * np.arange(1, rows + 1)
-        out[np.arange(len(data)) + np.repeat(3 * np.arange(1, rows + 1), lengths)] = self.classes[data]
-        three = (out[:-2] * CLASSES + out[1:-1]) * CLASSES + out[2:]
-        context, last = three[:-1], three[1:]
-        at = self.place[context * CLASSES + out[3:]]
-        cost = self.deep[at]
-        unseen = at == 0
-        cost[unseen] = self.escape[context[unseen]] + self.shallow[last[unseen]]
-        total = np.zeros((len(cost) + 1, cost.shape[1]))
-        np.cumsum(cost, axis=0, dtype=np.float64, out=total[1:])
-        return total[begin - 3 + lengths] - total[begin - 3]
-
-
-def _lower() -> np.ndarray:
-    table = np.arange(256)
-    table[65:91] += 32
-    return table
+        rows, lengths = len(offsets) - 1, np.diff(offsets)
+        out = np.zeros((rows, len(self.languages)))
+        row = np.repeat(np.arange(rows), lengths)
+        for start in range(0, len(data), PIECE):
+            stop = min(start + PIECE, len(data))
+            here = np.arange(start, stop)
+            since, keys = here - offsets[row[start:stop]], data[start:stop].astype(np.uint32)
+            for back in range(1, ORDER + 1):
+                before = np.where(since >= back, data[np.maximum(here - back, 0)], 32).astype(np.uint32)
+                keys |= before << np.uint32(8 * back)
+            cost = self.costs(keys)
+            first, last = row[start], row[stop - 1]
+            for k in range(len(self.languages)):
+                out[first : last + 1, k] += np.bincount(row[start:stop] - first, cost[:, k], last - first + 1)
+        return out
 
 
 def _counts(schema: pa.Schema):
-    """Counts of strings of four lower-cased bytes by language, reduced per task."""
+    """Counts of strings of four bytes by language, reduced per piece."""
 
     def run(batches):
-        found: dict[str, list[np.ndarray]] = {}
-        for batch in batches:
+        for batch in slices(batches, "text"):
             for language, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                b = _lower()[np.frombuffer(b"   " + text.encode(), np.uint8)].astype(np.int64)
-                found.setdefault(language, []).append(((b[:-3] << 8 | b[1:-2]) << 8 | b[2:-1]) << 8 | b[3:])
-        for language, parts in found.items():
-            grams, n = np.unique(np.concatenate(parts), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([language] * len(n)), pa.array(grams), pa.array(n)], schema=schema)
+                b = np.frombuffer(b"   " + text.encode(), np.uint8)
+                for start in range(0, len(b) - 3, PIECE):
+                    w = b[start : start + PIECE + 3].astype(np.int64)
+                    grams, n = np.unique(((w[:-3] << 8 | w[1:-2]) << 8 | w[2:-1]) << 8 | w[3:], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([language] * len(n)), pa.array(grams), pa.array(n)], schema=schema)
 
     return run
 
 
+def _sample(known: DataFrame, per_language: int) -> DataFrame:
+    """(doc_id, lang) of the least hashed ids of each language.
+
+    Ids beyond a bound on the hash, a few times what the sample needs, are left out before they are ranked.
+    """
+    many = materialise(known.groupBy("lang").agg(F.count("*").alias("_many")), "languages")
+    hashed = F.xxhash64("doc_id").cast("double") / float(1 << 63)
+    bound = SPARE * per_language * 2.0 / F.col("_many") - 1
+    near = known.select("doc_id", "lang").join(broadcast_if_small(many), "lang").filter(hashed <= bound).select("doc_id", "lang")
+    near = materialise(near, "least_hashed")
+    short = near.groupBy("lang").agg(F.count("*").alias("_near")).join(many, "lang", "right")
+    if not short.filter(F.coalesce("_near", F.lit(0)) < F.least("_many", F.lit(per_language))).isEmpty():
+        near = known.select("doc_id", "lang")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    return near.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("doc_id", "lang").distinct()
+
+
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """A model of the languages in ``labelled`` (doc_id, text, lang); None without a text that has a language.
 
     Rows without text, letters or language are left out. Ties of the hashed id go to the smaller id.
     """
     known = labelled.filter("lang is not null and text is not null and doc_id is not null").filter(F.col("text").rlike(r"\p{L}"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.select("doc_id", "lang").withColumn("_rank", rank).filter(F.col("_rank") <= per_language)
-    texts = known.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"]).select("lang", "text")
+    chosen = materialise(_sample(known, per_language), "sample")
+    texts = known.join(broadcast_if_small(chosen), ["doc_id", "lang"]).select("lang", "text")
     schema = "lang string, gram long, n long"
     counts = texts.mapInArrow(_counts(arrow_schema(schema)), schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = counts.orderBy("lang", "gram").toPandas()  # bounded by the sample
@@ -100,45 +136,42 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
         return None
     languages = sorted(counts.lang.unique())
     language = np.searchsorted(languages, counts.lang.to_numpy().astype(str))
-    gram, n = counts.gram.to_numpy(), counts.n.to_numpy()
-
-    frequency = np.bincount(gram & 255, n, 256)
-    frequency[32] = frequency.max() + 1
-    common = np.argsort(-frequency, kind="stable")[: CLASSES - 1]
-    classes = np.full(256, CLASSES - 1)
-    classes[common] = np.arange(CLASSES - 1)
-    classes = classes[_lower()]
-    coded = np.zeros_like(gram)
-    for shift in (24, 16, 8, 0):
-        coded = coded * CLASSES + classes[gram >> shift & 255]
-
-    def cost(order: int, shorter: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bits of the strings ``keys`` of ``order`` + 1 classes, and the escape bits of every context."""
-        width = CLASSES ** (order + 1)
-        bits = np.empty((len(keys), len(languages)), np.float32)
-        escapes = np.zeros((width // CLASSES, len(languages)), np.float32)
-        for k in range(len(languages)):
-            own = language == k
-            seen, back = np.unique(coded[own] % width, return_inverse=True)
-            times = np.bincount(back, n[own])
-            context, first = np.unique(seen // CLASSES, return_inverse=True)
-            total, different = np.bincount(first, times), np.bincount(first)
-            escapes[context, k] = -np.log2(different / (total + different))
-            at = np.minimum(np.searchsorted(seen, keys), len(seen) - 1)
-            hit = seen[at] == keys
-            bits[:, k] = escapes[keys // CLASSES, k] + shorter[keys % (width // CLASSES), k]
-            bits[hit, k] = -np.log2(times[at[hit]] / (total + different)[first[at[hit]]])
-        return bits, escapes
-
-    table = np.full((1, len(languages)), np.log2(CLASSES), np.float32)
-    for order in range(ORDER):
-        table, _ = cost(order, table, np.arange(CLASSES ** (order + 1)))
-    seen = np.unique(coded)
-    deep, escape = cost(ORDER, table, seen)
-    place = np.zeros(CLASSES ** (ORDER + 1), np.int32)
-    place[seen] = np.arange(1, len(seen) + 1)
-    deep = np.concatenate([np.zeros((1, len(languages)), np.float32), deep])
-    return Model(languages, classes, place, deep, escape, table)
+    gram, n = counts.gram.to_numpy().astype(np.uint32), counts.n.to_numpy()
+    model = Model(languages, [], [], [], [])
+    for order in range(ORDER + 1):
+        _add_order(model, order, gram, n, language)
+    return model
+
+
+def _add_order(model: Model, order: int, gram: np.ndarray, n: np.ndarray, language: np.ndarray) -> None:
+    """The tables of contexts of ``order`` bytes, given those of the shorter ones."""
+    mask = np.uint32((1 << 8 * (order + 1)) - 1)
+    keys = np.arange(256 ** (order + 1), dtype=np.uint32) if order <= 1 else np.unique(gram & mask)
+    contexts = np.unique(gram & mask) >> np.uint32(8) if order else np.zeros(1, np.uint32)
+    contexts = np.unique(contexts)
+    width = len(model.languages)
+    bits, escapes = np.empty((len(keys), width), np.float32), np.zeros((len(contexts), width), np.float32)
+    shorter = model.costs(keys & (mask >> np.uint32(8)), order - 1) if order else np.full((256, width), 8, np.float32)
+    inside = np.searchsorted(contexts, keys >> np.uint32(8)) if order else np.zeros(len(keys), np.int64)
+    has_context = inside < len(contexts)
+    inside = np.minimum(inside, len(contexts) - 1)
+    if order:
+        has_context &= contexts[inside] == keys >> np.uint32(8)
+    for k in range(width):
+        own = language == k
+        seen, back = np.unique(gram[own] & mask, return_inverse=True)
+        times = np.bincount(back, n[own])
+        before = seen >> np.uint32(8) if order else np.zeros(len(seen), np.uint32)
+        context, first = np.unique(before, return_inverse=True)
+        total, different = np.bincount(first, times), np.bincount(first)
+        escapes[np.searchsorted(contexts, context), k] = -np.log2(different / (total + different))
+        bits[:, k] = shorter[:, k] + np.where(has_context, escapes[inside, k], 0)
+        at = np.searchsorted(keys, seen)
+        bits[at, k] = -np.log2(times / (total + different)[first])
+    model.grams.append(keys)
+    model.bits.append(bits)
+    model.contexts.append(contexts)
+    model.escapes.append(escapes)
 
 
 def identify(docs: DataFrame, model: Model | None, text_column: str = "text") -> DataFrame:
@@ -153,22 +186,17 @@ def identify(docs: DataFrame, model: Model | None, text_column: str = "text") ->
     schema = arrow_schema(out)
     if model is None:
         return rows.select("row", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
-    # the index by four classes is mostly empty: it is built again in each task
-    sent = docs.sparkSession.sparkContext.broadcast(
-        (model.languages, model.classes, np.flatnonzero(model.place), model.deep, model.escape, model.shallow)
-    )
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     def run(batches):
-        languages, classes, seen, deep, escape, shallow = sent.value
-        place = np.zeros(CLASSES ** (ORDER + 1), np.int32)
-        place[seen] = np.arange(1, len(seen) + 1)
-        own = Model(languages, classes, place, deep, escape, shallow)
+        own = sent.value
+        languages = own.languages
         names = np.array([*languages, UNDETERMINED])
         letters = np.zeros(256, bool)
         letters[65:91] = letters[97:123] = True
         for batch in slices(batches, "_text"):
             data, offsets = flat(batch.column("_text"))
-            bits = own.bits(data, offsets)
+            bits = own.code_lengths(data, offsets)
             best = bits.argmin(axis=1)
             score = 1 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
             plain = np.diff(np.append(0, np.cumsum(letters[data]))[offsets]) > 0

@@ -4,14 +4,16 @@ import hashlib
 import math
 import random
 import re
+import struct
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from pitwall.llm import negatives, pii, queries, suffix, turns
+from pitwall.llm import arrays, negatives, pii, ppm, queries, resampling, suffix, syncmers, turns
 
 # --- personal data --------------------------------------------------------------------------
 
@@ -137,6 +139,133 @@ def test_suffix_arrays_against_brute_force(depth):
         assert hit.tolist() == [any(s == t and j < i for t, j in zip(strings, owner, strict=True)) for s, i in zip(strings, owner, strict=True)]
 
 
+# --- language, fingerprints, resampling -----------------------------------------------------
+
+
+def _code_length(train, text):
+    """Bits of a text by prediction by partial matching, byte by byte."""
+    counts = defaultdict(lambda: defaultdict(int))
+    for one in train:
+        raw = b"   " + one.encode()
+        for i in range(3, len(raw)):
+            for order in range(4):
+                counts[raw[i - order : i]][raw[i]] += 1
+    raw, total = b"   " + text.encode(), 0.0
+    for i in range(3, len(raw)):
+        for order in (3, 2, 1, 0):
+            after = counts.get(raw[i - order : i])
+            if after is None:
+                continue
+            n, different = sum(after.values()), len(after)
+            if raw[i] in after:
+                total -= math.log2(after[raw[i]] / (n + different))
+                break
+            total -= math.log2(different / (n + different))
+        else:
+            total += 8
+    return total
+
+
+def test_code_lengths_against_a_plain_coder(spark, monkeypatch):
+    rng = random.Random(3)
+    say = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    train = {"a": [say("abc dE", 60) for _ in range(8)], "b": [say("xyz éß", 50) for _ in range(8)], "c": ["q"]}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate((lang, t) for lang, ts in train.items() for t in ts)]
+    model = ppm.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    probes = [say("abc dExyzéß日", n) for n in (1, 2, 3, 4, 50, 200)] + ["", "日本", "q", "   "]
+    raw = [p.encode() for p in probes]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    want = [[_code_length(train[lang], p) for lang in model.languages] for p in probes]
+    for piece in (1 << 18, 7):
+        monkeypatch.setattr(ppm, "PIECE", piece)
+        assert np.allclose(model.code_lengths(data, offsets), want, rtol=1e-5, atol=1e-3)
+
+
+def test_long_texts_are_coded_in_pieces(spark):
+    rows = [(i, t * 30, lang) for i, (lang, t) in enumerate([("x", "the cat "), ("y", "der hund ")])]
+    model = ppm.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    found = ppm.identify(spark.createDataFrame([("der hund " * 1_000_000,), ("the cat " * 100,)], "text string"), model).select("lang_pred", "score").collect()
+    assert sorted(map(tuple, found)) == [("x", 1.0), ("y", 1.0)]
+
+
+def test_the_sample_is_that_of_the_least_hashes(spark, monkeypatch):
+    known = spark.range(3000).selectExpr("id as doc_id", "if(id % 10 = 0, 'few', 'many') as lang").union(spark.sql("select 7L, 'one'"))
+    ranked = sorted(known.select("lang", F.xxhash64("doc_id").alias("h"), "doc_id").collect(), key=lambda r: (r.lang, r.h, r.doc_id))
+    want = {(r.doc_id, r.lang) for lang in ("few", "many", "one") for r in [r for r in ranked if r.lang == lang][:20]}
+    for spare in (4, 1, 0.01):
+        monkeypatch.setattr(ppm, "SPARE", spare)
+        assert {tuple(r) for r in ppm._sample(known, 20).collect()} == want
+
+
+def test_held_out_accuracy(spark):
+    found = queries.op5_ppm_language(spark, "/root/testdata/sf0.01")
+    truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    judged = found.filter("held_out").join(truth, "doc_id").filter("lang is not null and lang_pred <> 'und'")
+    assert judged.count() > 100 and judged.filter("lang_pred = lang").count() >= 0.98 * judged.count()
+
+
+def _hash64(values, seed=42):
+    """Spark's xxhash64 of texts and whole numbers, one after the other."""
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else struct.pack("<q", v)
+        seed = xxhash.xxh64_intdigest(raw, seed=seed & (1 << 64) - 1)
+    return seed - (1 << 64) if seed >= 1 << 63 else seed
+
+
+def _anchors(text, k=5, s=2):
+    """Anchors by looking at every k-word substring and all its s-word substrings."""
+    words = []
+    for w in re.split(r"[\x09-\x0D\x20]+|(?=[\u0E00-\u0EFF\u3040-\u30FF\u3400-\u9FFF\uAC00-\uD7AF])", text.lower()):
+        if w and len(w) <= 32:
+            words.append(_hash64([w]))
+        elif w:
+            words += [_hash64(w[i : i + 12]) for i in range(len(w) - 11)]
+    found = []
+    for i in range(len(words) - k + 1):
+        inner = [_hash64(words[j : j + s]) for j in range(i, i + k - s + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            found.append(_hash64([inner[0], inner[2], inner[3]]) & 0xFFFFFFFF)
+    return found or ([_hash64(words) & 0xFFFFFFFF] if words else [])
+
+
+def test_fingerprints_against_all_substrings(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["a", "B", "cd", "é", "x" * 40, "日本語", "w\tz"]) for _ in range(n)) for n in (0, 1, 3, 5, 6, 30, 60) for _ in range(4)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    found = syncmers.fingerprints(rows).withColumn("near", syncmers.likeness("anchors", "next_anchors")).collect()
+    for r in found:
+        assert r.anchors == _anchors(texts[r.row.doc_id])
+        a, b = set(r.anchors), set(_anchors(texts[(r.row.doc_id - 1) % len(texts)]))
+        assert r.near == (len(a & b) / max(len(a), len(b)) if a or b else 1)
+
+
+def test_resampling_weights_and_keys_against_counts(spark):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["a", "bb", "C", "c", "ddd", "é"]) for _ in range(rng.randint(0, 12))) for _ in range(60)] + [None, ""]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    target = rows.filter("doc_id % 4 = 1").select("doc_id")
+    found = {r.row.doc_id: r for r in resampling.resample(rows, target, 9, buckets=50).collect()}
+
+    def buckets(text):
+        h = [int(arrays.word_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())]))[0][0]) for w in (text or "").split()]
+        two = [int(arrays.mix(np.array([(a * int(arrays._BASE) + b) % (1 << 64)], np.uint64))[0]) for a, b in zip(h, h[1:], strict=False)]
+        return [x % 50 for x in h + two]
+
+    raw, wanted = [1.0] * 50, [1.0] * 50
+    for i, text in enumerate(texts):
+        for b in buckets(text):
+            raw[b] += 1
+            wanted[b] += i % 4 == 1
+    weight = {i: sum(math.log(wanted[b] / sum(wanted) / (raw[b] / sum(raw))) for b in buckets(t)) for i, t in enumerate(texts)}
+    keys = {}
+    for i, text in enumerate(texts):
+        assert math.isclose(found[i].log_weight, weight[i], abs_tol=1e-9)
+        keys[i] = found[i].key - found[i].log_weight
+    order = sorted(found, key=lambda i: (-found[i].key, i))
+    assert {i for i in found if found[i].selected} == set(order[:9])
+    assert len(set(keys.values())) == len(texts)
+
+
 # --- conversation repair --------------------------------------------------------------------
 
 GAP = "\x20\t\n\x0b\x0c\r"
