@@ -24,18 +24,30 @@ def language(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """The smallest id of each group of linked documents, and one row for each id; rows without an id stay."""
-    groups = jaccard.near_duplicates(docs)
-    gone = materialise(groups.filter("id <> component_id").select(F.col("id").alias("doc_id")).distinct(), "gone")
-    kept = docs.join(broadcast_if_small(gone), "doc_id", "left_anti")
+    """One document of each group of linked documents, that of the smallest id, and every document that links none.
+
+    Rows that repeat an id are documents of their own here; of wholly equal rows one stays. A row without an id stays.
+    """
     repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     repeated = materialise(repeated, "repeated")
     if repeated.isEmpty():
-        return kept
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars"))
-    several = kept.join(broadcast_if_small(repeated), "doc_id", "left_semi").withColumn("_first", first)
-    single = kept.join(broadcast_if_small(repeated), "doc_id", "left_anti")
-    return single.unionByName(several.filter("_first = 1").drop("_first"))
+        groups = jaccard.near_duplicates(docs)
+        gone = materialise(groups.filter("id <> component_id").select(F.col("id").alias("doc_id")).distinct(), "gone")
+        return docs.join(broadcast_if_small(gone), "doc_id", "left_anti")
+    # such rows are named by their content, below all ids
+    own = F.lit(-(1 << 62)) - F.shiftrightunsigned(F.xxhash64(*docs.columns), 2)
+    known = broadcast_if_small(repeated.withColumn("_again", F.lit(True)))
+    named = docs.join(known, "doc_id", "left").withColumn("_name", F.when(F.col("_again"), own).otherwise(F.col("doc_id"))).drop("_again")
+    groups = materialise(jaccard.near_duplicates(named, "_name").select("id", "component_id").distinct(), "groups")
+    ids = named.select(F.col("_name").alias("id"), "doc_id").distinct()
+    first = ids.join(groups, "id").groupBy("component_id").agg(F.min(F.struct("doc_id", "id")).alias("first"))
+    stay = materialise(first.select(F.col("first.id").alias("_name")), "stay")
+    kept = named.filter("_name is not null").join(broadcast_if_small(stay), "_name", "left_semi")
+    first = F.row_number().over(Window.partitionBy("_name").orderBy("text", "lang", "source", "n_chars"))
+    several = kept.filter(F.col("_name") <= F.lit(-(1 << 62))).withColumn("_first", first).filter("_first = 1").drop("_first")
+    single = kept.filter(F.col("_name") > F.lit(-(1 << 62)))
+    found = single.unionByName(several).unionByName(named.filter("_name is null"))
+    return found.select(docs.columns)
 
 
 def repeats(spark, docs, sf_dir):

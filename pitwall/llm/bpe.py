@@ -1,6 +1,7 @@
 """Byte-level BPE by recursive SQL over token positions, one in-process DuckDB per task.
 
-A task takes the different words of its texts (matches of the pattern). In a recursive query the rows are token
+A task takes the different words of its texts (matches of the pattern); the most frequent words
+of a bounded sample are encoded once and sent to all tasks. In a recursive query the rows are token
 positions; they join the merge table, and each word contracts its pairs of least rank, leftmost first, until none is
 left. Several occurrences of that pair are contracted at once: a merged token takes part only in pairs of higher rank,
 so the result is that of one pair at a time. Texts are their words' ids in order. Decoding joins ids to the vocabulary
@@ -11,8 +12,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import sys
-import types
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,10 @@ QUERY_WORDS = 100_000
 # Bytes from which a word counts as long.
 LONG_WORD = 48
 # Words that a task remembers between its queries; beyond it forgets all and encodes them again.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
+# Bytes of text in which frequent words are looked for, how many of them all tasks get, and the longest of them in
+# bytes. Whether a word is among them changes nothing but the work.
+SAMPLE_BYTES, FREQUENT, FREQUENT_BYTES = 32 << 20, 400_000, 24
 _BATCH_BYTES = 1 << 22
 
 # A row knows the token behind it; one ordered pass per round finds the word's least rank and which pairs are cut. Of
@@ -99,7 +103,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Codec:
     """The vocabulary and merge table of one DuckDB connection."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, frequent: pa.Table | None = None):
         import duckdb
 
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
@@ -117,7 +121,11 @@ class Codec:
             self.db.register("given", table)
             self.db.execute(f"create table {name} as select * from given")
             self.db.unregister("given")
-        self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.frequent: dict[str, tuple[str, int, bytes]] = {}
+        if frequent is not None:
+            columns = (frequent.column(c).to_pylist() for c in ("word", "shown", "n", "raw"))
+            self.frequent = {word: tuple(rest) for word, *rest in zip(*columns, strict=True)}
+        self.known = dict(self.frequent)
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """The ids of each word; many words share a query of bounded size."""
@@ -162,16 +170,18 @@ class Codec:
         """By word: its ids joined by commas, their number, and the bytes that they decode to."""
         here = {w for words in found for w in words}
         new = list(here - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(here)
+        if len(self.known) - len(self.frequent) + len(new) > REMEMBERED:
+            self.known = dict(self.frequent)
+            new = list(here - self.known.keys())
         for start in range(0, len(new), QUERY_WORDS):
             part = new[start : start + QUERY_WORDS]
-            ids = self.encode_words(part)
-            shown = (",".join(map(str, i)) for i in ids)
-            self.known.update(zip(part, zip(shown, map(len, ids), self.decode(ids), strict=True), strict=True))
+            self.known.update(zip(part, self.results(part), strict=True))
         return self.known
 
+    def results(self, words: list[str]) -> Iterator[tuple[str, int, bytes]]:
+        ids = self.encode_words(words)
+        return zip((",".join(map(str, i)) for i in ids), map(len, ids), self.decode(ids), strict=True)
+
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes of each list of ids."""
         sizes = np.array([len(i) for i in ids], np.int64)
@@ -188,17 +198,52 @@ class Codec:
         return out
 
 
-def _codec(ranks, path: str, pattern: str) -> Codec:
-    """The codec of a worker process; another vocabulary takes its place."""
-    kept = sys.modules.setdefault("_bpe_codec", types.ModuleType("_bpe_codec")).__dict__
-    if kept.get("key") != (path, pattern):
-        kept.update(key=(path, pattern), codec=Codec(ranks.value, pattern))
-    return kept["codec"]
+def _codec(sent) -> Codec:
+    """The codec of a worker process, held beside the vocabulary that it was sent: it serves all tasks there."""
+    held = sent.value
+    if "codec" not in held:
+        held["codec"] = Codec(held["ranks"], held["pattern"], held.get("frequent"))
+    return held["codec"]
+
+
+def _counted(pattern: str, schema: pa.Schema):
+    """How often each short word occurs, reduced per task."""
+
+    def run(batches):
+        find, found = regex.compile(pattern).findall, Counter()
+        for batch in batches:
+            for text in batch.column("_text").to_pylist():
+                found.update(find(text))
+        short = [(w, n) for w, n in found.items() if len(w.encode()) <= FREQUENT_BYTES]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in short], pa.string()), pa.array([n for _, n in short], pa.int64())], schema=schema)
+
+    return run
+
+
+def _frequent_words(rows: DataFrame, path: str, pattern: str) -> pa.Table:
+    """A bounded table of frequent words with their ids and bytes, for all tasks."""
+    sent = _vocabulary(rows, path, pattern)
+    size = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    sample = rows.select("_text").sample(fraction=min(1.0, SAMPLE_BYTES / size) if size else 1.0, seed=7)
+    counted = "word string, n long"
+    words = sample.mapInArrow(_counted(pattern, arrow_schema(counted)), counted).groupBy("word").agg(F.sum("n").alias("n"))
+    words = words.filter("n > 1").orderBy(F.desc("n"), "word").limit(FREQUENT).select("word").repartition(16)
+    out = "word string, shown string, n long, raw binary"
+    schema = arrow_schema(out)
+
+    def encoded(batches):
+        codec = _codec(sent)
+        for batch in batches:
+            here = batch.column("word").to_pylist()
+            shown, n, raw = zip(*codec.results(here), strict=True) if here else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((here, shown, n, raw), schema.types, strict=True)], schema=schema)
+
+    return words.mapInArrow(encoded, out).toArrow()
 
 
-def _ranks(docs: DataFrame, path: str):
+def _vocabulary(docs: DataFrame, path: str, pattern: str, **more):
     """The vocabulary file, some megabytes of fixed size, read once by the driver."""
-    return docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    return docs.sparkSession.sparkContext.broadcast({"ranks": read_ranks(path), "pattern": pattern, **more})
 
 
 def _rows(docs: DataFrame, text_column: str) -> DataFrame:
@@ -210,12 +255,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text_column: str = "text")
 
     A null or empty text has no ids. Special tokens' strings are ordinary text. Repeated rows are encoded alike.
     """
-    ranks, rows = _ranks(docs, path), _rows(docs, text_column)
+    sent, rows = _vocabulary(docs, path, pattern), _rows(docs, text_column)
     out = rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType()))
     schema = arrow_schema(out)
 
     def run(batches):
-        codec = _codec(ranks, path, pattern)
+        codec = _codec(sent)
         for batch in slices(batches, "_text", _BATCH_BYTES):
             found = [codec.words.findall(t) for t in batch.column("_text").to_pylist()]
             here = list({w for words in found for w in words})
@@ -228,13 +273,13 @@ def encode(docs: DataFrame, path: str, pattern: str, text_column: str = "text")
 
 def decode(tokens: DataFrame, path: str, pattern: str, ids_column: str = "ids") -> DataFrame:
     """All columns of ``tokens`` in struct ``row``, and ``decoded``, the bytes of its ids; null ids give none."""
-    ranks = _ranks(tokens, path)
+    sent = _vocabulary(tokens, path, pattern)
     rows = tokens.select(F.struct(*tokens.columns).alias("row"), F.coalesce(F.col(ids_column), F.array().cast("array<int>")).alias("_ids"))
     out = rows.select("row").schema.add("decoded", "binary")
     schema = arrow_schema(out)
 
     def run(batches):
-        codec = _codec(ranks, path, pattern)
+        codec = _codec(sent)
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
@@ -250,12 +295,13 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text_column: str = "tex
 
     Each different word's ids are decoded once per task; a text's bytes are its words' bytes in order.
     """
-    ranks, rows = _ranks(docs, path), _rows(docs, text_column)
+    rows = _rows(docs, text_column)
+    sent = _vocabulary(docs, path, pattern, frequent=_frequent_words(rows, path, pattern))
     out = rows.select("row").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     schema = arrow_schema(out)
 
     def run(batches):
-        codec = _codec(ranks, path, pattern)
+        codec = _codec(sent)
         for batch in slices(batches, "_text", _BATCH_BYTES):
             found = [codec.words.findall(t) for t in batch.column("_text").to_pylist()]
             known, columns = codec.learn(found), ([], [], [])

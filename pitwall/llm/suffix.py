@@ -7,8 +7,10 @@ on the input. Only strings that can repeat are ever brought together:
    name equal anchors. The strings that share an anchor form one stretch of text. Hashes of anchors and stretches are
    packed and dealt out by anchor. A stretch that an earlier document holds too is covered as a whole; one that meets
    only other stretches at its anchor has to be looked at; all others are done.
-2. The bytes of the stretches to be looked at are dealt out by anchor and brought into suffix order. In that order
-   the previous and next smaller documents give the longest previous factor; one of ``match`` bytes is a later copy.
+2. The bytes of the stretches to be looked at are dealt out by anchor. A bucket sorts the suffixes at its strings to a
+   depth of ``match`` bytes, takes the common prefixes of neighbours, and finds the previous and next suffix of a
+   smaller document. The longer common prefix with these two is the longest previous factor; one of ``match`` bytes is
+   a later copy.
 3. The spans found are joined to the texts and cut out.
 
 Skew: tasks reduce equal stretches before the shuffle. An anchor with many different surroundings (the ends of a
@@ -33,8 +35,8 @@ GRAM = 16
 # Anchors that a task gathers before it packs them.
 PACK = 1 << 20
 # Bytes of input for each bucket of packed anchors, and of stretches.
-ANCHOR_BUCKET = 64 << 20
-TEXT_BUCKET = 12 << 20
+ANCHOR_BUCKET = 32 << 20
+TEXT_BUCKET = 6 << 20
 # Different stretches of one anchor that a task sends, and that a bucket compares, before they are dealt out finer.
 SPREAD = 64
 HOT = 4096
@@ -102,7 +104,7 @@ def _pack(bucket, done, row, h, g, ids, keys) -> Iterator[dict]:
         docs, counts = np.unique(row[a:b], return_counts=True)
         yield {
             "bucket": int(bucket[a]), "done": done, "h": bytes_of(h[a:b], 5), "g": bytes_of(g[a:b], 6),
-            "ids": ids[docs].tobytes(), "keys": keys[docs].tobytes(), "counts": counts.astype(np.int64).tobytes(),
+            "ids": ids[docs].tobytes(), "keys": keys[docs].tobytes(), "counts": counts.astype(np.int32).tobytes(),
         }
 
 
@@ -153,7 +155,7 @@ def _judge_anchors(buckets: int, hot: int, schema: pa.Schema):
         rows = table.to_pylist()
         h = np.concatenate([values_of(r["h"], 5) for r in rows])
         g = np.concatenate([values_of(r["g"], 6) for r in rows])
-        counts = [np.frombuffer(r["counts"], np.int64) for r in rows]
+        counts = [np.frombuffer(r["counts"], np.int32) for r in rows]
 
         def each(name):
             return np.concatenate([np.repeat(np.frombuffer(r[name], np.int64), c) for r, c in zip(rows, counts, strict=True)])
@@ -254,12 +256,70 @@ def _deal_stretches(buckets: int, match: int, gram: int, schema: pa.Schema):
     return run
 
 
+def _words(data: np.ndarray, start: np.ndarray, depth: int) -> list[np.ndarray]:
+    """The first ``depth`` bytes of each suffix as big-endian numbers; the last one overlaps the one before."""
+    big = np.zeros(len(data), np.uint64)
+    for k in range(8):
+        big[: len(data) - k] |= data[k:].astype(np.uint64) << U64(56 - 8 * k)
+    return [big[start + k] for k in (*range(0, depth - 8, 8), depth - 8)]
+
+
+def suffix_array(words: list[np.ndarray]) -> np.ndarray:
+    """The order of the suffixes by their first bytes; equal ones stay as they are."""
+    return np.lexsort(words[::-1])
+
+
+def common_prefixes(words: list[np.ndarray], order: np.ndarray, depth: int) -> np.ndarray:
+    """How many bytes, up to ``depth``, each suffix in order shares with the one before; 0 for the first."""
+    n = len(order)
+    lcp, same = np.zeros(n, np.int64), np.ones(n, bool)
+    same[:1] = False
+    done = 0
+    for k, word in enumerate(words):
+        skip = done - (depth - 8 if k == len(words) - 1 else 8 * k)  # bytes that the word before has shown
+        ranked = word[order]
+        differ = np.zeros(n, np.uint64)
+        differ[1:] = ranked[1:] ^ ranked[:-1]
+        equal = (differ[:, None] < (U64(1) << np.arange(0, 64, 8, dtype=np.uint64))).sum(axis=1)
+        lcp += np.where(same, equal - skip, 0)
+        same &= differ == 0
+        done += 8 - skip
+    return lcp
+
+
+def nearest_smaller(ids: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place the last one before it with a smaller id (-1: none), and the common prefix of the two.
+
+    All places jump at once: where the place before has no smaller id, that place's own candidate is next, as all
+    between have no smaller id either.
+    """
+    before, shared = np.arange(len(ids)) - 1, lcp.copy()
+    todo = np.flatnonzero(before >= 0)
+    while len(todo):
+        todo = todo[ids[before[todo]] >= ids[todo]]
+        at = before[todo]
+        shared[todo] = np.minimum(shared[todo], shared[at])
+        before[todo] = before[at]
+        todo = todo[before[todo] >= 0]
+    shared[before < 0] = 0
+    return before, shared
+
+
+def longest_previous_factors(ids: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """By place in suffix order: the longest prefix, up to the depth, that also starts in a document with a smaller id."""
+    _, up = nearest_smaller(ids, lcp)
+    # from the other end: the common prefix with the next place is that of the next place with this one
+    turned = np.zeros(len(lcp), np.int64)
+    turned[1:] = lcp[:0:-1]
+    _, down = nearest_smaller(ids[::-1], turned)
+    return np.maximum(up, down[::-1])
+
+
 def later_copies(data: np.ndarray, start: np.ndarray, ids: np.ndarray, match: int) -> np.ndarray:
     """Which of the ``match``-byte strings at ``start`` also begin in a document with a smaller id.
 
-    Strings that repeat in another document are sorted as suffixes, cut at ``match`` bytes, with equal ones by id. In
-    this order the previous smaller id, if its common prefix has ``match`` bytes, is the longest previous factor; the
-    next smaller one cannot be longer, because equal strings rise by id.
+    Strings whose hash occurs in one document only cannot. The others' suffixes are sorted to a depth of ``match``
+    bytes, and those whose longest previous factor has that length are later copies.
     """
     hashes = Sums(byte_values(lower=False)[data]).hashes(start, start + match)
     order = np.argsort(hashes)
@@ -270,14 +330,10 @@ def later_copies(data: np.ndarray, start: np.ndarray, ids: np.ndarray, match: in
     some = order[(low != high)[np.cumsum(new) - 1]]
     if not len(some):
         return found
-    big = np.zeros(len(data), np.uint64)
-    for k in range(8):
-        big[: len(data) - k] |= data[k:].astype(np.uint64) << U64(56 - 8 * k)
-    parts = [big[start[some] + k] for k in (*range(0, match - 8, 8), match - 8)]
-    rank = np.lexsort((ids[some], *reversed(parts)))
-    same = ~runs(*(p[rank] for p in parts))  # common prefix with the suffix before: whole
-    ranked = ids[some][rank]
-    found[some[rank]] = same & (ranked > least(ranked, ~same))
+    words = _words(data, start[some], match)
+    ranked = suffix_array(words)
+    factors = longest_previous_factors(ids[some][ranked], common_prefixes(words, ranked, match))
+    found[some[ranked]] = factors >= match
     return found
 
 
