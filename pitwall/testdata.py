@@ -137,7 +137,7 @@ def lake_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamped = timed_events(spark, sf_dir).selectExpr(
         "*", """date_format(ts, "yyyyMMdd'T'HHmmss'Z'") as stamp""", "date_format(ts, 'yyyy-MM-dd') as day"
     )
-    paged = stamped.selectExpr("*", "'season=2024-page' || event_id % 5 * 100 || '-' || stamp || '.ndjson' as page_file")
+    paged = stamped.selectExpr("*", "'season=' || (2023 + event_id % 3) || '-page' || event_id % 5 * 100 || '-' || stamp || '.ndjson' as page_file")
     return paged.selectExpr(
         "event_id",
         """case event_id % 6

@@ -195,7 +195,7 @@ def run_alerts(spark, path, out, checkpoint, **options):
 END = 40 * 86_400
 
 
-@pytest.mark.parametrize("parts", [1, 4, 9])
+@pytest.mark.parametrize("parts", [1, 6])
 def test_alert_stream_equals_batch_for_any_split(spark, tmp_path, rows, parts):
     """Rows come late by up to the watermark; the last row moves the watermark over all others."""
     rng = random.Random(parts)
@@ -215,7 +215,7 @@ def test_alert_stream_equals_batch_for_any_split(spark, tmp_path, rows, parts):
 
 def test_alert_stream_keeps_its_state_between_runs(spark, tmp_path):
     path = str(tmp_path / "audit")
-    for seconds in ([0, 100, 200], [250, 300, 400], [599], [600, 900], [END], [END]):
+    for seconds in ([0, 100, 200, 250, 300, 400], [599, 600, 900], [END], [END]):
         spark.createDataFrame(audit_rows(seconds), AUDIT).coalesce(1).write.mode("append").parquet(path)
         run_alerts(spark, path, str(tmp_path / "fired"), str(tmp_path / "c"))
     fired = spark.read.parquet(str(tmp_path / "fired"))
@@ -267,17 +267,17 @@ def test_newest_copies_keep_one_row_per_key(spark, warehouse, tmp_path):
 
 
 def test_loads_of_a_stream_stay_bounded(spark, lake_root, warehouse, tmp_path):
-    for n in range(12):
+    for n in range(7):
         put_laps(lake_root, f"20260308T04{n:02d}00Z", [(44, n, 90.0)])
     archive = tmp_path / "archive"
-    run_stream(spark, lake_root, warehouse, tmp_path, max_files=1, fold_every=4, archive=str(archive))
-    assert warehouse.source("openf1", "laps").count() == 12
+    run_stream(spark, lake_root, warehouse, tmp_path, max_files=1, fold_every=3, archive=str(archive))
+    assert warehouse.source("openf1", "laps").count() == 7
     for name in ("openf1_laps", "load_audit"):
         warehouse.fold("raw", name, least=2)
         assert len(warehouse.loads("raw", name)) == 1
     assert len(list(warehouse_files(warehouse, "openf1_laps"))) == 1
     # finished files have left the lake, the last batch is still there
-    assert len(list(archive.rglob("*.ndjson"))) >= 10
+    assert len(list(archive.rglob("*.ndjson"))) >= 5
 
 
 def warehouse_files(warehouse, name):
