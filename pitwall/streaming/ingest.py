@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from pitwall.operators.latest import latest_by
@@ -108,18 +109,25 @@ def newest_copies(stream: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     The order is that of latest_by, so a later write of an older copy changes
     nothing and ties end the same way in any order of arrival. The state is one
-    row per key, for ``ttl_ms`` after its last change if that is given.
+    row per key, for ``ttl_ms`` after its last change if that is given; Spark looks after such state all the time, so a
+    query with it does not end by itself.
     """
-    from pyspark.sql import functions as F
-
-    # the state holds whole numbers and texts alone: times as microseconds
+    # the state holds whole numbers and texts alone: times as microseconds. Copies of a key collapse before the shuffle
     rest = [c for c in stream.columns if c not in keys and c not in order]
     types = {f.name: f.dataType.simpleString() for f in stream.schema}
     times = [c for c, t in types.items() if t == "timestamp"]
     plain = stream.withColumns({c: F.unix_micros(c) for c in times})
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
+    by, keyed = [*order, *rest], list(keys)
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            rows = rows.sort_values(by, ascending=False, na_position="last", kind="stable")
+            yield rows.drop_duplicates(keyed)
+
+    plain = plain.mapInPandas(first, plain.schema)
     found = plain.groupBy(*keys).transformWithStateInPandas(
-        _newest([*order, *rest], schema, ttl_ms),
+        _newest(by, schema, ttl_ms),
         outputStructType=plain.schema,
         outputMode="Update",
         timeMode="ProcessingTime" if ttl_ms else "None",

@@ -230,10 +230,21 @@ def run_newest(spark, stream, tmp_path, warehouse, keys, order, **options):
         upsert_latest(df, batch_id, warehouse, "laps", keys, order)
 
     query = newest_copies(stream, keys, order, **options).writeStream.foreachBatch(sink).outputMode("update")
-    query = query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-    query.awaitTermination(400)
-    assert query.exception() is None
-    return query
+    query = query.option("checkpointLocation", str(tmp_path / "c"))
+    if "ttl_ms" not in options:
+        query = query.trigger(availableNow=True).start()
+        query.awaitTermination(120)
+        assert query.exception() is None
+        return query.recentProgress
+    # state with a time to live is looked after all the time, so such a query never comes to an end
+    query, seen = query.start(), {}
+    for _ in range(240):
+        seen.update({p["batchId"]: p for p in query.recentProgress})
+        if sum(p["numInputRows"] for p in seen.values()) >= 3 * 333_334 and max(seen) >= 3:
+            break
+        time.sleep(0.5)
+    query.stop()
+    return list(seen.values())
 
 
 def test_newest_copies_equal_the_batch(spark, sf, warehouse, tmp_path, rows):
@@ -254,8 +265,8 @@ def test_newest_copies_keep_one_row_per_key(spark, warehouse, tmp_path):
         frame = spark.range(333_334).selectExpr("id % 50 as k", f"timestamp_seconds((id * 7919 + {part}) % 100003) as ts", "id % 11 as v")
         frame.coalesce(1).write.mode("append").parquet(path)
     stream = spark.readStream.schema("k long, ts timestamp, v long").option("maxFilesPerTrigger", 1).parquet(path)
-    query = run_newest(spark, stream, tmp_path, warehouse, ["k"], ["ts"], ttl_ms=3_600_000)
-    kept = [o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]]
+    progress = run_newest(spark, stream, tmp_path, warehouse, ["k"], ["ts"], ttl_ms=3_600_000)
+    kept = [o["numRowsTotal"] for p in progress for o in p["stateOperators"]]
     assert max(kept) == 50
     from pitwall.operators.latest import latest_by
 
