@@ -21,12 +21,14 @@ Equal shingles are equal 64-bit hashes.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.llm.arrays import U64, flat, mix, shingle_sets, slices
@@ -44,6 +46,8 @@ LIGHT_MOST = 24
 COMPARE_COST = 50
 # Members of a list that are compared in pairs without another star.
 PAIRS_MOST = 256
+# Rows, each with up to two texts, that a task's Python gets at once.
+BATCH_ROWS = 500
 # Shingles of so many sets or more are ordered by their number of sets; the table of them has a bounded size.
 OFTEN, OFTEN_ROWS = 16, 500_000
 
@@ -316,6 +320,18 @@ def light_boundary(sizes: dict[int, int], list_length: float) -> int:
     return min(costs, key=costs.get)
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Send tasks' Python few rows at a time: a row may hold two long texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = SHINGLE) -> DataFrame:
     """(id, n_shingles, component_id) of every row of ``docs``; the component is the smallest id that links reach.
 
@@ -324,6 +340,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     are one document with several texts, which links whatever any of them links; its rows without words show the id. A
     row without an id has no component and links nothing. Empty tables give no rows.
     """
+    # all work in Python is done when this returns
+    with _small_batches(docs.sparkSession):
+        return _near_duplicates(docs, id_column, text_column, size)
+
+
+def _near_duplicates(docs: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
     text = F.coalesce(F.col(text_column).cast("binary"), F.lit("").cast("binary")).alias("_text")
     rows = docs.select(F.col(id_column).cast("long").alias("_id"), text)
     buckets = (docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0) // BUCKET + 4
