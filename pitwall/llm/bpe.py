@@ -14,6 +14,7 @@ import base64
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +28,16 @@ from pitwall.llm.packs import arrow_schema
 
 # Bytes of words in one query, and rounds of one query; longer chains of merges go on in another.
 QUERY_BYTES, ROUNDS = 1 << 21, 24
-QUERY_WORDS = 100_000
+QUERY_WORDS = 30_000
 # Bytes from which a word counts as long.
 LONG_WORD = 48
+# Bytes of texts whose words wait for one query.
+HELD_BYTES = 16 << 20
 # Words that a task remembers between its queries; beyond it forgets all and encodes them again.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 # Bytes of text in which frequent words are looked for, how many of them all tasks get, and the longest of them in
 # bytes. Whether a word is among them changes nothing but the work.
-SAMPLE_BYTES, FREQUENT, FREQUENT_BYTES = 32 << 20, 400_000, 24
+SAMPLE_BYTES, FREQUENT, FREQUENT_BYTES = 32 << 20, 250_000, 24
 _BATCH_BYTES = 1 << 22
 
 # A row knows the token behind it; one ordered pass per round finds the word's least rank and which pairs are cut. Of
@@ -121,11 +124,13 @@ class Codec:
             self.db.register("given", table)
             self.db.execute(f"create table {name} as select * from given")
             self.db.unregister("given")
-        self.frequent: dict[str, tuple[str, int, bytes]] = {}
+        # by number of a word: its ids joined by commas, how many, and the bytes that they decode to
+        self.number: dict[str, int] = {}
+        self.shown, self.size, self.raw = [], [], []
         if frequent is not None:
-            columns = (frequent.column(c).to_pylist() for c in ("word", "shown", "n", "raw"))
-            self.frequent = {word: tuple(rest) for word, *rest in zip(*columns, strict=True)}
-        self.known = dict(self.frequent)
+            words, self.shown, self.size, self.raw = (frequent.column(c).to_pylist() for c in ("word", "shown", "n", "raw"))
+            self.number = dict(zip(words, range(len(words)), strict=True))
+        self.kept = len(self.shown)
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """The ids of each word; many words share a query of bounded size."""
@@ -166,17 +171,28 @@ class Codec:
         order = np.argsort(word, kind="stable")
         return [part.tolist() for part in np.split(tok[order], np.cumsum(np.bincount(word, minlength=len(raw)))[:-1])]
 
-    def learn(self, found: list[list[str]]) -> dict[str, tuple[str, int, bytes]]:
-        """By word: its ids joined by commas, their number, and the bytes that they decode to."""
-        here = {w for words in found for w in words}
-        new = list(here - self.known.keys())
-        if len(self.known) - len(self.frequent) + len(new) > REMEMBERED:
-            self.known = dict(self.frequent)
-            new = list(here - self.known.keys())
+    def numbers(self, text: str) -> np.ndarray:
+        """The numbers of a text's words; new words get the next ones."""
+        number = self.number
+        return np.array([number.setdefault(w, len(number)) for w in self.words.findall(text)], np.int32)
+
+    def pending(self) -> int:
+        return len(self.number) - len(self.shown)
+
+    def learn(self) -> None:
+        """Encode and decode all words that are only numbered yet; many share a query, as each has a fixed cost."""
+        new = list(islice(self.number, len(self.shown), None))
         for start in range(0, len(new), QUERY_WORDS):
-            part = new[start : start + QUERY_WORDS]
-            self.known.update(zip(part, self.results(part), strict=True))
-        return self.known
+            for shown, size, raw in self.results(new[start : start + QUERY_WORDS]):
+                self.shown.append(shown)
+                self.size.append(size)
+                self.raw.append(raw)
+
+    def forget(self) -> None:
+        """Beyond a bound keep the frequent words only."""
+        if len(self.shown) - self.kept > REMEMBERED:
+            del self.shown[self.kept :], self.size[self.kept :], self.raw[self.kept :]
+            self.number = dict(islice(self.number.items(), self.kept))
 
     def results(self, words: list[str]) -> Iterator[tuple[str, int, bytes]]:
         ids = self.encode_words(words)
@@ -300,16 +316,28 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text_column: str = "tex
     out = rows.select("row").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     schema = arrow_schema(out)
 
+    def finish(codec, batch, held):
+        columns = ([], [], [])
+        for numbers in held:
+            columns[0].append(sum(map(codec.size.__getitem__, numbers.tolist())))
+            shown, raw = (map(part.__getitem__, numbers.tolist()) for part in (codec.shown, codec.raw))
+            columns[1].append(hashlib.sha256(",".join(shown).encode()).hexdigest())
+            columns[2].append(hashlib.sha256(b"".join(raw)).hexdigest())
+        return pa.RecordBatch.from_arrays([batch.column("row"), *map(pa.array, columns)], schema=schema)
+
     def run(batches):
-        codec = _codec(sent)
+        codec, held, size = _codec(sent), [], 0
         for batch in slices(batches, "_text", _BATCH_BYTES):
-            found = [codec.words.findall(t) for t in batch.column("_text").to_pylist()]
-            known, columns = codec.learn(found), ([], [], [])
-            for words in found:
-                shown, sizes, raw = zip(*map(known.__getitem__, words), strict=True) if words else ((), (), ())
-                columns[0].append(sum(sizes))
-                columns[1].append(hashlib.sha256(",".join(shown).encode()).hexdigest())
-                columns[2].append(hashlib.sha256(b"".join(raw)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("row"), *map(pa.array, columns)], schema=schema)
+            texts = batch.column("_text")
+            held.append((batch, [codec.numbers(t) for t in texts.to_pylist()]))
+            size += texts.nbytes
+            if size >= HELD_BYTES or codec.pending() >= QUERY_WORDS:
+                codec.learn()
+                yield from (finish(codec, *one) for one in held)
+                held, size = [], 0
+                codec.forget()
+        codec.learn()
+        yield from (finish(codec, *one) for one in held)
+        codec.forget()
 
     return rows.mapInArrow(run, out)
