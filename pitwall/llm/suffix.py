@@ -33,7 +33,7 @@ from pitwall.session import materialise
 MATCH = 50
 GRAM = 16
 # Anchors that a task gathers before it packs them.
-PACK = 1 << 20
+PACK = 1 << 19
 # Bytes of input for each bucket of packed anchors, and of stretches.
 ANCHOR_BUCKET = 32 << 20
 TEXT_BUCKET = 6 << 20
