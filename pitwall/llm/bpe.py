@@ -1,9 +1,10 @@
 """Byte-level BPE by recursive SQL over token positions, one in-process DuckDB per task.
 
 A task takes the different words of its texts (matches of the pattern); the most frequent words
-of a bounded sample are encoded once and sent to all tasks. In a recursive query the rows are token
-positions; they join the merge table, and each word contracts its pairs of least rank, leftmost first, until none is
-left. Several occurrences of that pair are contracted at once: a merged token takes part only in pairs of higher rank,
+of a bounded sample are encoded once and sent to all tasks. In a recursive query the token positions of each word join
+the merge table, and each word contracts its pairs of least rank, leftmost first, until none is left. Between rounds
+a word is one row with the text of its tokens; a long word is a row per token, as its text would be rewritten too often.
+Several occurrences of a pair are contracted at once: a merged token takes part only in pairs of higher rank,
 so the result is that of one pair at a time. Texts are their words' ids in order. Decoding joins ids to the vocabulary
 and concatenates by position.
 """
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import islice
 
@@ -34,38 +35,32 @@ LONG_WORD = 48
 # Bytes of texts whose words wait for one query.
 HELD_BYTES = 16 << 20
 # Words that a task remembers between its queries; beyond it forgets all and encodes them again.
-REMEMBERED = 250_000
+REMEMBERED = 60_000
 # Bytes of text in which frequent words are looked for, how many of them all tasks get, and the longest of them in
 # bytes. Whether a word is among them changes nothing but the work.
-SAMPLE_BYTES, FREQUENT, FREQUENT_BYTES = 32 << 20, 250_000, 24
+SAMPLE_BYTES, FREQUENT, FREQUENT_BYTES = 32 << 20, 100_000, 24
 _BATCH_BYTES = 1 << 22
 
-# A row knows the token behind it; one ordered pass per round finds the word's least rank and which pairs are cut. Of
-# neighbouring pairs of that rank, which overlap, the leftmost is cut.
+# Tokens are written as characters from this one on, so that a word's tokens are a text and a pair is two characters.
+FIRST_CHAR = 1 << 16
+# A row is a word. Each round finds the least key of its pairs, which tells rank and place, and replaces that pair
+# wherever it stands, from the left. Where different pairs that merge to the same token may overlap, the key is without
+# the bit 2 ** 15 and the first of them alone is contracted.
 _MERGE = f"""
-with recursive step(round, word, pos, tok, next) as (
-    select 0, word, pos, tok, next from start_tokens
+with recursive step(round, word, tokens) as (
+    select 0, word, tokens from start_words
     union all
-    select round + 1, word, pos, if(cut, merged, tok),
-           if(cut, if(after2 = least and after1 is distinct from least, after2, tok2),
-                   if(after1 = least and merged is distinct from least, after1, tok1))
+    select round + 1, word, if(least & 32768 > 0, replace(tokens, substr(tokens, place, 2), merged),
+                               substr(tokens, 1, place - 1) || merged || substr(tokens, place + 2))
     from (
-        select *, coalesce(merged = least and before1 is distinct from least, false) as cut
-        from (
-            select s.*, m.merged, min(m.merged) over (partition by word) as least,
-                   lag(m.merged) over w as before1, lag(m.merged, 2) over w as before2,
-                   lead(m.merged) over w as after1, lead(m.merged, 2) over w as after2,
-                   lead(tok) over w as tok1, lead(tok, 2) over w as tok2
-            from step s left join merges m on m.a = s.tok and m.b = s.next
-            where s.round < {ROUNDS}
-            window w as (partition by word order by pos)
-        )
-        where least is not null and not coalesce(before1 = least and before2 is distinct from least, false)
+        select round, word, any_value(tokens) as tokens, min(key + place) as least,
+               min(key + place) & 32767 as place, chr(({FIRST_CHAR} + (min(key + place) >> 16))::int) as merged
+        from (select *, unnest(range(1, length(tokens))) as place from step where round < {ROUNDS})
+        join pairs on pair = substr(tokens, place, 2)
+        group by round, word
     )
 )
-select word, pos, tok, next, round from step
-qualify round = max(round) over (partition by word)
-order by word, pos
+select word, arg_max(tokens, round) as tokens, max(round) as round from step group by word order by word
 """
 # For long words: of each run of overlapping pairs every second one is cut, so that a run of n halves per round.
 _MERGE_RUNS = f"""
@@ -91,7 +86,7 @@ with recursive step(round, word, pos, tok) as (
     )
     where not eaten
 )
-select word, pos, tok, null as next, round from step
+select word, pos, tok, round from step
 qualify round = max(round) over (partition by word)
 order by word, pos
 """
@@ -103,6 +98,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def _overlapping(pairs: list[tuple[int, int, int]]) -> set[int]:
+    """Tokens that two different pairs make of which the second begins with the end of the first."""
+    starts, ends = defaultdict(dict), defaultdict(dict)
+    for a, b, merged in pairs:
+        starts[merged][a], ends[merged][b] = b, a
+    return {merged for merged, end in ends.items() for b, a in end.items() if b in starts[merged] and b != a}
+
+
 class Codec:
     """The vocabulary and merge table of one DuckDB connection."""
 
@@ -119,8 +122,12 @@ class Codec:
             if token[:k] in ranks and token[k:] in ranks
         ]
         merges = pa.table(dict(zip(("a", "b", "merged"), (pa.array(c, pa.int32()) for c in zip(*pairs, strict=True)), strict=True)))
+        self.chars = [chr(FIRST_CHAR + rank) for rank in self.byte.tolist()]
+        one_by_one = _overlapping(pairs)
+        keys = [(merged << 16) + (0 if merged in one_by_one else 32768) for _, _, merged in pairs]
+        texts = pa.table({"pair": [chr(FIRST_CHAR + a) + chr(FIRST_CHAR + b) for a, b, _ in pairs], "key": pa.array(keys, pa.int64())})
         vocabulary = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "token": pa.array([t.hex() for t in ranks])})
-        for name, table in (("merges", merges), ("vocabulary", vocabulary)):
+        for name, table in (("merges", merges), ("pairs", texts), ("vocabulary", vocabulary)):
             self.db.register("given", table)
             self.db.execute(f"create table {name} as select * from given")
             self.db.unregister("given")
@@ -136,14 +143,14 @@ class Codec:
         """The ids of each word; many words share a query of bounded size."""
         raw = [word.encode() for word in words]
         out: list[list[int]] = [[]] * len(raw)
-        for query, chosen in (
-            (_MERGE, [i for i, r in enumerate(raw) if len(r) <= LONG_WORD]),
-            (_MERGE_RUNS, [i for i, r in enumerate(raw) if len(r) > LONG_WORD]),
+        for merge, chosen in (
+            (self._merge, [i for i, r in enumerate(raw) if len(r) <= LONG_WORD]),
+            (self._merge_long, [i for i, r in enumerate(raw) if len(r) > LONG_WORD]),
         ):
             part, size = [], 0
             for i in [*chosen, None]:
                 if part and (i is None or size + len(raw[i]) > QUERY_BYTES):
-                    for k, ids in zip(part, self._merge(query, [raw[k] for k in part]), strict=True):
+                    for k, ids in zip(part, merge([raw[k] for k in part]), strict=True):
                         out[k] = ids
                     part, size = [], 0
                 if i is not None:
@@ -151,16 +158,28 @@ class Codec:
                     size += len(raw[i])
         return out
 
-    def _merge(self, query: str, raw: list[bytes]) -> list[list[int]]:
+    def _merge(self, raw: list[bytes]) -> list[list[int]]:
+        tokens, word = ["".join(map(self.chars.__getitem__, r)) for r in raw], list(range(len(raw)))
+        given = tokens
+        while word:
+            self.db.register("start_words", pa.table({"word": pa.array(word, pa.int32()), "tokens": given}))
+            rows = self.db.execute(_MERGE).fetchall()
+            self.db.unregister("start_words")
+            for k, text, _ in rows:
+                tokens[k] = text
+            word, given = [k for k, _, n in rows if n == ROUNDS], [text for _, text, n in rows if n == ROUNDS]
+        ids = (np.frombuffer("".join(tokens).encode("utf-32-le"), np.uint32).astype(np.int32) - FIRST_CHAR).tolist()
+        ends = np.cumsum([len(text) for text in tokens]).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def _merge_long(self, raw: list[bytes]) -> list[list[int]]:
         sizes = np.array([len(r) for r in raw])
         word = np.repeat(np.arange(len(raw)), sizes)
         tok = self.byte[np.frombuffer(b"".join(raw), np.uint8)]
         done_word, done_tok = [], []
         while len(word):
-            ends = np.append(word[1:] != word[:-1], True)
-            following = pa.array(np.append(tok[1:], 0), pa.int32(), mask=ends)
-            self.db.register("start_tokens", pa.table({"word": word, "pos": np.arange(len(word)), "tok": tok, "next": following}))
-            found = self.db.execute(query).fetchnumpy()
+            self.db.register("start_tokens", pa.table({"word": word, "pos": np.arange(len(word)), "tok": tok}))
+            found = self.db.execute(_MERGE_RUNS).fetchnumpy()
             self.db.unregister("start_tokens")
             word, tok = np.asarray(found["word"]), np.asarray(found["tok"])
             more = np.asarray(found["round"]) == ROUNDS

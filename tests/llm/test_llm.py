@@ -135,6 +135,20 @@ def test_bpe_against_the_library(docs, none):
     assert bpe.round_trip(none, PATH, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_of_overlapping_pairs_and_rows_of_its_query():
+    ranks = bpe.read_ranks(PATH)
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codec, rng = bpe.Codec(ranks, public_tokenizers.PATTERN), random.Random(8)
+    texts = [c * n for c in "a-=_ *0é日" for n in (1, 2, 3, 5, 8, 13, 24, 47, 48, 49, 60)]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 50))) for letters in ("ab", "-=", "ha", "naéè", "*") for _ in range(40)]
+    words = list(dict.fromkeys(w for text in texts for w in codec.words.findall(text)))
+    assert codec.encode_words(words) == [own.encode_ordinary(w) for w in words]
+    # between two rounds a short word is one row
+    steps = bpe._MERGE.rsplit("\nselect", 1)[0] + "\nselect max(n) from (select count(*) as n from step group by round, word)"
+    codec.db.execute("create table start_words as select 0::int as word, ? as tokens", ["".join(map(codec.chars.__getitem__, b"tokenization"))])
+    assert codec.db.execute(steps).fetchall() == [(1,)]
+
+
 def test_language(spark, docs, none):
     rng = random.Random(1)
     say = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(20))
