@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pitwall import testdata as td
 from pitwall.operators.medians import group_medians
 from pitwall.plans import dashboards, marts, staging
 
@@ -233,3 +234,12 @@ def test_field_medians_are_not_shared(spark):
     stints = staging.stints(spark.createDataFrame([(1, 7, 4, 1, 1, 4, "SOFT", 0)], STINTS))
     # driver 4 alone on a known stint: its own median, so no outliers and ratio 1
     assert [r.pace_ratio for r in marts.clean_air_pace(laps, stints).collect()] == [1.0]
+
+
+def test_tasks_of_entries_follow_the_number_of_orders(spark, tmp_path, monkeypatch, rows):
+    orders = "id as o_orderkey, id % 97 as o_custkey, 'O' as o_orderstatus, double(id % 13) as o_totalprice"
+    spark.range(3000).selectExpr(*orders.split(", ")).write.parquet(str(tmp_path / "orders.parquet"))
+    whole = rows(td.raw_results(spark, str(tmp_path)).selectExpr("total", "offset", "to_json(sort_array(RaceTable.Races.round))"))
+    monkeypatch.setattr(td, "ORDERS_PER_TASK", 100)
+    assert ", 31), REPARTITION_BY_NUM" in td.entries(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert rows(td.raw_results(spark, str(tmp_path)).selectExpr("total", "offset", "to_json(sort_array(RaceTable.Races.round))")) == whole
