@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.operators.joins import keep_latest_session, latest_session
+from pitwall.operators.joins import latest_session
 from pitwall.plans import dashboards, marts, staging
 from pitwall.session import materialise, scratch_scope
 from pitwall.sources.warehouse import BATCH, Warehouse
@@ -46,12 +46,14 @@ def live_from_raw(
 
     All its inputs are per session, so the other sessions need no work. With
     ``starts`` the session is found there, and both raw tables are read in that
-    session's partitions alone.
+    session's partitions alone. The session is found first: a key that is known
+    when a read is planned spares the listing of all other partitions.
     """
     starts = session_starts(raw_laps) if starts is None else starts
-    newest = latest_session(starts)
-    laps = materialise(staging.laps(keep_latest_session(raw_laps, newest)), "live_laps")
-    stints = staging.stints(keep_latest_session(raw_stints, newest))
+    newest = latest_session(starts).first()
+    this_session = F.col("session_key") == F.lit(newest and newest[0])
+    laps = materialise(staging.laps(raw_laps.filter(this_session)), "live_laps")
+    stints = staging.stints(raw_stints.filter(this_session))
     return dashboards.live_state(laps, stints, marts.driver_pace(laps), as_of)
 
 

@@ -317,3 +317,24 @@ def test_live_reads_one_session(spark, sf, warehouse, rows):
         plan = keep_latest_session(table, latest_session(starts))._jdf.queryExecution().executedPlan().toString()
         scan = next(line for line in plan.splitlines() if "FileScan" in line and "date_start" in line or "FileScan" in line and "lap_end" in line)
         assert "session_key" in scan.split("PartitionFilters: [")[1].split("]")[0] and "ubquery" in scan.split("PartitionFilters: [")[1]
+
+
+def test_a_refresh_lists_the_files_of_one_session(spark, warehouse, monkeypatch):
+    from pitwall.streaming import live as module
+
+    lap = "session_key, session_key as meeting_key, 44L as driver_number, 1L as lap_number, 90.0D as lap_duration, false as is_pit_out_lap"
+    more = ", ".join(f"1.0D as {c}" for c in ("duration_sector_1", "duration_sector_2", "duration_sector_3"))
+    more += ", " + ", ".join(f"1L as {c}" for c in ("i1_speed", "i2_speed", "st_speed"))
+    laps = spark.range(5).selectExpr("id as session_key").selectExpr(*f"{lap}, {more}".split(", "), "timestamp_seconds(session_key) as date_start")
+    stint = "session_key, session_key as meeting_key, 44L as driver_number, 1L as stint_number, 1L as lap_start, 9L as lap_end"
+    stints = spark.range(5).selectExpr("id as session_key").selectExpr(*stint.split(", "), "'SOFT' as compound", "0L as tyre_age_at_start")
+    warehouse.append("raw", "openf1_laps", laps, "b", ("session_key",))
+    warehouse.append("raw", "openf1_stints", stints, "b", ("session_key",))
+    read, real = [], module.materialise
+    monkeypatch.setattr(module, "materialise", lambda df, name: read.extend(df.inputFiles()) or real(df, name))
+    raw_laps, raw_stints = (warehouse.source("openf1", name) for name in ("laps", "stints"))
+    found = live_from_raw(raw_laps, raw_stints, F.lit("1970-01-01").cast("timestamp"), module.session_starts(raw_laps))
+    assert [(r.session_key, r.compound) for r in found.collect()] == [(4, "SOFT")]
+    assert read and all("session_key=4/" in path for path in read)
+    none = live_from_raw(raw_laps, raw_stints, F.lit("1970-01-01").cast("timestamp"), module.session_starts(raw_laps.limit(0)))
+    assert none.collect() == []
