@@ -74,16 +74,20 @@ def land_pages(
 
 
 def landed_pages(spark: SparkSession, root: str, source: str) -> DataFrame:
-    """What page_audit needs to know of the landed pages of a source: their walk, total and offset."""
+    """What page_audit needs to know of the landed pages of a source: their walk, total and offset.
+
+    A table, as an audit reads them several times and each page is a file.
+    """
     lines = route(read_lines(spark, f"{root}/raw/source={source}", root))
     part = lambda name: F.nullif(F.regexp_extract("object_key", f"/{name}=([^/]+)/", 1), F.lit(""))
-    return lines.select(
+    pages = lines.select(
         "source",
         "endpoint",
         part("season").try_cast("bigint").alias("season"),
         F.try_variant_get(F.try_parse_json("value"), "$.total", "string").alias("total"),
         part("page").try_cast("bigint").alias("offset"),
     )
+    return materialise(pages, "landed_pages")
 
 
 def land_rows(

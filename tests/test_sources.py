@@ -413,3 +413,12 @@ def test_loads_read_the_audit_of_their_days_only(spark, warehouse):
     lake.write_events(warehouse, "loader", [{"event": "loaded", "severity": "INFO", "object_key": laps_key("a")}])
     text = lake.finished_files(warehouse, ["20260308"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(key_day" in text or "PartitionFilters: [(key_day" in text or "key_day" in text.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_an_audit_reads_the_landed_pages_once(spark, lake_root, rows):
+    fetched = F.lit("2026-03-08 06:00:00").cast("timestamp")
+    pages = spark.createDataFrame([("250", 0), ("250", 200)], "total string, offset long")
+    lake.land_pages(pages, str(lake_root), "ergast", "results", fetched, season=2026)
+    audit = selection.page_audit(lake.landed_pages(spark, str(lake_root), "ergast"))
+    assert "text" not in audit._jdf.queryExecution().executedPlan().toString()
+    assert rows(audit, "season", "expected", "landed", "missing", "first_missing_offset") == [(2026, 3, 2, 1, 100)]
