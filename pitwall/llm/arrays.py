@@ -6,19 +6,52 @@ table of random byte values, finished by a mixing step, so they depend on the by
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
+# Bytes of a group after which free memory is given back.
+LARGE_GROUP = 1 << 20
 # Text bytes that are handled at once; a longer text is handled alone.
 SLICE_BYTES = 1 << 16
 _BASE = U64(0x9E3779B97F4A7C15)
 _INVERSE = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+def give_back() -> None:
+    """Return this process's free memory to the system: Spark keeps the process, and what it holds, for later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(run: Callable) -> Callable:
+    """``run`` over the batches of a task, then give_back."""
+
+    def whole(batches):
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
+def giving_back_group(run: Callable) -> Callable:
+    """``run`` for one group, then give_back if the group is large."""
+
+    def whole(table: pa.Table) -> pa.Table:
+        found = run(table)
+        if table.nbytes >= LARGE_GROUP:
+            give_back()
+        return found
+
+    return whole
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     h = h ^ (h >> U64(33))

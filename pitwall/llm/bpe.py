@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitwall.llm.arrays import slices
+from pitwall.llm.arrays import giving_back, slices
 from pitwall.llm.packs import arrow_schema
 
 # Bytes of words in one query, and rounds of one query; longer chains of merges go on in another.
@@ -261,7 +261,7 @@ def _frequent_words(rows: DataFrame, path: str, pattern: str) -> pa.Table:
     size = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     sample = rows.select("_text").sample(fraction=min(1.0, SAMPLE_BYTES / size) if size else 1.0, seed=7)
     counted = "word string, n long"
-    words = sample.mapInArrow(_counted(pattern, arrow_schema(counted)), counted).groupBy("word").agg(F.sum("n").alias("n"))
+    words = sample.mapInArrow(giving_back(_counted(pattern, arrow_schema(counted))), counted).groupBy("word").agg(F.sum("n").alias("n"))
     words = words.filter("n > 1").orderBy(F.desc("n"), "word").limit(FREQUENT).select("word").repartition(16)
     out = "word string, shown string, n long, raw binary"
     schema = arrow_schema(out)
@@ -273,7 +273,7 @@ def _frequent_words(rows: DataFrame, path: str, pattern: str) -> pa.Table:
             shown, n, raw = zip(*codec.results(here), strict=True) if here else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((here, shown, n, raw), schema.types, strict=True)], schema=schema)
 
-    return words.mapInArrow(encoded, out).toArrow()
+    return words.mapInArrow(giving_back(encoded), out).toArrow()
 
 
 def _vocabulary(docs: DataFrame, path: str, pattern: str, **more):
@@ -303,7 +303,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_column: str = "text")
             ids = [[i for w in words for i in known[w]] for words in found]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(ids, schema.field("ids").type)], schema=schema)
 
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(giving_back(run), out)
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, ids_column: str = "ids") -> DataFrame:
@@ -321,7 +321,7 @@ def decode(tokens: DataFrame, path: str, pattern: str, ids_column: str = "ids")
                 ids = [np.asarray(x) for x in part.column("_ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(codec.decode(ids), pa.binary())], schema=schema)
 
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(giving_back(run), out)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, text_column: str = "text") -> DataFrame:
@@ -359,4 +359,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text_column: str = "tex
         yield from (finish(codec, *one) for one in held)
         codec.forget()
 
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(giving_back(run), out)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm.arrays import U64, flat, mix, shingle_sets, slices
+from pitwall.llm.arrays import U64, flat, giving_back, giving_back_group, mix, shingle_sets, slices
 from pitwall.llm.graphs import components
 from pitwall.llm.packs import arrow_schema, bytes_of, least, runs, values_of
 from pitwall.operators.hot import broadcast_if_small
@@ -261,7 +261,7 @@ def _pair_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _verify(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     both = _pair_texts(pairs, texts).select("a", "b", "_a_text", "_b_text")
-    return both.mapInArrow(_linked(size, arrow_schema("a long, b long")), "a long, b long")
+    return both.mapInArrow(giving_back(_linked(size, arrow_schema("a long, b long"))), "a long, b long")
 
 
 def _thin(links: DataFrame, apart: DataFrame, texts: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
@@ -349,11 +349,11 @@ def _near_duplicates(docs: DataFrame, id_column: str, text_column: str, size: in
     text = F.coalesce(F.col(text_column).cast("binary"), F.lit("").cast("binary")).alias("_text")
     rows = docs.select(F.col(id_column).cast("long").alias("_id"), text)
     buckets = (docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0) // BUCKET + 4
-    sets = materialise(rows.mapInArrow(_describe(size, arrow_schema(_SETS)), _SETS), "sets")
+    sets = materialise(rows.mapInArrow(giving_back(_describe(size, arrow_schema(_SETS))), _SETS), "sets")
     known = rows.filter("_id is not null")
 
-    answers = known.mapInArrow(_deal_fronts(buckets, size, arrow_schema(_PACKED)), _PACKED)
-    answers = answers.groupBy("bucket").applyInArrow(_judge_fronts(OFTEN, arrow_schema(_ANSWERS)), _ANSWERS)
+    answers = known.mapInArrow(giving_back(_deal_fronts(buckets, size, arrow_schema(_PACKED))), _PACKED)
+    answers = answers.groupBy("bucket").applyInArrow(giving_back_group(_judge_fronts(OFTEN, arrow_schema(_ANSWERS))), _ANSWERS)
     answers = materialise(answers, "fronts")
     shared = answers.filter("low is not null").groupBy("low").agg(F.sum("shared").alias("shared"))
     classes = sets.filter("n > 0 and id is not null").groupBy("low", "high", "n").agg(F.min("id").alias("rep"))
@@ -372,7 +372,7 @@ def _near_duplicates(docs: DataFrame, id_column: str, text_column: str, size: in
     common = often.filter(F.col("sets") >= limit).select("h", "sets").orderBy("h").toPandas()
     order = common.h.to_numpy(np.int64).astype(np.uint64), np.log2(common.sets.to_numpy(np.float64)).astype(np.int64)
     order = docs.sparkSession.sparkContext.broadcast(order)
-    keys = texts.mapInArrow(_keys(order, boundary, size, arrow_schema(_KEYS)), _KEYS)
+    keys = texts.mapInArrow(giving_back(_keys(order, boundary, size, arrow_schema(_KEYS))), _KEYS)
     keys = materialise(keys.distinct(), "keys")
 
     hubs = keys.filter("light").groupBy("key").agg(F.min("id").alias("hub"))
@@ -416,7 +416,7 @@ def _near_duplicates(docs: DataFrame, id_column: str, text_column: str, size: in
     open_leaders = groups.groupBy("leader").agg((F.min("component") != F.max("component")).alias("open")).filter("open")
     groups = groups.join(open_leaders.select("leader"), "leader")
     apart = _pair_texts(groups.select(F.col("leader").alias("a"), F.col("id").alias("b"), "component"), texts)
-    apart = materialise(apart.mapInArrow(_differences(order, size, arrow_schema(_APART)), _APART), "apart")
+    apart = materialise(apart.mapInArrow(giving_back(_differences(order, size, arrow_schema(_APART))), _APART), "apart")
     links, apart = _thin(links, apart, texts, size)
     # of two members the one with fewer differences shows the first common one among its first n / 8 + 1
     other = apart.filter("at <= n div 8 + 1")

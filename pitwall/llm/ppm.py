@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pitwall.llm.arrays import flat, slices
+from pitwall.llm.arrays import flat, giving_back, slices
 from pitwall.llm.packs import arrow_schema
 from pitwall.operators.hot import broadcast_if_small
 from pitwall.session import materialise
@@ -130,7 +130,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     chosen = materialise(_sample(known, per_language), "sample")
     texts = known.join(broadcast_if_small(chosen), ["doc_id", "lang"]).select("lang", "text")
     schema = "lang string, gram long, n long"
-    counts = texts.mapInArrow(_counts(arrow_schema(schema)), schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = texts.mapInArrow(giving_back(_counts(arrow_schema(schema))), schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = counts.orderBy("lang", "gram").toPandas()  # bounded by the sample
     if counts.empty:
         return None
@@ -205,4 +205,4 @@ def identify(docs: DataFrame, model: Model | None, text_column: str = "text") ->
                     best[i], score[i] = len(languages), 0
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(names[best].tolist()), pa.array(score)], schema=schema)
 
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(giving_back(run), out)

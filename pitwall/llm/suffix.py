@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.arrays import _BASE, U64, Sums, byte_values, flat, lists, mix, slices
+from pitwall.llm.arrays import _BASE, U64, Sums, byte_values, flat, giving_back, giving_back_group, lists, mix, slices
 from pitwall.llm.packs import arrow_schema, bytes_of, least, runs, values_of
 from pitwall.session import materialise
 
@@ -407,17 +407,17 @@ def remove_repeats(
     size = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
     packs, parts = size // ANCHOR_BUCKET + 4, size // TEXT_BUCKET + 8
 
-    packed = rows.select("_key", "_id", "_text").mapInArrow(_deal_anchors(packs, match, gram, arrow_schema(_PACKED)), _PACKED)
-    judged = packed.groupBy("bucket").applyInArrow(_judge_anchors(packs, HOT, arrow_schema(_ANSWERS)), _ANSWERS)
+    packed = rows.select("_key", "_id", "_text").mapInArrow(giving_back(_deal_anchors(packs, match, gram, arrow_schema(_PACKED))), _PACKED)
+    judged = packed.groupBy("bucket").applyInArrow(giving_back_group(_judge_anchors(packs, HOT, arrow_schema(_ANSWERS))), _ANSWERS)
     # the spans need the texts' shuffle again, so both joins stand in one query; the answers are written once
     answers = materialise(judged, "anchors")
     answers = answers.groupBy(F.col("key").alias("_key")).agg(
         *(F.flatten(F.collect_list(c)).alias(c) for c in ("covered", "look", "hot"))
     )
     stretches = rows.join(answers, "_key").mapInArrow(
-        _deal_stretches(parts, match, gram, arrow_schema(_STRETCHES)), _STRETCHES
+        giving_back(_deal_stretches(parts, match, gram, arrow_schema(_STRETCHES))), _STRETCHES
     )
-    spans = stretches.groupBy("bucket").applyInArrow(_suffix_spans(match, arrow_schema(_SPANS)), _SPANS)
+    spans = stretches.groupBy("bucket").applyInArrow(giving_back_group(_suffix_spans(match, arrow_schema(_SPANS))), _SPANS)
     spans = spans.groupBy(F.col("key").alias("_key")).agg(
         F.collect_list("start").alias("_start"), F.collect_list("stop").alias("_stop")
     )
@@ -427,4 +427,4 @@ def remove_repeats(
     )
     out = docs.select(rest.alias("row")).schema
     out = out.add("kept", "binary").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
-    return joined.mapInArrow(_cut(arrow_schema(out)), out)
+    return joined.mapInArrow(giving_back(_cut(arrow_schema(out))), out)

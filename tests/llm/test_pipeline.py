@@ -127,3 +127,20 @@ def test_stages_against_brute_force(spark, folder):
 def test_run_of_empty_documents(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_tasks_give_free_memory_back(monkeypatch):
+    import pyarrow as pa
+
+    from pitwall.llm import arrays
+
+    given = []
+    monkeypatch.setattr(arrays, "give_back", lambda: given.append(1))
+    batches = arrays.giving_back(lambda part: (b for b in part))(iter([1, 2]))
+    assert next(batches) == 1 and not given
+    assert list(batches) == [2] and given == [1]
+    for n, times in ((1, 1), (arrays.LARGE_GROUP, 2)):
+        table = pa.table({"x": pa.nulls(n, pa.int64())})
+        assert arrays.giving_back_group(lambda t: t.slice(0, 1))(table).num_rows == 1 and len(given) == times
+    monkeypatch.undo()
+    arrays.give_back()
