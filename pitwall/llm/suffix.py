@@ -34,6 +34,8 @@ MATCH = 50
 GRAM = 16
 # Anchors that a task gathers before it packs them.
 PACK = 1 << 19
+# Anchors of a bucket that are judged at a time, in some 150 bytes each.
+JUDGED = 1 << 18
 # Bytes of input for each bucket of packed anchors, and of stretches.
 ANCHOR_BUCKET = 32 << 20
 TEXT_BUCKET = 6 << 20
@@ -151,21 +153,21 @@ def _deal_anchors(buckets: int, match: int, gram: int, schema: pa.Schema):
 def _judge_anchors(buckets: int, hot: int, schema: pa.Schema):
     """Per document of a bucket: stretches that are covered, that have to be looked at, and those of hot anchors."""
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        h = np.concatenate([values_of(r["h"], 5) for r in rows])
-        g = np.concatenate([values_of(r["g"], 6) for r in rows])
-        counts = [np.frombuffer(r["counts"], np.int32) for r in rows]
-
-        def each(name):
-            return np.concatenate([np.repeat(np.frombuffer(r[name], np.int64), c) for r, c in zip(rows, counts, strict=True)])
-
-        sizes = [c.sum() for c in counts]
-        done = np.repeat([r["done"] is True for r in rows], sizes)
-        mark = np.repeat([r["done"] is None for r in rows], sizes)
-        spread = np.repeat([buckets <= r["bucket"] < 2 * buckets for r in rows], sizes)
+    def judged(rows: list[dict], part: int, parts: int) -> pa.Table:
+        """The anchors whose upper hash bits give ``part``; equal anchors stand together."""
+        held = []
+        for r in rows:
+            h, counts = values_of(r["h"], 5), np.frombuffer(r["counts"], np.int32)
+            own = np.flatnonzero((h >> U64(32)) % U64(parts) == part)
+            ids, keys = (np.repeat(np.frombuffer(r[name], np.int64), counts)[own] for name in ("ids", "keys"))
+            kind = (r["done"] is True, r["done"] is None, buckets <= r["bucket"] < 2 * buckets)
+            held.append((h[own], values_of(r["g"], 6)[own], ids, keys, *(np.full(len(own), k) for k in kind)))
+        h, g, ids, keys, done, mark, spread = (np.concatenate(x) for x in zip(*held, strict=True))
+        del held
+        if not len(h):
+            return schema.empty_table()
         order = np.lexsort((g, h))
-        h, g, ids, keys, done, mark, spread = (x[order] for x in (h, g, each("ids"), each("keys"), done, mark, spread))
+        h, g, ids, keys, done, mark, spread = (x[order] for x in (h, g, ids, keys, done, mark, spread))
         new_h, new = runs(h), runs(h, g)
         run_of, begin = np.cumsum(new_h) - 1, np.flatnonzero(new_h)
         shared = (np.minimum.reduceat(ids, begin) != np.maximum.reduceat(ids, begin))[run_of]
@@ -185,6 +187,11 @@ def _judge_anchors(buckets: int, hot: int, schema: pa.Schema):
             columns.append(lists(g[mask], counts))
         return pa.Table.from_arrays(columns, schema=schema)
 
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        parts = min(256, 1 + sum(len(r["h"]) for r in rows) // 5 // JUDGED)
+        return pa.concat_tables([judged(rows, part, parts) for part in range(parts)])
+
     return run
 
 

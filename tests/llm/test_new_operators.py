@@ -456,3 +456,31 @@ def test_damage_codes(spark, sf):
     dropped = rows.filter(F.crc32(F.concat_ws(":", "conv_id", "turn")) % 20 == 0).count()
     again = rows.filter(F.crc32(F.concat_ws(":", "conv_id", "turn")) % 20 == 3).count()
     assert queries.damaged(spark, sf).count() == rows.count() - dropped + again
+
+
+def test_anchors_of_a_bucket_are_judged_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    from pitwall.llm.packs import arrow_schema
+
+    rng = random.Random(4)
+    passage = "".join(rng.choice("abcdef ") for _ in range(600))
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(400)) + passage[: 60 * (n % 11)] for n in range(40)]
+    given = pa.record_batch({"_key": pa.array(range(40)), "_id": pa.array(range(40)), "_text": pa.array([t.encode() for t in texts])})
+    packed = pa.Table.from_batches(list(suffix._deal_anchors(1, 50, 16, arrow_schema(suffix._PACKED))(iter([given]))))
+    groups = [packed.filter(pa.compute.equal(packed["bucket"], b)) for b in set(packed["bucket"].to_pylist())]
+    judge = suffix._judge_anchors(1, suffix.HOT, arrow_schema(suffix._ANSWERS))
+
+    def answers():
+        found, rows = defaultdict(set), 0
+        for table in map(judge, groups):
+            rows += table.num_rows
+            for r in table.to_pylist():
+                for name in ("covered", "look", "hot"):
+                    found[r["key"], name] |= set(r[name])
+        return found, rows
+
+    whole, rows = answers()
+    monkeypatch.setattr(suffix, "JUDGED", 50)
+    parts, more = answers()
+    assert parts == whole and any(whole.values()) and more > rows
