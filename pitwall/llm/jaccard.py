@@ -3,11 +3,15 @@
 Two documents link when the Jaccard similarity of their sets of 5-word shingles is at least 0.8.
 
 * Equal sets are one node, the smallest id.
-* A set of n shingles shares at least t = ceil(0.8 n) with any partner, so the first shingles that both hold, in
-  any fixed order, stand among its first n - t + c. Sets of which too few of these occur in another set are alone.
+* Of the shingles of a set in order of their hashes, neighbours that any partner holds as neighbours too are at least
+  as many as the two have in common, less those that only one has, as each of these parts one pair at most. Sets of
+  which fewer pairs of neighbours, among the first n / 2 + 8 shingles, occur in another set are alone. Chance meetings
+  of pairs stay rare however large the input is.
 * Light sets, up to a boundary x: every subset of the size that a link of n and m shingles must share is a key. Sets
   that share a key link, no comparison needed, so each key gives a star.
-* Heavy sets: inverted lists of the first n - t + 1 shingles, those of the fewest sets first. All in a list are
+* Heavy sets: a set of n shingles shares at least t = ceil(0.8 n) with any partner, so the first shingle that both
+  hold, in any fixed order, stands among its first n - t + 1. These make inverted lists, those of the fewest sets
+  first. All in a list are
   compared with one leader, which may come from another list. Members that this leaves in different components are
   joined on what sets them apart from the leader: sets of n and m shingles link if and only if at most (n + m) / 9
   shingles are in one of them only, and a shingle is in one of A and B only if it is in one of A - L and B - L only,
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 from itertools import combinations
 from math import comb
 
@@ -31,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm.arrays import U64, flat, giving_back, giving_back_group, mix, shingle_sets, slices
+from pitwall.llm.arrays import _BASE, U64, flat, giving_back, giving_back_group, mix, shingle_sets, slices
 from pitwall.llm.graphs import components
 from pitwall.llm.packs import arrow_schema, bytes_of, least, runs, values_of
 from pitwall.operators.hot import broadcast_if_small
@@ -39,19 +44,22 @@ from pitwall.session import materialise
 
 SHINGLE = 5
 PACK = 1 << 20
-# Bytes of input for each bucket of packed shingles.
-BUCKET = 16 << 20
+# Bytes of text for each bucket of packed shingles, and the shingles of it that are judged at a time, in some 40 bytes
+# each. A set has an answer in most buckets, so small inputs have many too.
+BUCKET, BUCKETS_LEAST = 64 << 20, 16
+JUDGED = 1 << 19
 # Largest size for which subsets are considered at all, and list entries that one comparison of two texts is worth.
 LIGHT_MOST = 24
 COMPARE_COST = 50
-# Members of a list that are compared in pairs without another star.
+# Members of a list that are compared in pairs without another star, and rounds of stars in a row that may not pay.
 PAIRS_MOST = 256
+UNPAID_MOST = 3
 # Rows, each with up to two texts, that a task's Python gets at once.
 BATCH_ROWS = 500
 # Shingles of so many sets or more are ordered by their number of sets; the table of them has a bounded size.
 OFTEN, OFTEN_ROWS = 16, 500_000
 
-_SETS = "id long, n long, low long, high long"
+_SETS = "id long, n long, low long, high long, need long"
 _PACKED = "bucket long, h binary, keys binary, counts binary"
 _ANSWERS = "low long, shared long, h long, sets long"
 _APART_COLUMNS = ("leader", "h", "id", "component", "n", "size", "at")
@@ -73,6 +81,26 @@ def spare(n: int) -> int:
     return max(1, n // 20)
 
 
+def pair_front(n):
+    """The first shingles of a set of ``n`` whose pairs of neighbours are counted."""
+    return np.minimum(n, n // 2 + 8)
+
+
+def pairs_needed(n: int) -> int:
+    """Pairs of neighbours in the front of a set of ``n`` that are also such pairs in that of any other set it links to.
+
+    Of two sets that have ``both`` in common, the first shingles in common stand in both fronts, and every shingle of
+    one set only parts one pair of them at most. More in common only means more pairs. ``n``, which is more than there
+    are, if no other set can link.
+    """
+    m = np.arange(must_share(n), n * 5 // 4 + 1)
+    both = link_share(n, m)
+    m, both = m[both <= np.minimum(n, m)], both[both <= np.minimum(n, m)]
+    m, both = m[both < np.maximum(n, m)], both[both < np.maximum(n, m)]
+    in_fronts = np.minimum(np.minimum(pair_front(n) - (n - both), pair_front(m) - (m - both)), both)
+    return int(np.min(in_fronts - 1 - (n + m - 2 * both), initial=n))
+
+
 def _digest(shingles: np.ndarray, seed: int) -> np.int64:
     with np.errstate(over="ignore"):
         return mix(np.array([mix(shingles + U64(seed)).sum(dtype=np.uint64) + U64(len(shingles))]))[0].astype(np.int64)
@@ -84,16 +112,26 @@ def _sets_of(batch: pa.RecordBatch, size: int) -> list[np.ndarray]:
 
 def _describe(size: int, schema: pa.Schema):
     def run(batches):
+        need = cache(pairs_needed)  # made here, as a cached function of a module cannot be sent to tasks
+        parts = (len, lambda s: _digest(s, 1), lambda s: _digest(s, 2), lambda s: need(len(s)))
         for batch in slices(batches, "_text"):
             sets = _sets_of(batch, size)
-            n, low, high = (np.array([f(s) for s in sets], np.int64) for f in (len, lambda s: _digest(s, 1), lambda s: _digest(s, 2)))
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(n), pa.array(low), pa.array(high)], schema=schema)
+            columns = [pa.array(np.array([f(s) for s in sets], np.int64)) for f in parts]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), *columns], schema=schema)
 
     return run
 
 
-def _deal_fronts(buckets: int, size: int, schema: pa.Schema):
-    """The first shingles of each different set of a task, by bucket."""
+def _front(shingles: np.ndarray, pairs: bool) -> np.ndarray:
+    n = len(shingles)
+    if not pairs:
+        return shingles[: n - must_share(n) + spare(n)]
+    first = shingles[: pair_front(n)]
+    return mix(first[:-1] * _BASE + first[1:])
+
+
+def _deal_fronts(buckets: int, size: int, pairs: bool, schema: pa.Schema):
+    """The first shingles of each different set of a task, or the pairs of neighbours among them, by bucket."""
 
     def flush(held):
         h = np.concatenate([s for _, s in held])
@@ -117,8 +155,9 @@ def _deal_fronts(buckets: int, size: int, schema: pa.Schema):
                 if not len(s) or (key := _digest(s, 1)) in known:
                     continue
                 known.add(key)
-                held.append((key, s[: len(s) - must_share(len(s)) + spare(len(s))]))
-                total += len(held[-1][1])
+                if len(own := _front(s, pairs)):
+                    held.append((key, own))
+                    total += len(own)
             if total >= PACK:
                 yield from flush(held)
                 held, known, total = [], set(), 0
@@ -128,14 +167,18 @@ def _deal_fronts(buckets: int, size: int, schema: pa.Schema):
     return run
 
 
-def _judge_fronts(often: int, schema: pa.Schema):
-    """How many first shingles of a set other sets have among theirs, the shingles of many sets, and sums of lists."""
+def _judge_fronts(often: int, pairs: bool, schema: pa.Schema):
+    """Of pairs: how many of a set other sets have too. Of shingles: those of many sets, and sums of lists."""
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        h = np.concatenate([values_of(r["h"], 6) for r in rows])
-        counts = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows])
-        key = np.repeat(np.concatenate([np.frombuffer(r["keys"], np.int64) for r in rows]), counts)
+    def judged(rows: list[dict], part: int, parts: int) -> list[np.ndarray]:
+        """Of the hashes whose upper bits give ``part``: sets with the shared ones of each, hashes of many sets with their sets, sums."""
+        held = []
+        for r in rows:
+            h, counts = values_of(r["h"], 6), np.frombuffer(r["counts"], np.int64)
+            own = np.flatnonzero((h >> U64(32)) % U64(parts) == part)
+            held.append((h[own], np.repeat(np.frombuffer(r["keys"], np.int64), counts)[own]))
+        h, key = map(np.concatenate, zip(*held, strict=True))
+        del held
         order = np.lexsort((key, h))
         h, key = h[order], key[order]
         different = runs(h, key)
@@ -143,16 +186,30 @@ def _judge_fronts(often: int, schema: pa.Schema):
         new = runs(h)
         begin = np.flatnonzero(new)
         sets = np.diff(np.append(begin, len(h)))
-        shared, n = np.unique(key[sets[np.cumsum(new) - 1] > 1], return_counts=True)
+        if pairs:
+            return np.unique(key[sets[np.cumsum(new) - 1] > 1], return_counts=True)
         many, lists = sets >= often, sets > 1
+        return h[begin][many].astype(np.int64), sets[many], sets[lists].sum(), lists.sum()
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        parts = min(256, 1 + sum(len(r["h"]) for r in rows) // 6 // JUDGED)
+        found = [judged(rows, part, parts) for part in range(parts)]
         none = lambda k: pa.nulls(k, pa.int64())
-        # the last row counts the entries and the lists of two sets or more
-        columns = [
-            pa.concat_arrays([pa.array(shared), none(many.sum() + 1)]),
-            pa.concat_arrays([pa.array(n.astype(np.int64)), none(many.sum()), pa.array([int(sets[lists].sum())])]),
-            pa.concat_arrays([none(len(shared)), pa.array(h[begin][many].astype(np.int64)), none(1)]),
-            pa.concat_arrays([none(len(shared)), pa.array(sets[many].astype(np.int64)), pa.array([int(lists.sum())])]),
-        ]
+        if pairs:
+            sets, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+            shared = np.bincount(at, np.concatenate([n for _, n in found]), len(sets)).astype(np.int64)
+            columns = [pa.array(sets), pa.array(shared), none(len(sets)), none(len(sets))]
+        else:
+            h, sets = (np.concatenate(x) for x in list(zip(*found, strict=True))[:2])
+            entries, lists = (int(sum(x)) for x in list(zip(*found, strict=True))[2:])
+            # the last row counts the entries and the lists of two sets or more
+            columns = [
+                none(len(h) + 1),
+                pa.concat_arrays([none(len(h)), pa.array([entries])]),
+                pa.concat_arrays([pa.array(h), none(1)]),
+                pa.array(np.append(sets, lists).astype(np.int64)),
+            ]
         return pa.Table.from_arrays(columns, schema=schema)
 
     return run
@@ -268,31 +325,43 @@ def _thin(links: DataFrame, apart: DataFrame, texts: DataFrame, size: int) -> tu
     """Links found by stars inside large lists of differences, and the differences with the components that result.
 
     A family whose members all differ from their leader in the same way meets in one list. There all are compared with
-    one of them, until no list with more than ``PAIRS_MOST`` members of other components finds a link this way. The
-    lists stay whole: what the stars leave apart is still joined.
+    one of them, for as long as the lists with more than ``PAIRS_MOST`` members have more pairs of different components
+    than the lists have rows, and the stars spare more pairs than their comparisons are worth: many small families in a
+    list would need a round each. The lists stay whole: what the stars leave apart is still joined.
     """
     members = apart.filter("at = 1").groupBy("leader").agg(F.count("id").alias("many")).filter(F.col("many") > PAIRS_MOST)
     members = materialise(members.select("leader"), "wide_leaders")
     if members.isEmpty():
         return links, apart
     large, found, turn = materialise(apart.join(broadcast_if_small(members), "leader"), "wide_lists"), None, 0
+    rows, pairs, worth, unpaid = large.count(), None, 0, 0
     while True:
-        lists = large.groupBy("leader", "h").agg(
+        chance = F.xxhash64("id", F.lit(turn))
+        inside = large.groupBy("leader", "h", "component").agg(
             F.count("id").alias("many"),
-            (F.min("component") != F.max("component")).alias("open"),
-            F.min_by(F.struct("id", "component", "n", "size"), F.xxhash64("id", F.lit(turn))).alias("hub"),
+            F.min(chance).alias("chance"),
+            F.min_by(F.struct("id", "component", "n", "size"), chance).alias("hub"),
+        )
+        all_pairs = F.sum("many").cast("double") * F.sum("many") - F.sum(F.col("many").cast("double") * F.col("many"))
+        lists = inside.groupBy("leader", "h").agg(
+            F.sum("many").alias("many"), (all_pairs / 2).alias("pairs"), F.min_by("hub", "chance").alias("hub")
         )
-        hubs = lists.filter(F.col("open") & (F.col("many") > PAIRS_MOST)).select("leader", "h", "hub")
-        met = large.join(hubs, ["leader", "h"]).filter(
+        hubs = materialise(lists.filter((F.col("pairs") > 0) & (F.col("many") > PAIRS_MOST)), "inner_hubs")
+        before, pairs = pairs, hubs.agg(F.sum("pairs")).first()[0] or 0
+        unpaid = unpaid + 1 if before is not None and before - pairs < worth else 0
+        if pairs <= rows or unpaid == UNPAID_MOST:
+            break
+        met = large.join(hubs.select("leader", "h", "hub"), ["leader", "h"]).filter(
             (F.col("component") != F.col("hub.component"))
             & (F.least("n", "hub.n") * 5 >= F.greatest("n", "hub.n") * 4)
             & (F.abs(F.col("size") - F.col("hub.size")) <= F.floor((F.col("n") + F.col("hub.n")) / 9))
         )
         stars = materialise(met.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct(), "inner_stars")
         more = materialise(_verify(stars, texts, size), "inner_links")
+        worth, turn = COMPARE_COST * stars.count() + 1, turn + 1
         if more.isEmpty():
-            break
-        links, turn = materialise(links.union(more), "links"), turn + 1
+            continue
+        links = materialise(links.union(more), "links")
         found = components(links)
         large = materialise(_renamed(large, found), "wide_lists")
     return links, apart if found is None else materialise(_renamed(apart, found), "apart")
@@ -348,23 +417,24 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def _near_duplicates(docs: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
     text = F.coalesce(F.col(text_column).cast("binary"), F.lit("").cast("binary")).alias("_text")
     rows = docs.select(F.col(id_column).cast("long").alias("_id"), text)
-    buckets = (docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0) // BUCKET + 4
     sets = materialise(rows.mapInArrow(giving_back(_describe(size, arrow_schema(_SETS))), _SETS), "sets")
     known = rows.filter("_id is not null")
 
-    answers = known.mapInArrow(giving_back(_deal_fronts(buckets, size, arrow_schema(_PACKED))), _PACKED)
-    answers = answers.groupBy("bucket").applyInArrow(giving_back_group(_judge_fronts(OFTEN, arrow_schema(_ANSWERS))), _ANSWERS)
-    answers = materialise(answers, "fronts")
-    shared = answers.filter("low is not null").groupBy("low").agg(F.sum("shared").alias("shared"))
-    classes = sets.filter("n > 0 and id is not null").groupBy("low", "high", "n").agg(F.min("id").alias("rep"))
-    smaller = F.ceil(F.col("n") * 4 / 5)
-    alive = classes.join(shared, "low").filter(F.col("shared") >= F.greatest(F.lit(1), F.floor(smaller / 20)))
+    def judged(texts: DataFrame, pairs: bool) -> DataFrame:
+        buckets = (texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0) // BUCKET + BUCKETS_LEAST
+        packed = texts.mapInArrow(giving_back(_deal_fronts(buckets, size, pairs, arrow_schema(_PACKED))), _PACKED)
+        return packed.groupBy("bucket").applyInArrow(giving_back_group(_judge_fronts(OFTEN, pairs, arrow_schema(_ANSWERS))), _ANSWERS)
+
+    shared = judged(known, True).groupBy("low").agg(F.sum("shared").alias("shared"))
+    classes = sets.filter("n > 0 and id is not null").groupBy("low", "high", "n").agg(F.min("id").alias("rep"), F.min("need").alias("need"))
+    alive = classes.join(shared, "low").filter(F.col("shared") >= F.greatest(F.lit(1), "need"))
     alive = materialise(alive.select("low", "high", "n", "rep"), "alive")
     texts = known.join(broadcast_if_small(alive.select(F.col("rep").alias("_id")).distinct()), "_id")
     texts = materialise(texts.dropDuplicates(["_id", "_text"]), "texts")
 
+    answers = materialise(judged(texts, False), "fronts")
     sizes = {r.n: r["count"] for r in alive.filter(f"n <= {2 * LIGHT_MOST}").groupBy("n").count().collect()}
-    entries, shared_lists = answers.filter("low is null and h is null").agg(F.sum("shared"), F.sum("sets")).first()
+    entries, shared_lists = answers.filter("h is null").agg(F.sum("shared"), F.sum("sets")).first()
     boundary = light_boundary(sizes, entries / shared_lists if shared_lists else 0.0)
     often, limit = answers.filter("h is not null"), OFTEN
     while often.filter(F.col("sets") >= limit).count() > OFTEN_ROWS:
