@@ -5,8 +5,10 @@ on the input. Only strings that can repeat are ever brought together:
 
 1. Every ``match``-byte string names an anchor, the lowest hash among its ``gram``-byte substrings, so equal strings
    name equal anchors. The strings that share an anchor form one stretch of text. Hashes of anchors and stretches are
-   packed and dealt out by anchor. A stretch that an earlier document holds too is covered as a whole; one that meets
-   only other stretches at its anchor has to be looked at; all others are done.
+   packed and dealt out by anchor. A stretch that an earlier document holds too is covered as a whole. A string has
+   half of its bytes beside the anchor on the left of it or on the right, so another stretch can share one only if it
+   shares a half of these: such a stretch has to be looked at. All others are done, also those that meet at their
+   anchor by chance, as ever more do in a growing input.
 2. The bytes of the stretches to be looked at are dealt out by anchor. A bucket sorts the suffixes at its strings to a
    depth of ``match`` bytes, takes the common prefixes of neighbours, and finds the previous and next suffix of a
    smaller document. The longer common prefix with these two is the longest previous factor; one of ``match`` bytes is
@@ -45,17 +47,33 @@ HOT = 4096
 NO_ID = np.iinfo(np.int64).max
 _LOW40, _LOW48 = U64((1 << 40) - 1), U64((1 << 48) - 1)
 
-_PACKED = "bucket long, done boolean, h binary, g binary, ids binary, keys binary, counts binary"
+_PACKED = "bucket long, done boolean, h binary, g binary, half binary, ids binary, keys binary, counts binary"
 _ANSWERS = "key long, covered array<long>, look array<long>, hot array<long>"
 _STRETCHES = "bucket long, key long, id long, at long, size long, stretch binary"
 _SPANS = "key long, start long, stop long"
 
 
-def anchors(data, offsets, match=MATCH, gram=GRAM):
-    """Row, first and last string, anchor hash and stretch hash of each stretch of strings with one anchor."""
+def _half_hashes(sums: Sums, at, first, last, match: int, gram: int) -> np.ndarray:
+    """16 bits each, 0 for none, of an anchor with half of the bytes beside it in a string, on the left and on the right.
+
+    A string with fewer bytes than that half on the left has the rest, and so the other half, on the right.
+    """
+    left = (match - gram + 1) // 2
+    right = match - gram - left + 1
+
+    def of(start, stop, known):
+        found = np.zeros(len(at), np.uint64)
+        found[known] = sums.hashes(start[known], stop[known]) % U64(0xFFFF) + U64(1)
+        return found
+
+    return of(at - left, at + gram, at - first >= left) | of(at, at + gram + right, at - last < left) << U64(16)
+
+
+def anchors(data, offsets, match=MATCH, gram=GRAM, halves=False):
+    """Row, first and last string, anchor hash and stretch hash of each stretch of strings with one anchor, and half hashes."""
     n, none = len(data), np.zeros(0, np.int64)
     if n < match:
-        return none, none, none, none.astype(U64), none.astype(U64)
+        return (none, none, none, *(none.astype(U64),) * (3 if halves else 2))
     values = byte_values(lower=False)[data]
     h, size = values, 1
     while size < gram:
@@ -79,7 +97,9 @@ def anchors(data, offsets, match=MATCH, gram=GRAM):
     stop = np.ones(len(at), bool)
     stop[:-1] = change[1:] | ~inside[1:]
     first, last = np.flatnonzero(change & inside), np.flatnonzero(stop & inside)
-    return row[first], first, last, mix(h[at[first]]) & _LOW40, Sums(values).hashes(first, last + match) & _LOW48
+    sums = Sums(values)
+    found = row[first], first, last, mix(h[at[first]]) & _LOW40, sums.hashes(first, last + match) & _LOW48
+    return (*found, _half_hashes(sums, at[first], first, last, match, gram)) if halves else found
 
 
 def _binary(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.BinaryArray:
@@ -95,25 +115,25 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("_id").to_numpy(zero_copy_only=False)
 
 
-def _pack(bucket, done, row, h, g, ids, keys) -> Iterator[dict]:
+def _pack(bucket, done, row, h, g, half, ids, keys) -> Iterator[dict]:
     """One packed record per bucket; rows of a document stand together."""
     if not len(bucket):
         return
     order = np.lexsort((row, bucket))
-    bucket, row, h, g = bucket[order], row[order], h[order], g[order]
+    bucket, row, h, g, half = bucket[order], row[order], h[order], g[order], half[order]
     starts = np.flatnonzero(runs(bucket))
     for a, b in zip(starts, [*starts[1:], len(bucket)], strict=True):
         docs, counts = np.unique(row[a:b], return_counts=True)
         yield {
-            "bucket": int(bucket[a]), "done": done, "h": bytes_of(h[a:b], 5), "g": bytes_of(g[a:b], 6),
+            "bucket": int(bucket[a]), "done": done, "h": bytes_of(h[a:b], 5), "g": bytes_of(g[a:b], 6), "half": bytes_of(half[a:b], 4),
             "ids": ids[docs].tobytes(), "keys": keys[docs].tobytes(), "counts": counts.astype(np.int32).tobytes(),
         }
 
 
 def _deal_anchors(buckets: int, match: int, gram: int, schema: pa.Schema):
-    def packed(row, h, g, ids, keys):
+    def packed(row, h, g, half, ids, keys):
         order = np.lexsort((g, h))
-        row, h, g = row[order], h[order], g[order]
+        row, h, g, half = row[order], h[order], g[order], half[order]
         new = runs(h, g)
         later = ids[row] > least(ids[row], new)
         # different stretches of an anchor: beyond a limit they go to buckets by stretch, and the anchor is marked
@@ -123,11 +143,11 @@ def _deal_anchors(buckets: int, match: int, gram: int, schema: pa.Schema):
         bucket = (h % U64(buckets)).astype(np.int64)
         spread = (buckets + (g % U64(buckets)).astype(np.int64)) * many + bucket * ~many
         keep = ~later
-        yield from _pack(spread[keep], False, row[keep], h[keep], g[keep], ids, keys)
+        yield from _pack(spread[keep], False, row[keep], h[keep], g[keep], half[keep], ids, keys)
         mark = many & new_h
-        yield from _pack(bucket[mark], None, row[mark], h[mark], g[mark], ids, keys)
+        yield from _pack(bucket[mark], None, row[mark], h[mark], g[mark], half[mark], ids, keys)
         if later.any():
-            yield from _pack(2 * buckets + bucket[later], True, row[later], h[later], g[later], ids, keys)
+            yield from _pack(2 * buckets + bucket[later], True, row[later], h[later], g[later], half[later], ids, keys)
 
     def run(batches):
         held, size, docs = [], 0, 0
@@ -138,8 +158,8 @@ def _deal_anchors(buckets: int, match: int, gram: int, schema: pa.Schema):
                 yield pa.RecordBatch.from_pylist([record], schema)
 
         for batch in slices(batches, "_text"):
-            row, _, _, h, g = anchors(*flat(batch.column("_text")), match, gram)
-            held.append((row + docs, h, g, _ids(batch), batch.column("_key").to_numpy(zero_copy_only=False)))
+            row, _, _, h, g, half = anchors(*flat(batch.column("_text")), match, gram, halves=True)
+            held.append((row + docs, h, g, half, _ids(batch), batch.column("_key").to_numpy(zero_copy_only=False)))
             size, docs = size + len(row), docs + batch.num_rows
             if size >= PACK:
                 yield from flush()
@@ -150,6 +170,18 @@ def _deal_anchors(buckets: int, match: int, gram: int, schema: pa.Schema):
     return run
 
 
+def _of_several_documents(h: np.ndarray, half: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which rows have a half hash that rows of another document have at the same anchor too."""
+    found = np.zeros(len(h), bool)
+    order = np.lexsort((half, h))
+    order = order[half[order] > 0]
+    if len(order):
+        begin = np.flatnonzero(runs(h[order], half[order]))
+        several = np.minimum.reduceat(ids[order], begin) != np.maximum.reduceat(ids[order], begin)
+        found[order] = np.repeat(several, np.diff(np.append(begin, len(order))))
+    return found
+
+
 def _judge_anchors(buckets: int, hot: int, schema: pa.Schema):
     """Per document of a bucket: stretches that are covered, that have to be looked at, and those of hot anchors."""
 
@@ -161,21 +193,26 @@ def _judge_anchors(buckets: int, hot: int, schema: pa.Schema):
             own = np.flatnonzero((h >> U64(32)) % U64(parts) == part)
             ids, keys = (np.repeat(np.frombuffer(r[name], np.int64), counts)[own] for name in ("ids", "keys"))
             kind = (r["done"] is True, r["done"] is None, buckets <= r["bucket"] < 2 * buckets)
-            held.append((h[own], values_of(r["g"], 6)[own], ids, keys, *(np.full(len(own), k) for k in kind)))
-        h, g, ids, keys, done, mark, spread = (np.concatenate(x) for x in zip(*held, strict=True))
+            g, half = values_of(r["g"], 6)[own], values_of(r["half"], 4)[own].astype(np.uint32)
+            held.append((h[own], g, half, ids, keys, *(np.full(len(own), k) for k in kind)))
+        h, g, half, ids, keys, done, mark, spread = (np.concatenate(x) for x in zip(*held, strict=True))
         del held
         if not len(h):
             return [keys, g.astype(np.int64), done, done, done]
         order = np.lexsort((g, h))
-        h, g, ids, keys, done, mark, spread = (x[order] for x in (h, g, ids, keys, done, mark, spread))
+        h, g, half, ids, keys, done, mark, spread = (x[order] for x in (h, g, half, ids, keys, done, mark, spread))
         new_h, new = runs(h), runs(h, g)
         run_of, begin = np.cumsum(new_h) - 1, np.flatnonzero(new_h)
-        shared = (np.minimum.reduceat(ids, begin) != np.maximum.reduceat(ids, begin))[run_of]
-        different = np.add.reduceat(new.astype(np.int64), begin)[run_of]
         marked = np.logical_or.reduceat(mark | spread, begin)[run_of]
         # a mark stands for stretches elsewhere: it neither covers nor is covered
         covered = done | ~mark & (ids > least(np.where(mark, NO_ID, ids), new))
-        look = ~mark & ~covered & (shared & (different > 1) | marked)
+        open_ = ~mark & ~covered
+        # of equal stretches those of one document are left here, so two documents mean two stretches
+        at = np.flatnonzero(open_ & ~marked)
+        halves = [_of_several_documents(h[at], half[at] >> np.uint32(k) & np.uint32(0xFFFF), ids[at]) for k in (0, 16)]
+        look = open_ & marked
+        look[at[halves[0] | halves[1]]] = True
+        different = np.bincount(run_of[look], runs(run_of[look], g[look]), len(begin))[run_of]
         in_hot = look & (marked | (different > hot))
         out = np.flatnonzero(covered | look)
         return [keys[out], g[out].astype(np.int64), covered[out], (look & ~in_hot)[out], in_hot[out]]

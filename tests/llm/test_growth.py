@@ -5,8 +5,10 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 
-from pitwall.llm import jaccard
+from pitwall.llm import jaccard, suffix
+from pitwall.llm.packs import arrow_schema, bytes_of
 
 
 def test_linked_sets_share_enough_pairs_of_neighbours():
@@ -71,3 +73,60 @@ def test_a_list_of_two_families_is_thinned(spark, monkeypatch):
     texts = spark.createDataFrame([(i, bytearray(" ".join(f"f{i % 2}x{k}" for k in range(40)).encode())) for i in range(401)], "_id long, _text binary")
     links, rest = jaccard._thin(spark.createDataFrame([(0, 2)], "a long, b long"), apart, texts, 5)
     assert rest.select("component").distinct().count() == 2
+
+
+def test_shingles_of_a_bucket_are_judged_in_parts(spark, monkeypatch):
+    rng, rows = np.random.default_rng(1), []
+    for k in range(40):
+        h = rng.integers(0, 300, 50).astype(np.uint64) * np.uint64(0x3FFFFFFF1)
+        keys, counts = np.array([k // 2, 100 + k]), np.array([30, 20])
+        rows.append({"bucket": 0, "h": bytes_of(h, 6), "keys": keys.tobytes(), "counts": counts.tobytes()})
+    table = pa.Table.from_pylist(rows, arrow_schema(jaccard._PACKED))
+    for pairs in (True, False):
+        found = []
+        for part in (1 << 19, 100, 7):
+            monkeypatch.setattr(jaccard, "JUDGED", part)
+            judged = jaccard._judge_fronts(1, pairs, arrow_schema(jaccard._ANSWERS))(table)
+            found.append(sorted(map(str, judged.to_pylist())))
+        assert found[0] == found[1] == found[2] and len(found[0]) > 50
+
+
+def test_chance_meetings_of_anchors_send_no_text(spark, monkeypatch):
+    """Every text holds the same line of fewer than 50 bytes between others: nothing repeats, nothing is looked at."""
+    rng = random.Random(7)
+    own = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    line = own(28)
+    rows = [(i, own(60) + line + own(60)) for i in range(40)]
+    long = own(49)
+    rows += [(100, "A" * 5 + long + "x" + own(30)), (101, own(40) + long + "x"), (102, own(3) + long + "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    written, old = {}, suffix.materialise
+
+    def materialise(df, name):
+        written[name] = old(df, name)
+        return written[name]
+
+    monkeypatch.setattr(suffix, "materialise", materialise)
+    removed = {r.doc_id: r.n_removed for r in suffix.remove_repeats(docs).select("row.doc_id", "n_removed").collect()}
+    assert removed == {**{i: 0 for i, _ in rows}, 101: 50}
+    assert written["anchors"].selectExpr("sum(size(look) + size(hot)) as n").first().n <= 12
+
+
+def test_strings_around_an_anchor_share_a_half(spark):
+    """Copies of 50 bytes at any place beside an anchor, against all strings."""
+    rng = random.Random(8)
+    own = lambda n: "".join(rng.choice("ab ") for _ in range(n))
+    base = own(400)
+    texts = []
+    for _ in range(60):
+        cut, size = rng.randrange(300), rng.choice([48, 49, 50, 51, 55, 70])
+        texts.append(own(rng.randrange(40)) + base[cut : cut + size] + own(rng.randrange(40)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known, want = set(), {}
+    for i, t in enumerate(texts):
+        strings = [t[k : k + 50] for k in range(len(t) - 49)]
+        gone = {k + j for k, s in enumerate(strings) if s in known for j in range(50)}
+        want[i] = len(gone)
+        known |= set(strings)
+    found = {r.doc_id: r.n_removed for r in suffix.remove_repeats(docs).select("row.doc_id", "n_removed").collect()}
+    assert found == want and sum(map(bool, want.values())) > 10
