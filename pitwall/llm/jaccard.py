@@ -46,7 +46,7 @@ SHINGLE = 5
 PACK = 1 << 20
 # Bytes of text for each bucket of packed shingles, and the shingles of it that are judged at a time, in some 40 bytes
 # each. A set has an answer in most buckets, so small inputs have many too.
-BUCKET, BUCKETS_LEAST = 64 << 20, 16
+BUCKET, BUCKETS_LEAST = 24 << 20, 32
 JUDGED = 1 << 19
 # Largest size for which subsets are considered at all, and list entries that one comparison of two texts is worth.
 LIGHT_MOST = 24

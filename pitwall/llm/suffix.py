@@ -39,7 +39,7 @@ PACK = 1 << 19
 # Anchors of a bucket that are judged at a time, in some 150 bytes each.
 JUDGED = 1 << 18
 # Bytes of input for each bucket of packed anchors, and of stretches.
-ANCHOR_BUCKET = 32 << 20
+ANCHOR_BUCKET = 22 << 20
 TEXT_BUCKET = 6 << 20
 # Different stretches of one anchor that a task sends, and that a bucket compares, before they are dealt out finer.
 SPREAD = 64
